@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from . import media, packing, shards, token_store
+from . import decontaminate, html_text, license_scan, media, near_dup, packing, pii, shards, token_store, toxicity
 
 QUERIES = {
+    "op1_html_text": html_text.op1_html_text,
+    "op2_benchmark_decontamination": decontaminate.op2_benchmark_decontamination,
+    "op3_minhash_near_dedup": near_dup.op3_minhash_near_dedup,
+    "op4_personal_data": pii.op4_personal_data,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op6_license_scan": license_scan.op6_license_scan,
     "op7_media_columns": media.op7_media_columns,
     "op8_balanced_shards": shards.op8_balanced_shards,
     "op9_token_store": token_store.op9_token_store,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
-ORACLES = {"op8_balanced_shards": shards.OP8_SQL}
+ORACLES = {
+    "op2_benchmark_decontamination": decontaminate.OP2_SQL,
+    "op8_balanced_shards": shards.OP8_SQL,
+}
