@@ -9,11 +9,14 @@ the pairs ordered by how many documents have them (rarest first) both must share
 their first ``COORDINATES - MATCHES + 1``: only this prefix is merged, and frequent
 values, such as those of passages that many documents share, are skipped.
 
-Lists are not expanded into all pairs.  In each round a list whose documents
-already have one component is done; otherwise its documents of other components are held
-against the list's centre, candidates that agree on too few coordinates are dropped, the
-others are confirmed on the full sets, and links join components.  A centre leaves
-the list after its round, so every pair of a list is either tried or known to be joined.
+Lists are not expanded into all pairs.  The first round holds the documents of a list
+against its most central one, which shares the largest part of its shingles with others;
+copies of one text then have one component.  Later rounds hold the documents outside the
+list's main component against those of other components.  Pairs whose sizes and shared
+shingles rule a link out are not made, those that agree on too few coordinates are
+dropped, the others are confirmed on the full sets, and links join components.  A
+centre leaves the list after its round and a list of one component is done, so every pair
+of a list is tried, ruled out or known to be joined.
 
 Defined results: a null or wordless text has an empty set, links with nothing and is its
 own component; a row without id is not linked, its component is null and it is kept;
@@ -40,8 +43,8 @@ COORDINATES = 64
 MATCHES = 28
 #: Bytes kept of each shingle's hash when sets are confirmed.
 HASH_BYTES = 6
-#: Centres that a list tries in the first rounds; later rounds try the last number.
-CENTRES = (1, 1, 4, 16, 64)
+#: Documents outside a list's main component that are tried in a round.
+CENTRES = 64
 MEMORY_WORDS = 300_000
 
 _rng = np.random.default_rng(20240607)
@@ -126,21 +129,15 @@ def prefix_posts(reps: DataFrame) -> DataFrame:
     return out
 
 
-def _agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Count the coordinates on which a candidate's signatures agree."""
-    for rows in batches:
-        if len(rows):
-            a = np.frombuffer(b"".join(rows["sig_a"]), "<u4").reshape(-1, COORDINATES)
-            b = np.frombuffer(b"".join(rows["sig_b"]), "<u4").reshape(-1, COORDINATES)
-            rows = rows[(a == b).sum(axis=1) >= MATCHES]
-        yield rows[["a", "b"]]
-
-
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
-        found = [np.unique(shingle_set(t) >> np.uint64(64 - 8 * HASH_BYTES)) for t in rows["text"]]
-        packed = [h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes() for h in found]
-        yield pd.DataFrame({"rep": rows["doc_id"], "hashes": packed})
+        keys, packed = [], []
+        for text in rows["text"]:
+            hashes = shingle_set(text)
+            keys.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+            short = np.unique(hashes >> np.uint64(64 - 8 * HASH_BYTES))
+            packed.append(short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes())
+        yield pd.DataFrame({"rep": rows["doc_id"], "set_key": keys, "hashes": packed})
 
 
 def _unpack(raw: bytes) -> np.ndarray:
@@ -149,8 +146,41 @@ def _unpack(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """rep, hashes -> a row for each shingle."""
+    for rows in batches:
+        found = [_unpack(h).astype(np.int64) for h in rows["hashes"]]
+        if found:
+            yield pd.DataFrame({"rep": np.repeat(rows["rep"].to_numpy(), [len(f) for f in found]), "hash": np.concatenate(found)})
+
+
+def candidate_sets(posts: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, n, shared, signature, hashes) of the representatives that have posts.
+
+    ``shared`` counts the shingles that another of them has: no intersection can be larger.
+    """
+    wanted = reps.join(posts.select("rep").distinct(), "rep", "left_semi").select("rep", "set_key", "signature")
+    wanted = store.materialize(wanted, "wanted")
+    texts = docs.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sets = texts.mapInPandas(_sets, "rep long, set_key binary, hashes binary").join(wanted, ["rep", "set_key"])
+    sets = store.materialize(sets.select("rep", "signature", "hashes"), "sets").dropDuplicates(["rep"])
+    rows = store.materialize(sets.select("rep", "hashes").mapInPandas(_spread, "rep long, hash long"), "shingles")
+    twice = rows.groupBy("hash").count().where("count > 1").select("hash")
+    shared = rows.join(twice, "hash").groupBy("rep").agg(F.count("*").cast("int").alias("shared"))
+    n = (F.octet_length("hashes") / HASH_BYTES).cast("int")
+    out = store.materialize(sets.select("rep", n.alias("n"), "signature", "hashes").join(shared, "rep"), "candidates")
+    store.drop(rows)
+    return out
+
+
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Candidates that agree on enough coordinates and whose full sets are similar enough."""
     for rows in batches:
+        if not len(rows):
+            continue
+        a = np.frombuffer(b"".join(rows["sig_a"]), "<u4").reshape(-1, COORDINATES)
+        b = np.frombuffer(b"".join(rows["sig_b"]), "<u4").reshape(-1, COORDINATES)
+        rows = rows[(a == b).sum(axis=1) >= MATCHES]
         keep = []
         for x, y in zip(rows["set_a"], rows["set_b"]):
             x, y = _unpack(x), _unpack(y)
@@ -159,51 +189,48 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows.loc[np.array(keep, bool), ["a", "b"]]
 
 
-def confirmed(candidates: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """The candidates (a, b) whose full sets are similar enough."""
-    size = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY
-    sig = reps.select("rep", "n_shingles", "signature")
-    both = candidates.join(sig.toDF("a", "n_a", "sig_a"), "a").join(sig.toDF("b", "n_b", "sig_b"), "b").where(size)
-    close = store.materialize(both.select("a", "b", "sig_a", "sig_b").mapInPandas(_agree, "a long, b long"), "close")
-    needed = close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct()
-    sets = store.materialize(docs.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInPandas(_sets, "rep long, hashes binary"), "sets")
-    with_b = close.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
-    out = store.materialize(with_b.select("a", "b", "set_a", "set_b").mapInPandas(_confirm, "a long, b long"), "links")
-    store.drop(sets)
-    store.drop(close)
-    return out
+def confirmed(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
+    side = candidates.select("rep", "signature", "hashes")
+    both = pairs.join(side.toDF("b", "sig_b", "set_b"), "b").join(side.toDF("a", "sig_a", "set_a"), "a")
+    return store.materialize(both.select("a", "b", "sig_a", "sig_b", "set_a", "set_b").mapInPandas(_confirm, "a long, b long"), "links")
+
+
+def _may_link(n_a: str, shared_a: str, n_b: str, shared_b: str) -> F.Column:
+    """Whether the largest possible intersection is large enough for the sets' sizes."""
+    return F.least(shared_a, shared_b, n_a, n_b) * (100 + SIMILARITY) >= (F.col(n_a) + F.col(n_b)) * SIMILARITY
 
 
-def link_components(reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, root) of the representatives that are linked with another."""
+def link_components(reps: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """(node, root) of the representatives that are linked with another; None if there are none."""
     posts = prefix_posts(reps)
+    candidates = candidate_sets(posts, reps, docs)
+    posts = posts.join(candidates.select("rep", "n", "shared"), "rep")
     labels, links, number = None, None, 0
     while True:
         named = posts.withColumn("root", F.col("rep")) if labels is None else posts.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
         named = store.materialize(named, "named")
-        lists = named.groupBy("pair").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("pair")
+        # A document that is too poor in shared shingles for the smallest set of the list leaves it.
+        least = named.groupBy("pair").agg(F.min("n").alias("least"))
+        named = store.materialize(named.join(least, "pair").where(F.least("shared", "n") * (100 + SIMILARITY) >= (F.col("n") + F.col("least")) * SIMILARITY).drop("least"), "able")
+        # The list's main component is that of the document with the largest share of shared shingles.
+        central = F.struct((F.col("shared") / F.col("n")).alias("share"), (-F.col("rep")).alias("order"), "rep", "root")
+        lists = named.groupBy("pair").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(central).alias("main")).where("low <> high").select("pair", "main")
         live = store.materialize(named.join(lists, "pair"), "live")
-        store.drop(posts)
-        store.drop(named)
         if live.isEmpty():
-            break
-        centres = CENTRES[min(number, len(CENTRES) - 1)]
-        if centres == 1:
-            chosen = live.groupBy("pair").agg(F.min(F.struct("root", "rep")).alias("c")).select("pair", "c.rep", "c.root")
+            return labels
+        if number == 0:
+            chosen = live.where("rep = main.rep")
         else:
-            order = Window.partitionBy("pair").orderBy("root", "rep")
-            chosen = live.withColumn("n", F.row_number().over(order)).where(F.col("n") <= centres).drop("n")
-        chosen = store.materialize(chosen, "centres")
-        pairs = live.join(chosen.toDF("pair", "centre", "centre_root"), "pair").where("root <> centre_root")
-        pairs = store.materialize(pairs.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct(), "pairs")
-        found = confirmed(pairs, reps, docs)
+            order = Window.partitionBy("pair").orderBy(F.desc(F.col("shared") / F.col("n")), "rep")
+            chosen = live.where("root <> main.root").withColumn("place", F.row_number().over(order)).where(F.col("place") <= CENTRES)
+        chosen = store.materialize(chosen.select("pair", "rep", "root", "n", "shared").toDF("pair", "centre", "centre_root", "centre_n", "centre_shared"), "centres")
+        met = (live["pair"] == chosen["pair"]) & (F.col("root") != F.col("centre_root")) & _may_link("n", "shared", "centre_n", "centre_shared")
+        pairs = live.join(chosen, met).select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
+        found = confirmed(store.materialize(pairs, "pairs"), candidates)
         links = found if links is None else links.unionByName(found)
         labels = connected_components(links)
-        posts = store.materialize(live.select("pair", "rep").join(chosen.select("pair", "rep"), ["pair", "rep"], "left_anti"), "prefixes")
-        for t in (live, chosen, pairs):
-            store.drop(t)
+        posts = live.select("pair", "rep", "n", "shared").join(chosen.select("pair", F.col("centre").alias("rep")), ["pair", "rep"], "left_anti")
         number += 1
-    return labels
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
