@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def percentiles(value: Column, points=(0.5, 0.9, 0.95, 0.99)) -> Column:
@@ -40,7 +41,7 @@ def t_statistic(mean_a: Column, sd_a: Column, n_a: Column, mean_b: Column, sd_b:
     return F.when(error > 0, (mean_a - mean_b) / error)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_p_value(t: pd.Series) -> pd.Series:
     """Two-tailed, by the normal approximation."""
     return t.map(lambda x: None if x is None or x != x else 1 - math.erf(abs(x) / math.sqrt(2)))

@@ -21,7 +21,9 @@ def length_score(text: Column, low: int = 50, high: int = 1000) -> Column:
 
 
 def ngrams(words: Column, n: int) -> Column:
-    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    """Runs of n words.  The words are bound to a lambda variable, so that they are split once and not for each run."""
+    runs = lambda w: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    return F.transform(F.array(words), runs)[0]
 
 
 def diversity_score(text: Column) -> Column:

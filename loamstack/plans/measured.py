@@ -84,7 +84,7 @@ def metric_drift(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 3600 SECOND THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
-n AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS session FROM g) SELECT user_id, session, min(ts)::TIMESTAMP AS started, max(ts)::TIMESTAMP AS ended, count(*) AS events FROM n GROUP BY 1, 2""")
+n AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS session FROM g) SELECT user_id, session::BIGINT AS session, min(ts)::TIMESTAMP AS started, max(ts)::TIMESTAMP AS ended, count(*) AS events FROM n GROUP BY 1, 2""")
 def correlation_sessions(spark: SparkSession, d: str) -> DataFrame:
     s = telemetry.sessions(B.events(spark, d), "user_id")
     return s.withColumns({"started": F.col("started").cast("timestamp_ntz"), "ended": F.col("ended").cast("timestamp_ntz")})
@@ -170,10 +170,10 @@ def cost_report(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(costs.report(costs.priced(B.usage(spark, d), costs.price_table(spark))), "cost")
 
 
-@query(f"""WITH {_PRICED} SELECT event_id, round(sum(cost) OVER (PARTITION BY operation ORDER BY timestamp, event_id), 4) AS spent FROM priced""")
+@query(f"""WITH {_PRICED} SELECT event_id, round(sum(cost) OVER (PARTITION BY operation ORDER BY timestamp, event_id), 8) AS spent FROM priced""")
 def cost_running(spark: SparkSession, d: str) -> DataFrame:
     rows = costs.running_budget(costs.priced(B.usage(spark, d), costs.price_table(spark)), 1.0, "operation", "timestamp", "event_id")
-    return _rounded(rows.select("event_id", "spent"), "spent")
+    return _rounded(rows.select("event_id", "spent"), "spent", digits=8)
 
 
 @query(f"""WITH {_PRICED} SELECT round(sum(cost), 4) AS spent, round(greatest(0, 50 - sum(cost)), 4) AS remaining, round(sum(cost) / 50 * 100, 4) AS used_percent, sum(cost) >= 50 AS over FROM priced""")
