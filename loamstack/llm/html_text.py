@@ -221,7 +221,7 @@ class Flow:
         if self.lines and self.gap:
             self.lines += [""] * self.gap
         self.gap = 0
-        self.lines.append(" " * (self.indent - len(self.marker) if self.marker else self.indent) + self.marker + text)
+        self.lines.append(" " * (max(self.indent - 2, 0) if self.marker else self.indent) + self.marker + text)
         self.marker = ""
 
     def edge(self, gap: int) -> None:

@@ -9,10 +9,12 @@ the pairs ordered by how many documents have them (rarest first) both must share
 their first ``COORDINATES - MATCHES + 1``: only this prefix is merged, and frequent
 values, such as those of passages that many documents share, are skipped.
 
-Lists are not expanded into all pairs.  The first round holds the documents of a list
+Two documents meet only in the first list that both have, and lists are not expanded
+into all pairs.  The first round holds the documents of a list
 against its most central one, which shares the largest part of its shingles with others;
-copies of one text then have one component.  Later rounds hold the documents outside the
-list's main component against those of other components.  Pairs whose sizes and shared
+copies of one text then mostly have one component.  The second round takes more central
+ones, later rounds the documents outside the list's main component; each is held
+against the list's documents of other components.  Pairs whose sizes and shared
 shingles rule a link out are not made, those that agree on too few coordinates are
 dropped, the others are confirmed on the full sets, and links join components.  A
 centre leaves the list after its round and a list of one component is done, so every pair
@@ -43,8 +45,10 @@ COORDINATES = 64
 MATCHES = 28
 #: Bytes kept of each shingle's hash when sets are confirmed.
 HASH_BYTES = 6
-#: Documents outside a list's main component that are tried in a round.
-CENTRES = 64
+#: Central documents of a list that are tried in the second round.
+CENTRAL = 32
+#: Documents outside a list's main component that are tried in a later round.
+OUTSIDE = 256
 MEMORY_WORDS = 300_000
 
 _rng = np.random.default_rng(20240607)
@@ -163,13 +167,15 @@ def candidate_sets(posts: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFr
     wanted = store.materialize(wanted, "wanted")
     texts = docs.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     sets = texts.mapInPandas(_sets, "rep long, set_key binary, hashes binary").join(wanted, ["rep", "set_key"])
-    sets = store.materialize(sets.select("rep", "signature", "hashes"), "sets").dropDuplicates(["rep"])
+    stored = store.materialize(sets.select("rep", "signature", "hashes"), "sets")
+    sets = stored.dropDuplicates(["rep"])
     rows = store.materialize(sets.select("rep", "hashes").mapInPandas(_spread, "rep long, hash long"), "shingles")
     twice = rows.groupBy("hash").count().where("count > 1").select("hash")
     shared = rows.join(twice, "hash").groupBy("rep").agg(F.count("*").cast("int").alias("shared"))
     n = (F.octet_length("hashes") / HASH_BYTES).cast("int")
     out = store.materialize(sets.select("rep", n.alias("n"), "signature", "hashes").join(shared, "rep"), "candidates")
-    store.drop(rows)
+    for t in (rows, wanted, stored):
+        store.drop(t)
     return out
 
 
@@ -204,29 +210,40 @@ def link_components(reps: DataFrame, docs: DataFrame) -> DataFrame | None:
     """(node, root) of the representatives that are linked with another; None if there are none."""
     posts = prefix_posts(reps)
     candidates = candidate_sets(posts, reps, docs)
+    prefixes = store.materialize(posts.groupBy("rep").agg(F.collect_list("pair").alias("prefix")), "prefix")  # at most COORDINATES
     posts = posts.join(candidates.select("rep", "n", "shared"), "rep")
+    old: list[DataFrame] = []
     labels, links, number = None, None, 0
     while True:
         named = posts.withColumn("root", F.col("rep")) if labels is None else posts.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
         named = store.materialize(named, "named")
+        for t in old:
+            store.drop(t)
         # A document that is too poor in shared shingles for the smallest set of the list leaves it.
         least = named.groupBy("pair").agg(F.min("n").alias("least"))
-        named = store.materialize(named.join(least, "pair").where(F.least("shared", "n") * (100 + SIMILARITY) >= (F.col("n") + F.col("least")) * SIMILARITY).drop("least"), "able")
+        able = store.materialize(named.join(least, "pair").where(F.least("shared", "n") * (100 + SIMILARITY) >= (F.col("n") + F.col("least")) * SIMILARITY).drop("least"), "able")
         # The list's main component is that of the document with the largest share of shared shingles.
         central = F.struct((F.col("shared") / F.col("n")).alias("share"), (-F.col("rep")).alias("order"), "rep", "root")
-        lists = named.groupBy("pair").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(central).alias("main")).where("low <> high").select("pair", "main")
-        live = store.materialize(named.join(lists, "pair"), "live")
+        lists = able.groupBy("pair").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(central).alias("main")).where("low <> high").select("pair", "main")
+        live = store.materialize(able.join(lists, "pair"), "live")
+        store.drop(able)
         if live.isEmpty():
             return labels
         if number == 0:
             chosen = live.where("rep = main.rep")
         else:
             order = Window.partitionBy("pair").orderBy(F.desc(F.col("shared") / F.col("n")), "rep")
-            chosen = live.where("root <> main.root").withColumn("place", F.row_number().over(order)).where(F.col("place") <= CENTRES)
+            chosen = (live if number == 1 else live.where("root <> main.root")).withColumn("place", F.row_number().over(order))
+            chosen = chosen.where(F.col("place") <= (CENTRAL if number == 1 else OUTSIDE))
         chosen = store.materialize(chosen.select("pair", "rep", "root", "n", "shared").toDF("pair", "centre", "centre_root", "centre_n", "centre_shared"), "centres")
-        met = (live["pair"] == chosen["pair"]) & (F.col("root") != F.col("centre_root")) & _may_link("n", "shared", "centre_n", "centre_shared")
-        pairs = live.join(chosen, met).select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
-        found = confirmed(store.materialize(pairs, "pairs"), candidates)
+        # Two documents meet in the first of the lists that both have, not in each.
+        left, right = live.drop("main").join(prefixes, "rep"), chosen.join(prefixes.toDF("centre", "centre_prefix"), "centre")
+        first = F.array_min(F.array_intersect("prefix", "centre_prefix")) == left["pair"]
+        met = (left["pair"] == right["pair"]) & (F.col("root") != F.col("centre_root")) & _may_link("n", "shared", "centre_n", "centre_shared") & first
+        pairs = left.join(right, met).select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
+        pairs = store.materialize(pairs, "pairs")
+        found = confirmed(pairs, candidates)
+        old = [named, live, chosen, pairs]
         links = found if links is None else links.unionByName(found)
         labels = connected_components(links)
         posts = live.select("pair", "rep", "n", "shared").join(chosen.select("pair", F.col("centre").alias("rep")), ["pair", "rep"], "left_anti")

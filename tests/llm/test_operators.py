@@ -1,0 +1,231 @@
+"""Operators against brute force, exact round trips and held-out accuracy."""
+
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from loamstack.llm import components, decontaminate, html_text, license_scan, media, near_dup, packing, pii, shards, token_store, tokens, toxicity
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{FOLDER}/documents.parquet")
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_give_the_ids_of_whole_texts(file, docs):
+    coder = tokens.encoder(file)
+    texts = [r["text"] for r in docs.select("text").limit(60).collect()]
+    odd = ["", "  a b ", "a\n b", "x\n \tb", " \n\n a  b", "It's a don't, we'll 'tis", "naïve Éa, İstanbul ΣΑΣ", "<|endoftext|> a", "1234 5,6.7 a1b2", "a\x1cb c \x85d", "日本語 テキスト。", "x...\ny?!\n\nz", "\na", "A's\nB"]
+    for text in texts + odd:
+        assert coder.encode(text) == coder.whole(text), text
+
+
+def test_token_files_round_trip(spark, docs):
+    rows = {r["doc_id"]: r for r in token_store.read_tokens(token_store.write_tokens(docs)).collect()}
+    coder, start = tokens.encoder("byte_bpe_50k.json"), 0
+    for r in docs.orderBy("doc_id").collect():
+        ids = [*np.frombuffer(coder.whole(r["text"]), "<u4").tolist(), 2]
+        got = rows[r["doc_id"]]
+        assert (got["start"], got["n_tokens"], got["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
+def test_perfect_hash_is_minimal_and_rejects_strangers():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 60, 5000))
+    hashed = token_store.PerfectHash.build(keys)
+    assert sorted(hashed.slots(keys)) == list(range(len(keys)))
+    raw = token_store.pack_file(keys.tolist(), [np.array([k % 100, 2], "<u4").tobytes() for k in keys], 2)
+    f = token_store.TokenFile(raw)
+    assert f.get(int(keys[17])).tolist() == [int(keys[17]) % 100, 2]
+    strangers = np.arange(1000) + (1 << 61)
+    assert (f.records(strangers) >= 0).sum() == 0
+
+
+def brute_components(texts, n=5, least=75):
+    sets = []
+    for t in texts:
+        w = [x for x in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if x]
+        sets.append({tuple(w)} if 0 < len(w) < n else {tuple(w[k : k + n]) for k in range(len(w) - n + 1)})
+    root = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if sets[i] and 100 * len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+            a, b = root[i], root[j]
+            root = [min(a, b) if r in (a, b) else r for r in root]
+    return sets, root
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(400)]
+    texts = []
+    for _ in range(12):
+        base = [rng.choice(words) for _ in range(rng.randrange(30, 90))]
+        for _ in range(rng.randrange(1, 14)):
+            copy = [rng.choice(words) if rng.random() < rng.choice([0, 0.01, 0.03, 0.06]) else w for w in base]
+            texts.append(" ".join(copy))
+    passage = " ".join(rng.choice(words) for _ in range(40))
+    texts += [passage + " " + " ".join(rng.choice(words) for _ in range(rng.randrange(5, 60))) for _ in range(40)]
+    texts += ["a b c", "A  b C", "a b c d", "", texts[0].upper()]
+    rng.shuffle(texts)
+    sets, root = brute_components(texts)
+    rows = near_dup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == dict(enumerate(root))
+    assert all(r["n_shingles"] == len(sets[r["doc_id"]]) for r in rows)
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(k, k + 1) for k in range(20)] + [(100, k) for k in range(101, 130)] + [(129, 300), (7, 7)]
+    got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got[k] == 0 for k in range(21)) and all(got[k] == 100 for k in [*range(100, 130), 300])
+
+
+def test_windows_equal_brute_force(spark, docs):
+    bench = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    split = lambda t: re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = {}
+    for r in bench.collect():
+        w = split(r["text"])
+        for k in range(max(1, len(w) - 12) if w else 0):
+            windows.setdefault(tuple(w[k : k + 13]), set()).add(str(r["item_id"]))
+    got = {r["doc_id"]: r for r in decontaminate.contamination(docs, bench).collect()}
+    for r in docs.collect():
+        w = split(r["text"])
+        hit, items = set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if found := windows.get(tuple(w[k : k + n])):
+                    hit.update(range(k, k + n))
+                    items |= found
+        g = got[r["doc_id"]]
+        assert (g["n_words"], g["n_hit"], g["items"]) == (len(w), len(hit), sorted(items))
+
+
+def test_proximity_and_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "x a b c d y"), (2, "a b z c d"), (3, "d c b a")], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, "a b c d"), (6, "b z")], "item_id long, text string")
+    items = lambda slop: {r["doc_id"]: r["items"] for r in decontaminate.contamination(docs, bench, slop).collect()}
+    assert items(0) == {1: ["5"], 2: ["6"], 3: []}
+    assert items(1)[2] == ["5", "6"]
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 4)
+    assert items(0) == {1: ["5"], 2: ["6"], 3: []}
+
+
+def test_base_spans_equal_the_patterns():
+    patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    rng = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rng.choice("ab1239.@-+ ()4") for _ in range(rng.randrange(60))) + rng.choice(["", " 4111 1111 1111 1111", "x@y.z@q.r", "1.2.3.4.5", "+1 (020) 555-1234"])
+        want = []
+        for kind, p in patterns.items():
+            for m in re.finditer(p, text):
+                digits = re.sub(r"\D", "", m[0])
+                ok = kind == "email" or kind == "ip" and all(int(x) <= 255 for x in m[0].split(".")) or kind == "card" and 16 <= len(digits) <= 19 and pii.luhn(digits) or kind == "phone" and 8 <= len(digits) <= 15
+                want += [(kind, *m.span())] * ok
+        assert pii.base_spans(text) == want, text
+    assert pii.base_spans("9" * 200_000) == []
+
+
+def test_contexts_find_identifiers_of_another_form(spark):
+    rows = [(k, f"reach staff under account mail person{k}@mail.example.com for help") for k in range(12)] + [(50, "reach staff under account mail ID-7781-x for help"), (51, "flight 7781 leaves")]
+    got = {r["doc_id"]: r["added"] for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    (span,) = got[50]
+    assert rows[12][1][span["start"] : span["end"]] == "ID-7781-x" and got[51] == [] and got[0] == []
+
+
+def test_redaction_keeps_rows_and_columns(spark, tmp_path):
+    spark.createDataFrame([(1, "mail a.b@c.de or 10.0.0.1.", "x"), (2, None, "y"), (3, "clean", "z")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/d")
+    got = pii.redact(spark.read.parquet(f"{tmp_path}/d"))
+    assert got.columns == ["doc_id", "text", "source"]
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "mail [EMAIL] or [IP].", 2: None, 3: "clean"}
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(0)
+    m = toxicity.Model({b"a": 1.0}, {"abc": 0.5})
+    mask = np.array([[1, 1, 1, 1], [1, 1, 0, 0]], float)
+    x, y = rng.normal(size=(2, 4, 12)) * mask[:, :, None], np.array([1.0, 0.0])
+    loss = lambda: float(-(y * np.log(p := toxicity._sigmoid(m.forward(x, mask))) + (1 - y) * np.log(1 - p)).sum())
+    logit, kept = m.forward(x, mask, keep=True)
+    g, _ = m.backward(x, mask, kept, toxicity._sigmoid(logit) - y)
+    for name, grad in g.items():
+        at = tuple(rng.integers(0, s) for s in grad.shape)
+        old = m.p[name][at]
+        m.p[name][at] = old + 1e-5
+        up = loss()
+        m.p[name][at] = old - 1e-5
+        down = loss()
+        m.p[name][at] = old
+        assert (up - down) / 2e-5 == pytest.approx(grad[at], abs=1e-6)
+
+
+def test_held_out_rows_are_told_apart(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    scored = toxicity.toxicity(docs, toxicity.fit(docs, labels)).where("held_out").join(labels, "doc_id").collect()
+    toxic, clean = [r["predicted"] for r in scored if r["toxic"]], [r["predicted"] for r in scored if not r["toxic"]]
+    assert np.mean(toxic) > 0.85 and np.mean(clean) < 0.02
+
+
+def test_codecs():
+    assert media.MULAW_PCM[[0xFF, 0x7F, 0x80, 0x00]].tolist() == [0, 0, 32124, -32124]
+    assert media.ALAW_PCM[[0xD5, 0x55, 0xAA, 0x2A]].tolist() == [8, -8, 32256, -32256]
+    payload, n = media.payload_of("ä" * 40)
+    assert n == 80 and len(payload) == 128
+    for codec in (media.MULAW, media.ALAW, media.IMA_ADPCM):
+        assert media.from_wav(media.to_wav(payload, codec)) == (codec, payload)
+    block = bytes(np.random.default_rng(2).integers(0, 256, 64, dtype=np.uint8))
+    value, index, want = int.from_bytes(block[:2], "little", signed=True), min(block[2], 88), []
+    want.append(value)
+    for byte in block[4:]:
+        for code in (byte & 15, byte >> 4):
+            step = int(media.IMA_STEPS[index])
+            change = (step >> 3) + (step if code & 4 else 0) + (step >> 1 if code & 2 else 0) + (step >> 2 if code & 1 else 0)
+            value = max(-32768, min(32767, value - change if code & 8 else value + change))
+            index = max(0, min(88, index + int(media.IMA_MOVES[code & 7])))
+            want.append(value)
+    assert media.decode_adpcm(block * 3)[2].tolist() == want
+
+
+def test_shards_are_contiguous_and_even(docs):
+    rows = sorted(shards.balanced_shards(docs, 8).collect(), key=lambda r: r["doc_id"])
+    assert [r["shard"] for r in rows] == sorted(r["shard"] for r in rows)
+    sizes = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 2 * max(r["size"] for r in rows)
+
+
+def test_packing_is_whole_and_tight(spark, docs):
+    rows = packing.pack_documents(docs).collect()
+    coder = tokens.encoder("word_bpe_49k.json")
+    want = sum(len(coder.whole(r["text"])) // 4 + 1 for r in docs.collect())
+    assert sum(r["length"] for r in rows) == want
+    assert len({r["sequence_id"] for r in rows}) <= -(-want // 4096) + 1
+
+
+def test_crossover_keeps_every_document_once():
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(1, 100, 300)
+    a, b = (packing.best_fit(lengths, rng.permutation(300), 100) for _ in range(2))
+    child = packing.crossover(a, b, lengths, 100, rng)
+    assert len(child) == 300 and packing.fills(child, lengths).max() <= 100
+    better = packing.evolve(lengths, 100, [a, b], 5, 4, rng)[0]
+    assert packing.fitness(better, lengths, 100) >= max(packing.fitness(a, lengths, 100), packing.fitness(b, lengths, 100))
+
+
+def test_layout():
+    page = """<head><title>T</title><body><nav><ul><li>One<li>Two <b>x</b><ol><li>in</ol></ul></nav><h1>Head</h1><p>a<br>b<p>c&amp;<span hidden>no</span><i style="display: none">no</i>
+<table><tr><th>Name<th>Value<tr><td>a long name<td>1</table><pre>  keep
+ this</pre><script>"</p>"</script>end"""
+    assert html_text.extract(page) == "- One\n- Two x\n  1. in\n\nHead\n\na\nb\n\nc&\n\nName         Value\na long name  1\n\n  keep\n this\n\nend"
+
+
+def test_licences_are_stated_and_inherited(spark):
+    rows = [(1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/c/x", "some code"), (3, "a/b/COPYING", "Licensed under the Apache License, Version 2.0."), (4, "d/y", "other words\nLicensed under CC BY-NC 4.0.\nmore words " + "z " * 50), (5, "a/q", "the under version of it")]
+    got = {r["key"]: (r["license"], r["inherited_from"]) for r in license_scan.scan(spark.createDataFrame(rows, "key long, path string, text string")).collect()}
+    assert got == {1: ("MIT", None), 2: ("Apache-2.0", "a/b"), 3: ("Apache-2.0", None), 4: ("CC-BY-NC-4.0", None), 5: ("MIT", "a")}
