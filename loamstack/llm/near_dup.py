@@ -14,9 +14,12 @@ into all pairs.  The first round holds the documents of a list
 against its most central one, which shares the largest part of its shingles with others;
 copies of one text then mostly have one component.  The second round takes more central
 ones, later rounds the documents outside the list's main component; each is held
-against the list's documents of other components.  Pairs whose sizes and shared
-shingles rule a link out are not made, those that agree on too few coordinates are
-dropped, the others are confirmed on the full sets, and links join components.  A
+against the list's documents of other components.  Pairs whose sizes, shared
+shingles or parities rule a link out are not made, those that agree on too few coordinates
+are dropped, the others are confirmed on the full sets, and links join components.  The
+parity of a set has a bit for each residue of its hashes, set where an odd number have it;
+what two sets have in common cancels out, so the bits in which their parities differ are no
+more than the shingles that only one has, and no link is lost by it.  A
 centre leaves the list after its round and a list of one component is done, so every pair
 of a list is tried, ruled out or known to be joined.
 
@@ -49,6 +52,8 @@ HASH_BYTES = 6
 CENTRAL = 32
 #: Documents outside a list's main component that are tried in a later round.
 OUTSIDE = 256
+#: 64-bit words of a set's parity.
+PARITY = 16
 MEMORY_WORDS = 300_000
 
 _rng = np.random.default_rng(20240607)
@@ -133,15 +138,22 @@ def prefix_posts(reps: DataFrame) -> DataFrame:
     return out
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each residue of the hashes, set where an odd number of them have it."""
+    odd = np.bincount((hashes % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
-        keys, packed = [], []
+        keys, packed, bits = [], [], []
         for text in rows["text"]:
             hashes = shingle_set(text)
             keys.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+            bits.append(parity(hashes))
             short = np.unique(hashes >> np.uint64(64 - 8 * HASH_BYTES))
             packed.append(short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes())
-        yield pd.DataFrame({"rep": rows["doc_id"], "set_key": keys, "hashes": packed})
+        yield pd.DataFrame({"rep": rows["doc_id"], "set_key": keys, "hashes": packed, "parity": bits})
 
 
 def _unpack(raw: bytes) -> np.ndarray:
@@ -159,21 +171,21 @@ def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def candidate_sets(posts: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """(rep, n, shared, signature, hashes) of the representatives that have posts.
+    """(rep, n, shared, signature, parity, hashes) of the representatives that have posts.
 
     ``shared`` counts the shingles that another of them has: no intersection can be larger.
     """
     wanted = reps.join(posts.select("rep").distinct(), "rep", "left_semi").select("rep", "set_key", "signature")
     wanted = store.materialize(wanted, "wanted")
     texts = docs.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    sets = texts.mapInPandas(_sets, "rep long, set_key binary, hashes binary").join(wanted, ["rep", "set_key"])
-    stored = store.materialize(sets.select("rep", "signature", "hashes"), "sets")
+    sets = texts.mapInPandas(_sets, "rep long, set_key binary, hashes binary, parity array<long>").join(wanted, ["rep", "set_key"])
+    stored = store.materialize(sets.select("rep", "signature", "parity", "hashes"), "sets")
     sets = stored.dropDuplicates(["rep"])
     rows = store.materialize(sets.select("rep", "hashes").mapInPandas(_spread, "rep long, hash long"), "shingles")
     twice = rows.groupBy("hash").count().where("count > 1").select("hash")
     shared = rows.join(twice, "hash").groupBy("rep").agg(F.count("*").cast("int").alias("shared"))
     n = (F.octet_length("hashes") / HASH_BYTES).cast("int")
-    out = store.materialize(sets.select("rep", n.alias("n"), "signature", "hashes").join(shared, "rep"), "candidates")
+    out = store.materialize(sets.select("rep", n.alias("n"), "signature", "parity", "hashes").join(shared, "rep"), "candidates")
     for t in (rows, wanted, stored):
         store.drop(t)
     return out
@@ -206,11 +218,18 @@ def _may_link(n_a: str, shared_a: str, n_b: str, shared_b: str) -> F.Column:
     return F.least(shared_a, shared_b, n_a, n_b) * (100 + SIMILARITY) >= (F.col(n_a) + F.col(n_b)) * SIMILARITY
 
 
+def _differ_little(n_a: str, parity_a: str, n_b: str, parity_b: str) -> F.Column:
+    """Whether the parities differ in no more bits than linked sets have shingles apart."""
+    apart = sum((F.bit_count(F.col(parity_a)[k].bitwiseXOR(F.col(parity_b)[k])) for k in range(PARITY)), F.lit(0))
+    return apart * (100 + SIMILARITY) <= (F.col(n_a) + F.col(n_b)) * (100 - SIMILARITY)
+
+
 def link_components(reps: DataFrame, docs: DataFrame) -> DataFrame | None:
     """(node, root) of the representatives that are linked with another; None if there are none."""
     posts = prefix_posts(reps)
     candidates = candidate_sets(posts, reps, docs)
-    prefixes = store.materialize(posts.groupBy("rep").agg(F.collect_list("pair").alias("prefix")), "prefix")  # at most COORDINATES
+    prefixes = posts.groupBy("rep").agg(F.collect_list("pair").alias("prefix"))  # at most COORDINATES
+    prefixes = store.materialize(prefixes.join(candidates.select("rep", "parity"), "rep"), "prefix")
     posts = posts.join(candidates.select("rep", "n", "shared"), "rep")
     old: list[DataFrame] = []
     labels, links, number = None, None, 0
@@ -237,9 +256,9 @@ def link_components(reps: DataFrame, docs: DataFrame) -> DataFrame | None:
             chosen = chosen.where(F.col("place") <= (CENTRAL if number == 1 else OUTSIDE))
         chosen = store.materialize(chosen.select("pair", "rep", "root", "n", "shared").toDF("pair", "centre", "centre_root", "centre_n", "centre_shared"), "centres")
         # Two documents meet in the first of the lists that both have, not in each.
-        left, right = live.drop("main").join(prefixes, "rep"), chosen.join(prefixes.toDF("centre", "centre_prefix"), "centre")
+        left, right = live.drop("main").join(prefixes, "rep"), chosen.join(prefixes.toDF("centre", "centre_prefix", "centre_parity"), "centre")
         first = F.array_min(F.array_intersect("prefix", "centre_prefix")) == left["pair"]
-        met = (left["pair"] == right["pair"]) & (F.col("root") != F.col("centre_root")) & _may_link("n", "shared", "centre_n", "centre_shared") & first
+        met = (left["pair"] == right["pair"]) & (F.col("root") != F.col("centre_root")) & _may_link("n", "shared", "centre_n", "centre_shared") & _differ_little("n", "parity", "centre_n", "centre_parity") & first
         pairs = left.join(right, met).select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
         pairs = store.materialize(pairs, "pairs")
         found = confirmed(pairs, candidates)

@@ -229,3 +229,13 @@ def test_licences_are_stated_and_inherited(spark):
     rows = [(1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/c/x", "some code"), (3, "a/b/COPYING", "Licensed under the Apache License, Version 2.0."), (4, "d/y", "other words\nLicensed under CC BY-NC 4.0.\nmore words " + "z " * 50), (5, "a/q", "the under version of it")]
     got = {r["key"]: (r["license"], r["inherited_from"]) for r in license_scan.scan(spark.createDataFrame(rows, "key long, path string, text string")).collect()}
     assert got == {1: ("MIT", None), 2: ("Apache-2.0", "a/b"), 3: ("Apache-2.0", None), 4: ("CC-BY-NC-4.0", None), 5: ("MIT", "a")}
+
+
+def test_parities_differ_in_no_more_bits_than_sets():
+    rng = np.random.default_rng(2)
+    for n, apart in [(1, 0), (40, 9), (200, 60), (5000, 900)]:
+        common, own, other = (rng.integers(0, 1 << 63, k, dtype=np.uint64) for k in (n, apart, apart))
+        a, b = near_dup.parity(np.concatenate([common, own])), near_dup.parity(np.concatenate([other, common]))
+        bits = sum(int(x).bit_count() for x in (a ^ b).view("<u8"))
+        assert bits <= 2 * apart and len(a) == near_dup.PARITY
+        assert apart > 60 or bits >= 1.5 * apart
