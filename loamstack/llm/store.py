@@ -14,6 +14,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark removes an execution's shuffle files when it has ended; the written table replaces them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -38,7 +41,12 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._loam_path = path
     return out
