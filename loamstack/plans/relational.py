@@ -50,6 +50,17 @@ def rel_full_join(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(F.coalesce("c_nationkey", "s_nationkey").alias("nation"), F.col("c_custkey").isNull().alias("no_customer"), F.col("s_suppkey").isNull().alias("no_supplier")).agg(F.count("*").alias("n"))
 
 
+@query("""SELECT coalesce(c_nationkey, s_nationkey) AS nation, c_custkey IS NULL AS no_customer, s_suppkey IS NULL AS no_supplier, count(*) AS n
+FROM customer FULL JOIN supplier ON c_nationkey = s_nationkey GROUP BY ALL""")
+def rel_full_join_whole(spark: SparkSession, d: str) -> DataFrame:
+    """rel_full_join over all rows: both sides are counted by nation first, so no pair of rows is made."""
+    c = table(spark, d, "customer").groupBy("c_nationkey", F.col("c_custkey").isNull().alias("no_customer")).agg(F.count("*").alias("nc"))
+    s = table(spark, d, "supplier").groupBy("s_nationkey", F.col("s_suppkey").isNull().alias("no_supplier")).agg(F.count("*").alias("ns"))
+    rows = c.join(s, F.col("c_nationkey") == F.col("s_nationkey"), "full")
+    pairs = F.coalesce("nc", F.lit(1)) * F.coalesce("ns", F.lit(1))
+    return rows.groupBy(F.coalesce("c_nationkey", "s_nationkey").alias("nation"), F.coalesce("no_customer", F.lit(True)).alias("no_customer"), F.coalesce("no_supplier", F.lit(True)).alias("no_supplier")).agg(F.sum(pairs).alias("n"))
+
+
 @query("""SELECT p_brand, count(*) AS sold FROM part WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45) GROUP BY p_brand""")
 def rel_semi_join(spark: SparkSession, d: str) -> DataFrame:
     busy = table(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
@@ -142,6 +153,13 @@ def rel_unpivot(spark: SparkSession, d: str) -> DataFrame:
     return t.unpivot(["l_orderkey", "l_linenumber"], ["l_discount", "l_tax"], "name", "v").select("l_orderkey", "name", F.round("v", 4).alias("v"))
 
 
+@query("""SELECT l_orderkey, name, round(v, 4) AS v FROM (SELECT l_orderkey, l_linenumber, l_discount, l_tax FROM lineitem) UNPIVOT (v FOR name IN (l_discount, l_tax))""")
+def rel_unpivot_whole(spark: SparkSession, d: str) -> DataFrame:
+    """rel_unpivot over all rows; like the SQL, without those whose value is null."""
+    t = table(spark, d, "lineitem").unpivot(["l_orderkey", "l_linenumber"], ["l_discount", "l_tax"], "name", "v")
+    return t.where("v IS NOT NULL").select("l_orderkey", "name", F.round("v", 4).alias("v"))
+
+
 @query("""(SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier)""")
 def rel_intersect(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).intersect(table(spark, d, "supplier").select(F.col("s_nationkey").alias("k")))
