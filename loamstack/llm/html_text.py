@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from . import store
 
 _TAG = re.compile(
-    r"<(?:!--(?:>|->|.*?(?:--!?>|\Z))|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,65536}\"|'[^']{0,65536}')*+)>|[!?/][^>]*+>?)", re.DOTALL
+    r"<(?:!--(?:>|->|.*?(?:--!?>|\Z))|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[!?/][^>]*+>?)", re.DOTALL
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _BLANK = re.compile(r"[ \t\n\r\f]+")
