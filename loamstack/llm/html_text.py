@@ -2,7 +2,8 @@
 
 A tolerant tokenizer feeds a tree builder that closes what a new tag implies (paragraphs,
 list items, table cells and rows, options, the head).  The tree is walked without
-recursion; what a browser would not show is left out.  Blocks stand on lines of their
+recursion; what a browser would not show is left out.  Formulas (MathML) and the labels of inline
+diagrams (SVG) are text like any other, and visible inputs show their value.  Blocks stand on lines of their
 own, paragraphs and headings apart by an empty line, list items behind markers and
 indented by depth, preformatted text as it is, table cells in aligned columns.
 
@@ -32,7 +33,17 @@ _UNSEEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|colla
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
 #: Elements whose content a browser does not show (``dialog`` and ``details`` are judged by their attributes).
-UNSEEN = frozenset("head script style title template noscript iframe noembed noframes datalist object audio video canvas svg math map param".split())
+UNSEEN = frozenset("head script style title template noscript iframe noembed noframes datalist object audio video canvas map param".split())
+#: The same in MathML and SVG; the slash of their tags closes them.
+UNSEEN_FOREIGN = {"math": frozenset("annotation annotation-xml mphantom".split()), "svg": frozenset("defs desc metadata title symbol clippath mask marker pattern lineargradient radialgradient filter".split())}
+#: Elements of MathML and SVG whose content is HTML again.
+HTML_AGAIN = {"math": frozenset("mi mo mn ms mtext".split()), "svg": frozenset(["foreignobject"])}
+#: Elements of MathML and SVG that stand apart from what is around them.
+APART = frozenset("mtd mtr mfrac mroot text foreignobject".split())
+#: Start tags that end MathML and SVG.
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: Types of inputs that do not show their value.
+NO_VALUE = frozenset("hidden password checkbox radio file range color image".split())
 HEAD_ONLY = frozenset("base link meta title style script template noscript".split())
 #: Lines before and after each block element that are kept empty.
 BLOCKS = dict.fromkeys("address article aside body center details dialog dir div fieldset figcaption figure footer form header hgroup html legend li main menu nav optgroup option search section summary dd dt".split(), 0)
@@ -46,17 +57,22 @@ IMPLIES = {
 }
 IMPLIES |= {"thead": IMPLIES["tbody"], "tfoot": IMPLIES["tbody"]}
 CLOSES_P = frozenset(BLOCKS) - {"html", "body", "option", "optgroup", "legend"}
-P_BARRIER = frozenset("button td th caption table object template html".split())
+P_BARRIER = frozenset("button td th caption table object template html mi mo mn ms mtext foreignobject".split())
 END_BARRIER = frozenset("table td th template".split())
 #: Columns wider than this are not padded.
 WIDEST = 60
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "kind", "inner")
 
-    def __init__(self, tag: str, attributes: str = ""):
+    def __init__(self, tag: str, attributes: str = "", around: str = ""):
         self.tag, self.attributes, self.children = tag, attributes, []
+        # Language of the element and of its content: "" for HTML, "math", "svg", "svg text".
+        self.kind = tag if tag in ("math", "svg") else around
+        self.inner = "svg text" if self.kind == "svg" and tag == "text" else self.kind
+        if self.kind and tag in HTML_AGAIN[self.kind[:4].strip()]:
+            self.inner = ""
 
     def attribute(self, name: str) -> str | None:
         """Value of an attribute; empty if it has none, None if it is not there."""
@@ -115,6 +131,15 @@ class TreeBuilder:
                     self.start("head", "")
             else:
                 self._body()
+        if around := self.open[-1].inner:
+            if tag not in BREAKOUT:
+                node = Node(tag, attributes, around)
+                self.open[-1].children.append(node)
+                if not attributes.endswith("/"):
+                    self.open.append(node)
+                return node
+            while self.open[-1].inner:
+                self.open.pop()
         if tag in CLOSES_P:
             self._close({"p"}, P_BARRIER)
         if tag in IMPLIES:
@@ -123,6 +148,8 @@ class TreeBuilder:
             self.start("tr", "")
         node = Node(tag, attributes)
         self.open[-1].children.append(node)
+        if node.kind and attributes.endswith("/"):
+            return node
         if tag not in VOID and not attributes.endswith("/") or tag in RAW:
             if tag not in VOID:
                 self.open.append(node)
@@ -158,6 +185,9 @@ class TreeBuilder:
                 return
             if self.open[-1].tag not in RAW:
                 self._body()
+        inner = self.open[-1].inner
+        if inner == "svg" or inner == "math" and data.isspace():
+            return
         self.open[-1].children.append(data)
 
 
@@ -188,7 +218,7 @@ def parse(page: str) -> Node:
 
 
 def shown(node: Node) -> bool:
-    if node.tag in UNSEEN:
+    if node.tag in UNSEEN or node.kind and node.tag in UNSEEN_FOREIGN[node.kind[:4].strip()]:
         return False
     if not node.attributes or node.attributes.isspace():
         return node.tag != "dialog"
@@ -197,6 +227,8 @@ def shown(node: Node) -> bool:
         return False
     if "style" in low and _UNSEEN_STYLE.search(node.attribute("style") or ""):
         return False
+    if node.kind.startswith("svg") and (node.attribute("display") == "none" or node.attribute("visibility") in ("hidden", "collapse")):
+        return False
     if node.tag == "dialog":
         return node.attribute("open") is not None
     return not (node.tag == "input" and (node.attribute("type") or "").lower() == "hidden")
@@ -328,6 +360,12 @@ def render(root: Node) -> str:
             continue
         if not shown(node):
             continue
+        if node.kind:
+            apart = [" "] if tag in APART else []
+            flow.inline += apart
+            parts = [x for c in node.children for x in (c, " ")] if tag in ("mfrac", "mroot") else [*node.children, *apart]
+            work += [(c, False) for c in reversed(parts)]
+            continue
         if tag == "br":
             flow.inline.append("\n" if pre else "\x00")
             continue
@@ -336,7 +374,7 @@ def render(root: Node) -> str:
             flow.line("---")
             continue
         if tag in VOID:
-            if tag == "input" and (node.attribute("type") or "text").lower() in ("text", "submit", "button", "reset", "email", "search") and node.attribute("value"):
+            if tag == "input" and (node.attribute("type") or "text").strip().lower() not in NO_VALUE and node.attribute("value"):
                 flow.inline.append(f" {node.attribute('value')} ")
             elif tag == "wbr":
                 pass

@@ -8,3 +8,14 @@ def test_attributes_of_any_length_belong_to_their_tags():
         long = quote + "A" * 200_000 + quote
         page = f"a<img src={long}>b<script data-x={long}>no()</script><div hidden title={long}>no</div><table><tr><td>c<td title={long}>d</table>"
         assert html_text.extract(page) == "ab\n\nc  d"
+
+
+def test_formulas_labels_and_inputs_are_shown():
+    page = """<p>Let <math><mi>x</mi> <mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><semantics><mtext>for <b>all</b></mtext><annotation>no</annotation></semantics></math> hold.
+<p>a<svg viewBox="0 0 1 1"><title>no</title><desc>no</desc><defs><text>no</text></defs><style/><rect style="display:none"/> no <g><text>North <tspan>pole</tspan></text><path d=""/><text>South</text></g></svg>b<svg>
+<path d=""/></svg>c<p><svg><g>no<p>after <input type=tel value="+1 2"><input type="url" value=u><input type=number value=3><input type=date value=2020-01-01><input type=hidden value=no><input type=password value=no><input type=checkbox value=no>"""
+    assert html_text.extract(page) == "Let x= 1 2 for all hold.\n\na North pole South bc\n\nafter +1 2 u 3 2020-01-01"
+
+
+def test_elements_after_closed_and_open_diagrams():
+    assert html_text.extract("<svg/>a<math/>b<svg><text>c<foreignObject><p>d<div>e</div></foreignObject></svg>f<ul><li>g</ul>") == "ab c\n\nd\n\ne\nf\n\n- g"
