@@ -23,14 +23,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id; rows without id stay."""
-    judged = near_dup.near_duplicates(docs)
-    kept = judged.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(_ROW)).distinct()
-    known = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col(_ROW), "left_semi")
-    totals = docs.agg(F.count("doc_id").alias("n"), F.countDistinct("doc_id").alias("d")).first()
-    if totals["n"] != totals["d"]:
-        known = known.dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where("doc_id IS NULL"))
+    """One row of each group of near-duplicates, that with the smallest id; rows without id come last, equal ids by place."""
+    rows = docs.withColumn(_ROW, F.monotonically_increasing_id())
+    judged = near_dup.near_duplicates(rows.select(F.col(_ROW).alias("doc_id"), "text")).select(F.col("doc_id").alias(_ROW), "component_id")
+    placed = judged.join(rows.select(_ROW, "doc_id"), _ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", _ROW))
+    kept = store.materialize(placed.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{_ROW}").alias(_ROW)), "kept")
+    return rows.join(kept, _ROW, "left_semi").drop(_ROW)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

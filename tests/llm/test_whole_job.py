@@ -1,6 +1,7 @@
 """Inputs that were cut, dropped or passed over before."""
 
-from loamstack.llm import html_text
+import corpus_pipeline
+from loamstack.llm import html_text, store
 
 
 def test_attributes_of_any_length_belong_to_their_tags():
@@ -19,3 +20,15 @@ def test_formulas_labels_and_inputs_are_shown():
 
 def test_elements_after_closed_and_open_diagrams():
     assert html_text.extract("<svg/>a<math/>b<svg><text>c<foreignObject><p>d<div>e</div></foreignObject></svg>f<ul><li>g</ul>") == "ab c\n\nd\n\ne\nf\n\n- g"
+
+
+def test_near_dedup_judges_each_row(spark):
+    text = lambda name: " ".join(f"{name}{k}" for k in range(40))
+    rows = [(5, text("a")), (5, text("c") + " end"), (3, text("c")), (7, text("d")), (7, text("d")), (None, text("e")), (None, text("e") + " end"), (None, text("c")), (None, None), (9, ""), (2, text("f")), (8, text("f"))]
+    docs = store.materialize(spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(3), "odd")
+    got = corpus_pipeline.near_dedup_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str)
+    lone = [r for r in kept if r[1] in (text("e"), text("e") + " end")]
+    assert len(lone) == 1 and lone[0][0] is None
+    assert sorted([r for r in kept if r not in lone], key=str) == sorted([(5, text("a")), (3, text("c")), (7, text("d")), (None, None), (9, ""), (2, text("f"))], key=str)
