@@ -1,6 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
-A word enters by a vector of its own and by the sum of the vectors of its character
+Words are split at blanks and punctuation of any script; longer ones than ``PIECE``
+characters enter as overlapping pieces.  A word enters by a vector of its own and by the sum of the vectors of its character
 n-grams, both for the words and n-grams that training finds telling; the others enter as
 zeros.  Two gated recurrent layers, one in each direction, read a window of words,
 attention pools their states and a logistic unit scores the window.  Windows
@@ -17,6 +18,8 @@ document scores the prior 0.0 and nothing is predicted toxic; other columns are
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -47,13 +50,41 @@ MEMORY_WORDS = 300_000
 _KEEP = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 or b == 39 else 32 for b in range(256))
 
 
+#: Blanks, controls and punctuation beyond ASCII, also those without width.
+_BREAKS = [c for c in map(chr, range(128, 0x20000)) if unicodedata.category(c)[0] in "PZ" or unicodedata.category(c) == "Cc" or c in "\u200b\u2060\ufeff"]
+_APART = re.compile("[" + "".join(c for c in _BREAKS if c <= "\uffff") + "]")
+#: A class that is not of the basic plane alone is searched slowly.
+_FAR_APART = re.compile("[" + "".join(c for c in _BREAKS if c > "\uffff") + "]")
+
+
+def _part(text: str) -> str:
+    text = _APART.sub(" ", text)
+    return _FAR_APART.sub(" ", text) if max(text, default="") > "\uffff" else text
+
+
+#: Characters of a word at most, and by how many pieces of a longer one overlap.
+PIECE, OVERLAP = 40, 8
+
+
 def words(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8", "surrogatepass").translate(_KEEP).split() if isinstance(text, str) else []
+    """Words in lower case; one of more than ``PIECE`` characters as overlapping pieces."""
+    if not isinstance(text, str):
+        return []
+    low = text.lower()
+    found = (low if low.isascii() else _part(low)).encode("utf-8", "surrogatepass").translate(_KEEP).split()
+    if max(map(len, found), default=0) > PIECE:
+        found = [p for w in found for p in (pieces(w) if len(w) > PIECE else (w,))]
+    return found
+
+
+def pieces(word: bytes) -> list[bytes]:
+    w = word.decode("utf-8", "surrogatepass")
+    return [w[k : k + PIECE].encode("utf-8", "surrogatepass") for k in range(0, max(len(w) - OVERLAP, 1), PIECE - OVERLAP)]
 
 
 def grams(word: bytes) -> set[str]:
     """Runs of three to five characters of the marked word."""
-    w = f"<{word.decode('utf-8', 'replace')[:40]}>"
+    w = f"<{word.decode('utf-8', 'replace')}>"
     n = len(w)
     return {*[w[i : i + 3] for i in range(n - 2)], *[w[i : i + 4] for i in range(n - 3)], *[w[i : i + 5] for i in range(n - 4)]}
 

@@ -1,7 +1,7 @@
 """Inputs that were cut, dropped or passed over before."""
 
 import corpus_pipeline
-from loamstack.llm import html_text, store
+from loamstack.llm import html_text, store, toxicity
 
 
 def test_attributes_of_any_length_belong_to_their_tags():
@@ -32,3 +32,22 @@ def test_near_dedup_judges_each_row(spark):
     lone = [r for r in kept if r[1] in (text("e"), text("e") + " end")]
     assert len(lone) == 1 and lone[0][0] is None
     assert sorted([r for r in kept if r not in lone], key=str) == sorted([(5, text("a")), (3, text("c")), (7, text("d")), (None, None), (9, ""), (2, text("f"))], key=str)
+
+
+def test_words_of_any_script_and_length_enter_whole():
+    assert toxicity.words("It's a\u00a0b\u2014c\u201cd\u201d\u3000\u6f22\u5b57\u3002\u4eee\u540d\uff0ce\u200bf\u2026 \U0001f595 \u0e01\u0e34\u0e19") == [w.encode() for w in ("it's", "a", "b", "c", "d", "\u6f22\u5b57", "\u4eee\u540d", "e", "f", "\U0001f595", "\u0e01\u0e34\u0e19")]
+    for n in (1, 40, 41, 72, 73, 1000):
+        for start in (0x4E00, 97):
+            word = "".join(chr(start + k % (26 if start == 97 else 5000)) for k in range(n))
+            found = [p.decode() for p in toxicity.words(word)]
+            assert max(map(len, found)) <= toxicity.PIECE and (n > 40 or found == [word])
+            assert all(any(word[k : k + 5] in p for p in found) for k in range(n))
+
+
+def test_toxic_words_late_in_an_unbroken_text_are_found():
+    bad, plain = "\u6bd2\u8bcd\u6c61", [chr(0x5000 + k) for k in range(300)]
+    filler = lambda k: "".join(plain[(k * 37 + j * (k + 1)) % 300] for j in range(150))
+    texts = [filler(k) + (bad if k % 2 else "") + filler(k + 7)[:60] for k in range(400)]
+    model = toxicity.train(texts, [k % 2 for k in range(400)])
+    scores = toxicity.Scorer(model)([filler(901) + bad + filler(902), filler(901) + filler(902)])
+    assert scores[0] > toxicity.THRESHOLD > scores[1]
