@@ -1,30 +1,40 @@
 """Licences of files, by DataFrame operations only.
 
-Every line of a file (its headers, notices and the lines of licence files) is held against
-licence templates by the cosine of sparse TF-IDF vectors.  Document frequencies of the
+Every line of a file is held against licence templates by the cosine of sparse TF-IDF
+vectors, and so are overlapping windows of its words, over the line breaks: for each template
+windows of its own length, so a notice in a long line, a header block of many lines and a whole
+licence text (``licences`` has them) are each met by a window that is filled by them.  Document frequencies of the
 templates' terms are counted over all files; a term that no template has weighs as one
 that no file has.  A line can reach the threshold only if it has one of the templates'
-heavier terms, so others are passed over before their vectors are built.  A file
-whose lines together are one licence text is a licence file: files below its directory
+heavier terms, and a window only if it has a number of them, so others are passed over before
+their vectors are built; no match is lost by it.  A file
+most of whose words are in such lines or windows is a licence file: files below its directory
 that state no licence inherit from the nearest such ancestor.
 
 Defined results: a null or empty text states nothing; a null path has no ancestors; files
-with the same path share what they inherit; of equal cosines the first licence by name
-wins; in a directory with several licence files the one that fits best, then the first by
+with the same path share what they inherit; a text that fills most of its file comes before
+the greatest cosine, and of equal ones lines, the first place and the first licence by name; in a directory with several licence files the one that fits best, then the first by
 name; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
 import math
+from importlib import resources
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import store
 
 #: Cosine from which a line states a licence.
 THRESHOLD = 0.6
+#: Cosine from which a window is a template of more than ``LONG`` words: long texts have common words in common.
+LONG_THRESHOLD = 0.8
+LONG = 100
+#: Windows that start within the length of a template.
+STEPS = 4
 #: Share of a file's words in licence lines from which it is a licence file.
 FILE_SHARE = 0.5
 #: Statements and opening texts of public licences.
@@ -50,6 +60,24 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+#: Notices that take several lines, and the paragraphs of short licences.
+NOTICES = [
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+]
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the whole licences."""
+    files = sorted((f for f in resources.files(__package__).joinpath("licences").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
+    return [(f.name[:-4], f.read_text(encoding="utf-8")) for f in files]
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BREAK = "[^a-z0-9]+"
 
@@ -88,19 +116,74 @@ def telling_terms(weights: list[tuple[int, str, str, float]], idf: dict[str, flo
 
 def document_frequencies(files: DataFrame, vocabulary: list[str], text: str = "text") -> tuple[int, dict[str, int]]:
     """Number of files, and of those with each term of the templates."""
-    terms = F.array_intersect(_words(F.col(text)), F.array(*map(F.lit, vocabulary)))
+    terms = F.array_intersect(_words(F.col(text)), F.split(F.lit(" ".join(vocabulary)), " "))
     found = files.select(F.explode(F.concat(F.array(F.lit("")), F.coalesce(terms, F.array().cast("array<string>")))).alias("term")).groupBy("term").count().collect()  # a row for each term of the templates
     counts = {r["term"]: r["count"] for r in found}
     return counts.pop("", 0), counts
 
 
-def licence_lines(files: DataFrame, key: str, threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:
-    """(key, line, words, license, cosine) of the lines that state a licence; ``files`` has key and text."""
-    spark = files.sparkSession
+def inverse_frequencies(files: DataFrame, templates) -> tuple[dict[str, float], float]:
+    """Inverse document frequency of each term of the templates, and that of any other term."""
     vocabulary = sorted({t for _, text in templates for t in _terms(text)})
     total, df = document_frequencies(files, vocabulary)
-    idf = {t: math.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
-    unknown = math.log(1 + total) + 1
+    return {t: math.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in vocabulary}, math.log(1 + total) + 1
+
+
+def needed_terms(weights: list[tuple[str, float]], idf: dict[str, float], threshold: float) -> tuple[list[str], int]:
+    """Heavier terms of a template, and how many of them a text at the threshold has at least.
+
+    Its cosine is at most the length of the template's vector on the terms that both have.
+    """
+    own = sorted(((v * v, t) for t, v in weights), key=lambda x: (idf[x[1]], x[1]))
+    least, light, k = threshold * threshold - 1e-9, 0.0, 0
+    while k < len(own) and light + own[k][0] <= least / 2:
+        light += own[k][0]
+        k += 1
+    need, reached = 0, light
+    for part in sorted((p for p, _ in own[k:]), reverse=True):
+        if reached >= least:
+            break
+        reached += part
+        need += 1
+    return [t for _, t in own[k:]], need
+
+
+def licence_windows(files: DataFrame, key: str, idf: dict[str, float], unknown: float, templates, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, start, words, of, license, cosine) of the windows that state a licence, each against the template of its length; ``of``: words of the text."""
+    spark = files.sparkSession
+    weights = template_weights(idf, templates)
+    least = [max(threshold, LONG_THRESHOLD) if len(_terms(text)) > LONG else threshold for _, text in templates]
+    rules = []
+    for k, (_, text) in enumerate(templates):
+        heavy, need = needed_terms([(t, v) for i, _, t, v in weights if i == k], idf, least[k])
+        rules.append({"template": k, "n": len(_terms(text)), "need": need, "heavy": heavy, "least": least[k]})
+    given = F.from_json(F.lit(json.dumps(rules)), "array<struct<template int, n int, need int, heavy array<string>, least double>>")
+    heavies = F.split(F.lit(" ".join(sorted({t for r in rules for t in r["heavy"]}))), " ")
+    texts = files.select(key, _words(F.col("text")).alias("words")).withColumn("heard", F.array_intersect("words", heavies)).where(F.size("heard") > 0)
+    may = F.filter(given, lambda r: F.size(F.array_intersect(r["heavy"], F.col("heard"))) >= r["need"])
+    tried = texts.select(key, "words", F.explode(may).alias("r"))
+    last = F.greatest(F.size("words") - F.col("r.n"), F.lit(0))
+    starts = F.array_union(F.sequence(F.lit(0), last, F.greatest(F.expr(f"r.n div {STEPS}").cast("int"), F.lit(1))), F.array(last))
+    cut = F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice(F.col("words"), s + 1, F.col("r.n")).alias("words")))
+    windows = tried.select(key, "r", F.size("words").alias("of"), F.explode(F.filter(cut, lambda w: F.size(F.array_intersect(w["words"], F.col("r.heavy"))) >= F.col("r.need"))).alias("w"))
+    place = [key, "template", "start", "words", "of"]
+    terms = windows.select(key, F.col("r.template").alias("template"), F.col("w.start").alias("start"), F.size("w.words").alias("words"), "of", F.explode("w.words").alias("term"))
+    counted = terms.groupBy(*place, "term").agg(F.count("*").alias("tf"))
+    # Both tables are made from the templates: their size does not depend on the input.
+    idfs = spark.createDataFrame(list(idf.items()), "term string, idf double")
+    vectors = spark.createDataFrame([(k, t, v) for k, _, t, v in weights], "template int, term string, weight double")
+    names = spark.createDataFrame([(k, name, v) for k, ((name, _), v) in enumerate(zip(templates, least))], "template int, license string, least double")
+    valued = counted.join(F.broadcast(idfs), "term", "left").withColumn("value", F.col("tf") * F.coalesce("idf", F.lit(unknown))).join(F.broadcast(vectors), ["template", "term"], "left")
+    sums = valued.groupBy(*place).agg(F.sum(F.col("value") * F.col("weight")).alias("dot"), F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
+    found = sums.withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 6)).join(F.broadcast(names), "template").where(F.col("cosine") >= F.col("least"))
+    return found.select(key, "start", "words", "of", "license", "cosine")
+
+
+def licence_lines(files: DataFrame, key: str, threshold: float = THRESHOLD, templates=TEMPLATES, known: tuple[dict[str, float], float] | None = None) -> DataFrame:
+    """(key, line, words, license, cosine) of the lines that state a licence; ``files`` has key and text."""
+    spark = files.sparkSession
+    idf, unknown = known or inverse_frequencies(files, templates)
+    idf = {t: idf[t] for t in sorted({t for _, text in templates for t in _terms(text)})}
     weights = template_weights(idf, templates)
     telling = telling_terms(weights, idf, threshold)
     lines = files.select(key, F.posexplode(F.split("text", "\n")).alias("line", "text"))
@@ -125,11 +208,20 @@ def licence_lines(files: DataFrame, key: str, threshold: float = THRESHOLD, temp
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``files`` (key long, path, text) -> key, path, own_license, cosine, is_file, license, inherited_from."""
     files = files.select("key", "path", "text")
-    lines = licence_lines(files.select("key", "text"), "key", threshold)
-    stated = lines.groupBy("key").agg(F.max(F.struct("cosine", (-F.col("line")).alias("order"), "license")).alias("best"), F.sum("words").alias("licence_words"))
+    texts = files.select("key", "text")
+    templates = TEMPLATES + NOTICES + full_texts()
+    known = inverse_frequencies(texts, templates)
+    zero = F.lit(0)
+    lines = licence_lines(texts, "key", threshold, known=known).select("key", zero.alias("start"), zero.alias("end"), F.col("words").alias("line_words"), F.struct(F.lit(1).alias("part"), F.negative("cosine").alias("far"), zero.alias("kind"), F.col("line").alias("at"), "license").alias("rank"))
+    windows = licence_windows(texts, "key", *known, templates, threshold).select("key", "start", (F.col("start") + F.col("words")).alias("end"), zero.alias("line_words"), F.struct(F.when(F.col("words") >= FILE_SHARE * F.col("of"), 0).otherwise(1).alias("part"), F.negative("cosine").alias("far"), F.lit(1).alias("kind"), F.col("start").alias("at"), "license").alias("rank"))
+    # Words in several windows count once: each window has those beyond the ends of the windows before.
+    before = Window.partitionBy("key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.greatest(F.col("end") - F.greatest("start", F.coalesce(F.max("end").over(before), zero)), zero)
+    # A text that fills most of the file comes first, then the greatest cosine, then lines, the first place and the first name.
+    stated = lines.unionByName(windows).withColumn("fresh", fresh).groupBy("key").agg(F.min("rank").alias("best"), F.greatest(F.sum("line_words"), F.sum("fresh")).alias("licence_words"))
     sized = files.select("key", "path", F.coalesce(F.size(_words(F.col("text"))), F.lit(0)).alias("words"))
     judged = sized.join(stated, "key", "left").select(
-        "key", "path", F.col("best.license").alias("own_license"), F.coalesce("best.cosine", F.lit(0.0)).alias("cosine"),
+        "key", "path", F.col("best.license").alias("own_license"), F.coalesce(F.negative("best.far"), F.lit(0.0)).alias("cosine"),
         F.coalesce(F.col("licence_words") >= FILE_SHARE * F.greatest(F.col("words"), F.lit(1)), F.lit(False)).alias("is_file"),
     )
     judged = store.materialize(judged, "judged")

@@ -1,7 +1,7 @@
 """Inputs that were cut, dropped or passed over before."""
 
 import corpus_pipeline
-from loamstack.llm import html_text, store, toxicity
+from loamstack.llm import html_text, license_scan, store, toxicity
 
 
 def test_attributes_of_any_length_belong_to_their_tags():
@@ -51,3 +51,24 @@ def test_toxic_words_late_in_an_unbroken_text_are_found():
     model = toxicity.train(texts, [k % 2 for k in range(400)])
     scores = toxicity.Scorer(model)([filler(901) + bad + filler(902), filler(901) + filler(902)])
     assert scores[0] > toxicity.THRESHOLD > scores[1]
+
+
+def test_whole_texts_blocks_and_long_lines_state_their_licence(spark):
+    full, notices = dict(license_scan.full_texts()), dict(license_scan.NOTICES)
+    prose = " ".join(f"plain{k % 211} words{k % 89} of{k % 7}" for k in range(160))
+    rows = [(name, f"{name}/LICENSE", "Copyright (c) 2020 Some One\n\n" + text) for name, text in full.items()]
+    rows += [(f"below {name}", f"{name}/src/x", "some code") for name in full]
+    rows += [("unwrapped", "p/q", " ".join(full["MIT"].split())), ("line", "p/r", f"{prose} Licensed under the Apache License, Version 2.0. {prose}")]
+    words = notices["Apache-2.0"].split()
+    rows += [("block", "p/s", "\n".join(f"# {' '.join(words[k : k + 4])}" for k in range(0, len(words), 4)) + "\n" + prose), ("prose", "p/t", prose)]
+    rows += [("both", "t/COPYING", full["MIT"] + "\n" + full["BSD-3-Clause"])]
+    keys = [r[0] for r in rows]
+    files = spark.createDataFrame([(keys.index(k), path, text) for k, path, text in rows], "key long, path string, text string")
+    got = {keys[r["key"]]: r for r in license_scan.scan(files).collect()}
+    for name in full:
+        assert (got[name]["license"], got[name]["is_file"]) == (name, True), got[name]
+        assert (got[f"below {name}"]["license"], got[f"below {name}"]["inherited_from"]) == (name, name)
+    assert (got["unwrapped"]["own_license"], got["unwrapped"]["is_file"]) == ("MIT", True)
+    assert [(got[k]["own_license"], got[k]["is_file"]) for k in ("line", "block")] == [("Apache-2.0", False)] * 2
+    assert got["both"]["is_file"] and got["both"]["own_license"] in ("MIT", "BSD-3-Clause")
+    assert got["prose"]["own_license"] is None
