@@ -156,14 +156,16 @@ def licence_windows(files: DataFrame, key: str, idf: dict[str, float], unknown:
     rules = []
     for k, (_, text) in enumerate(templates):
         heavy, need = needed_terms([(t, v) for i, _, t, v in weights if i == k], idf, least[k])
-        rules.append({"template": k, "n": len(_terms(text)), "need": need, "heavy": heavy, "least": least[k]})
-    given = F.from_json(F.lit(json.dumps(rules)), "array<struct<template int, n int, need int, heavy array<string>, least double>>")
+        rules.append({"template": k, "n": len(_terms(text)), "first": _terms(text)[0], "need": need, "heavy": heavy, "least": least[k]})
+    given = F.from_json(F.lit(json.dumps(rules)), "array<struct<template int, n int, first string, need int, heavy array<string>, least double>>")
     heavies = F.split(F.lit(" ".join(sorted({t for r in rules for t in r["heavy"]}))), " ")
     texts = files.select(key, _words(F.col("text")).alias("words")).withColumn("heard", F.array_intersect("words", heavies)).where(F.size("heard") > 0)
     may = F.filter(given, lambda r: F.size(F.array_intersect(r["heavy"], F.col("heard"))) >= r["need"])
     tried = texts.select(key, "words", F.explode(may).alias("r"))
     last = F.greatest(F.size("words") - F.col("r.n"), F.lit(0))
-    starts = F.array_union(F.sequence(F.lit(0), last, F.greatest(F.expr(f"r.n div {STEPS}").cast("int"), F.lit(1))), F.array(last))
+    # Also where the template's first word stands: a whole notice is met exactly, however much other words weigh.
+    exact = F.filter(F.sequence(F.lit(0), last), lambda s: F.get("words", s) == F.col("r.first"))
+    starts = F.array_union(F.array_union(F.sequence(F.lit(0), last, F.greatest(F.expr(f"r.n div {STEPS}").cast("int"), F.lit(1))), F.array(last)), exact)
     cut = F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice(F.col("words"), s + 1, F.col("r.n")).alias("words")))
     windows = tried.select(key, "r", F.size("words").alias("of"), F.explode(F.filter(cut, lambda w: F.size(F.array_intersect(w["words"], F.col("r.heavy"))) >= F.col("r.need"))).alias("w"))
     place = [key, "template", "start", "words", "of"]
