@@ -4,12 +4,12 @@ Words are split at blanks and punctuation of any script; longer ones than ``PIEC
 characters enter as overlapping pieces.  A word enters by a vector of its own and by the sum of the vectors of its character
 n-grams, both for the words and n-grams that training finds telling; the others enter as
 zeros.  Two gated recurrent layers, one in each direction, read a window of words,
-attention pools their states and a logistic unit scores the window.  Windows
-overlap; a document scores as its worst window.  Training (numpy, backpropagation
+attention pools their states and a logistic unit scores the window.  A window starts at
+every word; a document scores as its worst window.  Training (numpy, backpropagation
 through time, Adam) uses the worst windows of each labelled document.
 
 Windows in which no word is known to the model differ only in their length, so each such
-length is scored once; that changes no score.
+length is scored once, as are equal windows; that changes no score.
 
 Defined results: a null, empty or wordless text is one window without words; a null id
 is never held out; repeated rows score alike; without training rows of both classes every
@@ -31,7 +31,10 @@ from pyspark.sql import functions as F
 from . import store
 
 WINDOW = 40
-STRIDE = 30
+#: Words between the starts of windows in training; in scoring a window starts at every word.
+TRAIN_STRIDE = 20
+#: Windows that are scored at a time.
+BLOCK = 16384
 HIDDEN = 8
 WORD_DIM = 6
 GRAM_DIM = 6
@@ -41,6 +44,8 @@ TRAIN_ROWS = 2400
 TELLING = 4000
 #: Standard errors by which a word or n-gram must differ between the classes.
 TELLING_Z = 5.0
+#: The same for one that only toxic rows have.
+ONLY_Z = 3.0
 LEAST_ROWS = 3
 EPOCHS = 12
 THRESHOLD = 0.7
@@ -185,7 +190,7 @@ def spans(n: int) -> list[tuple[int, int]]:
     """Overlapping windows over n words, the last one ending at the end."""
     if n <= WINDOW:
         return [(0, n)]
-    starts = list(range(0, n - WINDOW, STRIDE)) + [n - WINDOW]
+    starts = list(range(0, n - WINDOW, TRAIN_STRIDE)) + [n - WINDOW]
     return [(a, a + WINDOW) for a in starts]
 
 
@@ -198,7 +203,7 @@ def _odds(present: list[Counter], sizes: list[int], least: int) -> dict:
             continue
         q = (k0 + k1) / sum(sizes)
         z = (k1 / sizes[1] - k0 / sizes[0]) / np.sqrt(max(q * (1 - q), 1e-9) * (1 / sizes[0] + 1 / sizes[1]))
-        if abs(z) >= TELLING_Z:
+        if abs(z) >= TELLING_Z or k0 == 0 and z >= ONLY_Z:
             told.append((-abs(z), key, float(np.log((k1 + 0.5) / (sizes[1] + 1)) - np.log((k0 + 0.5) / (sizes[0] + 1)))))
     told.sort(key=lambda x: (x[0], str(x[1])))
     return {key: float(np.clip(o, -4, 4)) for _, key, o in told[:TELLING]}
@@ -318,28 +323,44 @@ class WordMemory(dict):
 def score_texts(model: Model, texts: list[str | None], memory: WordMemory, plain: np.ndarray) -> np.ndarray:
     """Largest window score of each text.  plain: logit of a window of each length without known words."""
     logit = np.full(len(texts), -np.inf)
-    windows, owner = [], []
+    windows, owner, held = [], [], 0
+
+    def flush() -> None:
+        """Score what is held, equal windows once."""
+        if not windows:
+            return
+        rows = np.vstack(windows)
+        _, first, at = np.unique(rows.view(f"V{rows.itemsize * WINDOW}").reshape(-1), return_index=True, return_inverse=True)
+        found = []
+        for k in range(0, len(first), 2048):
+            part = rows[first[k : k + 2048]]
+            mask = (part >= 0).astype(np.float32)
+            found.append(model.forward(memory.vectors[np.maximum(part, 0)] * mask[:, :, None], mask))
+        np.maximum.at(logit, np.concatenate(owner), np.concatenate(found)[at.reshape(-1)])
+        windows.clear()
+        owner.clear()
+
     for d, text in enumerate(texts):
         found = words(text)
         n = len(found)
         rows = np.fromiter(map(memory.__getitem__, found), np.int32, n)
-        cut = np.append(np.arange(0, n - WINDOW, STRIDE), n - WINDOW) if n > WINDOW else np.zeros(1, np.int64)
         size = min(n, WINDOW)
         told = np.concatenate([[0], np.cumsum(rows > 0)])
-        heard = told[cut + size] > told[cut]
+        heard = told[size:] > told[: n - size + 1]
         if not heard.all():
             logit[d] = plain[size]
-        if heard.any():
-            padded = np.full((int(heard.sum()), WINDOW), -1, np.int32)
-            padded[:, :size] = rows[cut[heard][:, None] + np.arange(size)]
+        cut = np.flatnonzero(heard)
+        for k in range(0, len(cut), BLOCK):
+            starts = cut[k : k + BLOCK]
+            padded = np.full((len(starts), WINDOW), -1, np.int32)
+            padded[:, :size] = rows[starts[:, None] + np.arange(size)]
             windows.append(padded)
-            owner += [d] * len(padded)
-    if windows:
-        windows, owner = np.vstack(windows), np.array(owner)
-        for k in range(0, len(windows), 2048):
-            part = windows[k : k + 2048]
-            mask = (part >= 0).astype(np.float32)
-            np.maximum.at(logit, owner[k : k + 2048], model.forward(memory.vectors[np.maximum(part, 0)] * mask[:, :, None], mask))
+            owner.append(np.full(len(starts), d))
+            held += len(starts)
+            if held >= BLOCK:
+                flush()
+                held = 0
+    flush()
     return _sigmoid(logit)
 
 

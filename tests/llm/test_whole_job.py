@@ -1,5 +1,7 @@
 """Inputs that were cut, dropped or passed over before."""
 
+import numpy as np
+
 import corpus_pipeline
 from loamstack.llm import html_text, license_scan, store, toxicity
 
@@ -72,3 +74,32 @@ def test_whole_texts_blocks_and_long_lines_state_their_licence(spark):
     assert [(got[k]["own_license"], got[k]["is_file"]) for k in ("line", "block")] == [("Apache-2.0", False)] * 2
     assert got["both"]["is_file"] and got["both"]["own_license"] in ("MIT", "BSD-3-Clause")
     assert got["prose"]["own_license"] is None
+
+
+def test_notices_are_met_exactly_among_heavy_words(spark):
+    """As in a large table, where words that no template has weigh most."""
+    templates = license_scan.TEMPLATES
+    idf = {t: 4.0 for _, text in templates for t in license_scan._terms(text)}
+    rows = [(k, "q " * (k % 5 + 101) + text + " z" * 100) for k, (_, text) in enumerate(templates)]
+    found = license_scan.licence_windows(spark.createDataFrame(rows, "key long, text string"), "key", idf, 18.0, templates).collect()
+    best = {k: max((r["cosine"], r["license"]) for r in found if r["key"] == k) for k in range(len(templates))}
+    assert all(best[k] == (1.0, name) for k, (name, _) in enumerate(templates))
+
+
+def test_every_window_is_scored():
+    rng = np.random.default_rng(1)
+    model = toxicity.Model({f"w{k}".encode(): float(k % 5 - 2) for k in range(20)}, {})
+    model.p["words"] = rng.normal(0, 2, model.p["words"].shape)
+    model.p["words"][0] = 0
+    texts = [" ".join(rng.choice([f"w{k}" for k in range(60)], n)) for n in (0, 5, 40, 41, 69, 300, 20_000)]
+    score = toxicity.Scorer(model)
+    got = score(texts)
+    for text, value in zip(texts, got):
+        w = text.split()
+        parts = [" ".join(w[k : k + 40]) for k in range(max(len(w) - 39, 1))]
+        assert abs(max(score(parts)) - value) < 1e-5
+
+
+def test_words_of_few_but_only_toxic_rows_are_known():
+    odds = toxicity._odds([toxicity.Counter(both=10), toxicity.Counter(both=20, rare=12)], [1200, 1200], toxicity.LEAST_ROWS)
+    assert set(odds) == {"rare"}
