@@ -2,7 +2,7 @@
 
 A payload of 8-bit samples is stored losslessly as a WAV file whose samples are
 mu-law or A-law codes, read back, expanded to linear PCM by lookup tables and
-resampled.  ADPCM blocks (IMA, 64 bytes) are decoded by numpy, one step for the
+resampled; the resampled PCM is stored beside its file and read back for its feature.  ADPCM blocks (IMA, 64 bytes) are decoded by numpy, one step for the
 blocks of many rows at once.
 
 Defined results: a null or empty text is a payload of 64 zero bytes; equal texts
@@ -145,6 +145,7 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         out, at = [], 0
         media = rows["media"].tolist()
+        stored = iter(rows["pcm"]) if "pcm" in rows else None
         while at < len(media):
             part, size = [], 0
             while at < len(media) and (not part or size < CHUNK_BYTES):
@@ -160,10 +161,10 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 blocks = len(p) // UNIT
                 adpcm = samples[block : block + blocks].reshape(-1)
                 block += blocks
-                pcm = resample_double(mu)
+                raw = next(stored) if stored is not None else resample_double(mu).astype("<i2").tobytes()
                 out.append((
                     len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-UNIT:]), len(m), hashlib.sha256(m).hexdigest(),
-                    f"mulaw={_signal(mu)};alaw={_signal(ALAW_PCM[codes])};adpcm={_signal(adpcm)};pcm16k={len(pcm)}/{zlib.crc32(pcm.astype('<i2').tobytes())}",
+                    f"mulaw={_signal(mu)};alaw={_signal(ALAW_PCM[codes])};adpcm={_signal(adpcm)};pcm16k={len(raw) // 2}/{zlib.crc32(raw)}",
                 ))
         columns = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
         made = pd.DataFrame(out, columns=columns)
@@ -177,6 +178,11 @@ def _pcm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": rows["doc_id"], "rate": 2 * RATE, "pcm": [resample_double(expand(m)).astype("<i2").tobytes() for m in rows["media"]]})
 
 
+def _with_pcm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in batches:
+        yield rows.assign(pcm=next(_pcm(iter([rows])))["pcm"].to_numpy())
+
+
 def media_column(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, media): each text as a mu-law WAV file."""
     return docs.select("doc_id", "text").mapInPandas(_write, "doc_id long, n_bytes long, media binary")
@@ -187,12 +193,19 @@ def pcm_column(media: DataFrame) -> DataFrame:
     return media.select("doc_id", "media").mapInPandas(_pcm, "doc_id long, rate int, pcm binary")
 
 
+def with_pcm(media: DataFrame) -> DataFrame:
+    """``media`` with its PCM (of ``pcm_column``) beside each file."""
+    return media.select("doc_id", "n_bytes", "media").mapInPandas(_with_pcm, "doc_id long, n_bytes long, media binary, pcm binary")
+
+
 def media_features(media: DataFrame) -> DataFrame:
-    return media.select("doc_id", "n_bytes", "media").mapInPandas(
+    """Features of the files, and of their stored PCM where ``media`` has it."""
+    return media.select("doc_id", "n_bytes", "media", *(["pcm"] if "pcm" in media.columns else [])).mapInPandas(
         _features, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     )
 
 
 def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = store.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
-    return media_features(store.materialize(media_column(docs), "media"))
+    files = store.materialize(media_column(docs), "media")
+    return media_features(store.materialize(with_pcm(files), "pcm"))

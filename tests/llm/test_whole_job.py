@@ -3,7 +3,7 @@
 import numpy as np
 
 import corpus_pipeline
-from loamstack.llm import html_text, license_scan, store, toxicity
+from loamstack.llm import html_text, license_scan, media, store, toxicity
 
 
 def test_attributes_of_any_length_belong_to_their_tags():
@@ -103,3 +103,14 @@ def test_every_window_is_scored():
 def test_words_of_few_but_only_toxic_rows_are_known():
     odds = toxicity._odds([toxicity.Counter(both=10), toxicity.Counter(both=20, rare=12)], [1200, 1200], toxicity.LEAST_ROWS)
     assert set(odds) == {"rare"}
+
+
+def test_resampled_pcm_is_stored_and_read_back(spark, monkeypatch):
+    tables = {}
+    keep = store.materialize
+    monkeypatch.setattr(store, "materialize", lambda df, name, *a: tables.setdefault(name, keep(df, name, *a)))
+    got = media.op7_media_columns(spark, "/root/testdata/sf0.001")
+    stored = tables["pcm"].collect()
+    assert stored and all(r["pcm"] == media.resample_double(media.expand(r["media"])).astype("<i2").tobytes() for r in stored)
+    assert sorted(got.collect(), key=str) == sorted(media.media_features(tables["media"]).collect(), key=str)
+    assert sorted(((r["doc_id"], r["pcm"]) for r in media.pcm_column(tables["media"]).collect()), key=str) == sorted(((r["doc_id"], r["pcm"]) for r in stored), key=str)
