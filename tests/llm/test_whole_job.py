@@ -100,11 +100,6 @@ def test_every_window_is_scored():
         assert abs(max(score(parts)) - value) < 1e-5
 
 
-def test_words_of_few_but_only_toxic_rows_are_known():
-    odds = toxicity._odds([toxicity.Counter(both=10), toxicity.Counter(both=20, rare=12)], [1200, 1200], toxicity.LEAST_ROWS)
-    assert set(odds) == {"rare"}
-
-
 def test_resampled_pcm_is_stored_and_read_back(spark, monkeypatch):
     tables = {}
     keep = store.materialize
