@@ -1,18 +1,18 @@
-"""Exact token ids by the tokenizers library, with whole-text results put together
-from memorised pieces.
-
-Both vocabularies split a text before a single space, after a line feed between
-visible characters and between letters and trailing punctuation, and merge
-only inside such pieces.  So the ids of a text are those of its pieces, and each
-distinct piece is encoded once per worker.  Texts in which a space is followed by
-white space are cut only where both neighbours are visible.
+"""Exact token ids by the tokenizers library, put together from memorised pre-tokens.
+
+Both vocabularies cut a text into pre-tokens (a word, a run of digits or signs, white
+space) by a pattern of their own and merge only inside them.  For texts of ASCII and
+Latin letters that pattern is repeated here with plain character classes, and each
+distinct pre-token is given to the library's model once per worker.  In any other text
+the runs between single spaces that have other characters are encoded whole by the
+library; a space between visible characters begins a pre-token in both vocabularies.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import unicodedata
+from array import array
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -22,9 +22,19 @@ from tokenizers import Tokenizer
 
 #: Memorised pieces in each of two generations per worker.  When the young one is
 #: full it becomes the old one; pieces met again move back to the young one.
-MEMORY_PIECES = 250_000
+MEMORY_PIECES = 400_000
+#: Longer pieces are not memorised.
+MEMORY_CHARACTERS = 64
+
+#: Latin letters without U+0130, whose lower case has a combining mark.
+_LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+_SIGN = "!-/:-@\\[-`{-~"
+_SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+#: Characters for which the patterns below are those of the vocabularies.
+_OTHER = re.compile(f"[^ -~\\t\\n\\r{_LETTER}]")
+_BYTE_LEVEL = re.compile(f" ?[{_LETTER}]+|{_SHORT}| ?[0-9]+| ?[{_SIGN}]+|[ \\t\\n\\r]+(?![^ \\t\\n\\r])|[ \\t\\n\\r]+")
+_WORD_LEVEL = re.compile(f"[{_LETTER}]+|{_SHORT}|[0-9]|[{_SIGN}]+")
 _BREAKS = re.compile(r"(?<=\S)(?= \S)")
-_TAIL = re.compile(r"[.,;:!?%*#$&|)\]}>\"_+=/~-]+$")
 
 
 def _byte_letters() -> list[str]:
@@ -34,73 +44,65 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in set(visible) else chr(next(extra)) for b in range(256)]
 
 
-class PieceEncoder(dict):
+class Memory(dict):
     """piece -> its ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, file: str, path: str | None = None):
+    def __init__(self, encode):
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(file))
-        self.model = self.tokenizer.model
-        self.lower = self.tokenizer.normalizer is not None
-        self.letters = _byte_letters()
+        self.encode = encode
         self.old: dict[str, bytes] = {}
-        self.specials = tuple(self.tokenizer.get_added_tokens_decoder()[i].content for i in self.tokenizer.get_added_tokens_decoder())
-
-    def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, "<u4").tobytes()
-
-    def _word(self, piece: str) -> bytes | None:
-        """A run of letters (with its leading space) is one pre-token: ask the model itself."""
-        space = piece[:1] == " "
-        word = piece[1:] if space else piece
-        if not word.isalpha():
-            return None
-        if word.isascii():
-            mapped = word.lower() if self.lower else word
-        elif max(word) < "\u0250" and "\u0130" not in word:
-            if self.lower:
-                word = unicodedata.normalize("NFC", word).lower()
-            mapped = "".join(map(self.letters.__getitem__, word.encode()))
-        else:
-            return None
-        tokens = self.model.tokenize("\u0120" + mapped if space and not self.lower else mapped)
-        return b"".join([t.id.to_bytes(4, "little") for t in tokens])
 
     def __missing__(self, piece: str) -> bytes:
         out = self.old.get(piece)
-        if out is None and "<|" not in piece:
-            out = self._word(piece)
-            if out is None and "\n" in piece:
-                head, _, rest = piece.partition("\n")
-                if head and rest and not head[-1].isspace() and not rest[0].isspace():
-                    out = self[head] + self["\n"] + self[rest]
-            if out is None and (tail := _TAIL.search(piece)):
-                head = piece[: tail.start()]
-                if head and head[-1].isalpha():
-                    out = self[head] + self[tail[0]]
         if out is None:
-            out = self.whole(piece)
-        if len(self) >= MEMORY_PIECES:
-            self.old = dict(self)
-            self.clear()
-        if len(piece) <= 64:
+            out = self.encode(piece)
+        if len(piece) <= MEMORY_CHARACTERS:
+            if len(self) >= MEMORY_PIECES:
+                self.old = dict(self)
+                self.clear()
             self[piece] = out
         return out
 
+
+class PieceEncoder:
+    """Ids of texts, as little-endian unsigned 32-bit integers."""
+
+    def __init__(self, file: str, path: str | None = None):
+        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(file))
+        self.model = self.tokenizer.model
+        self.lower = self.tokenizer.normalizer is not None
+        self.cut = (_WORD_LEVEL if self.lower else _BYTE_LEVEL).findall
+        self.letters = _byte_letters()
+        self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.pre_tokens, self.runs = Memory(self._merged), Memory(self._run)
+
+    def _merged(self, piece: str) -> bytes:
+        """Ids of one pre-token, by the library's model."""
+        if piece.isascii():
+            mapped = piece.replace(" ", "\u0120").replace("\n", "\u010a").replace("\t", "\u0109").replace("\r", "\u010d")
+        else:
+            mapped = "".join(map(self.letters.__getitem__, piece.encode()))
+        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
+    def _run(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
+        plain = text.lower() if self.lower else text
+        if _OTHER.search(plain):
+            return self.whole(text)
+        return b"".join(map(self.pre_tokens.__getitem__, self.cut(plain)))
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if any(s in text for s in self.specials):
             return self.whole(text)
-        if re.search(r" \s", text):
-            pieces = _BREAKS.split(text)
-        else:
-            first, *rest = text.split(" ")
-            pieces = [first, *[" " + p for p in rest]] if not self.lower else [first, *rest]
-            if first == "":
-                pieces = pieces[1:]
-        return b"".join(map(self.__getitem__, pieces)) if not self.lower else b"".join([self[p] for p in pieces if p])
+        plain = text.lower() if self.lower else text
+        if not _OTHER.search(plain):
+            return b"".join(map(self.pre_tokens.__getitem__, self.cut(plain)))
+        return b"".join(map(self.runs.__getitem__, _BREAKS.split(text)))
 
 
 _encoders: dict[tuple[str, str | None], PieceEncoder] = {}

@@ -23,10 +23,21 @@ def test_pieces_give_the_ids_of_whole_texts(file, docs):
     coder = tokens.encoder(file)
     texts = [r["text"] for r in docs.select("text").limit(60).collect()]
     odd = ["", "  a b ", "a\n b", "x\n \tb", " \n\n a  b", "It's a don't, we'll 'tis", "naïve Éa, İstanbul ΣΑΣ", "<|endoftext|> a", "1234 5,6.7 a1b2", "a\x1cb c \x85d", "日本語 テキスト。", "x...\ny?!\n\nz", "\na", "A's\nB"]
+    odd += ["End of line.\n", "First.\n second line, here.\n Third", "İ.", "Ⱥ a", "I'S HE'LL 'Ve", "x\u3000y\u2028 z", "a \u0301b", "<|startoftext|>a\n"]
     for text in texts + odd:
         assert coder.encode(text) == coder.whole(text), text
 
 
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_give_the_ids_of_random_texts(file):
+    coder, rng = tokens.encoder(file), random.Random(11)
+    pools = ["abcXYZ'sStTlLdDrReEvVmM  ..,,\n\t\r019-_()!?%$#&", "éÉßüñÇØøÆŁłŞşİıǅǆȺⱥƁɓ'. \n", "日本語。、\u00a0\u3000\u2028\u200b\u0301İKÅẞΣςσ😀\x85\x1c\x0b\x0c\x00\x7f²³ªµº", "ab. \n"]
+    for _ in range(50_000):
+        pool = rng.choice(pools) if rng.random() < 0.6 else "".join(pools)
+        text = "".join(rng.choice(pool) for _ in range(rng.randint(1, 24)))
+        assert coder.encode(text) == coder.whole(text), repr(text)
+
+
 def test_token_files_round_trip(spark, docs):
     rows = {r["doc_id"]: r for r in token_store.read_tokens(token_store.write_tokens(docs)).collect()}
     coder, start = tokens.encoder("byte_bpe_50k.json"), 0
