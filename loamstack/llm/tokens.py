@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 
 #: Memorised pieces in each of two generations per worker.  When the young one is
 #: full it becomes the old one; pieces met again move back to the young one.
-MEMORY_PIECES = 400_000
+MEMORY_PIECES = 250_000
 #: Longer pieces are not memorised.
 MEMORY_CHARACTERS = 64
 
@@ -74,7 +74,7 @@ class PieceEncoder:
         self.cut = (_WORD_LEVEL if self.lower else _BYTE_LEVEL).findall
         self.letters = _byte_letters()
         self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.pre_tokens, self.runs = Memory(self._merged), Memory(self._run)
+        self.pre_tokens = Memory(self._merged)
 
     def _merged(self, piece: str) -> bytes:
         """Ids of one pre-token, by the library's model."""
@@ -99,10 +99,7 @@ class PieceEncoder:
             return b""
         if any(s in text for s in self.specials):
             return self.whole(text)
-        plain = text.lower() if self.lower else text
-        if not _OTHER.search(plain):
-            return b"".join(map(self.pre_tokens.__getitem__, self.cut(plain)))
-        return b"".join(map(self.runs.__getitem__, _BREAKS.split(text)))
+        return self._run(text) if not _OTHER.search(text) else b"".join(map(self._run, _BREAKS.split(text)))
 
 
 _encoders: dict[tuple[str, str | None], PieceEncoder] = {}
