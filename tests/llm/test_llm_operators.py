@@ -159,21 +159,38 @@ def test_redaction_keeps_rows_and_columns(spark, tmp_path):
 
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
-    m = toxicity.Model({b"a": 1.0}, {"abc": 0.5})
-    mask = np.array([[1, 1, 1, 1], [1, 1, 0, 0]], float)
-    x, y = rng.normal(size=(2, 4, 12)) * mask[:, :, None], np.array([1.0, 0.0])
-    loss = lambda: float(-(y * np.log(p := toxicity._sigmoid(m.forward(x, mask))) + (1 - y) * np.log(1 - p)).sum())
-    logit, kept = m.forward(x, mask, keep=True)
-    g, _ = m.backward(x, mask, kept, toxicity._sigmoid(logit) - y)
-    for name, grad in g.items():
-        at = tuple(rng.integers(0, s) for s in grad.shape)
-        old = m.p[name][at]
-        m.p[name][at] = old + 1e-5
-        up = loss()
-        m.p[name][at] = old - 1e-5
-        down = loss()
-        m.p[name][at] = old
-        assert (up - down) / 2e-5 == pytest.approx(grad[at], abs=1e-6)
+    m = toxicity.Model({b"a": 1.0})
+    mask = np.array([[1, 1, 1, 1, 1], [0, 1, 1, 0, 0]], float)
+    pooled = np.array([[0, 1, 1, 1, 0], [0, 1, 1, 0, 0]], float)
+    x, y = rng.normal(size=(2, 5, 12)) * mask[:, :, None], np.array([1.0, 0.0])
+    loss = lambda: float(-(y * np.log(p := toxicity._sigmoid(m.forward(x, mask, pooled))) + (1 - y) * np.log(1 - p)).sum())
+    logit, kept = m.forward(x, mask, pooled, keep=True)
+    g, dx = m.backward(x, mask, kept, toxicity._sigmoid(logit) - y)
+    agree(m.p, g, loss, rng)
+    agree({"x": x}, {"x": dx * mask[:, :, None]}, loss, rng, [(0, 0, 3), (0, 2, 7), (1, 1, 0)])
+
+
+def agree(values, grads, loss, rng, places=()):
+    for name, grad in grads.items():
+        for at in places or [tuple(rng.integers(0, s) for s in grad.shape) for _ in range(3)]:
+            old = values[name][at]
+            values[name][at] = old + 1e-5
+            up = loss()
+            values[name][at] = old - 1e-5
+            down = loss()
+            values[name][at] = old
+            assert (up - down) / 2e-5 == pytest.approx(grad[at], abs=1e-6)
+
+
+def test_gradients_of_the_characters_are_those_of_the_loss():
+    rng = np.random.default_rng(2)
+    m = toxicity.Model({})
+    found, way = [b"word", b"longerword", b"a", "é日".encode()], rng.normal(size=(4, toxicity.GRAM_DIM))
+    loss = lambda: float((m.spelling(found) * way).sum())
+    agree(m.p, m.spelling_backward(m.responses(found), way), loss, rng, ())
+    # The order of the characters counts, and equal words are spelt alike wherever they stand.
+    same = m.spelling([b"abcd", b"dcba", b"abcd"])
+    assert np.allclose(same[0], same[2]) and not np.allclose(same[0], same[1])
 
 
 def test_held_out_rows_are_told_apart(spark):

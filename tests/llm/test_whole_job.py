@@ -48,7 +48,8 @@ def test_words_of_any_script_and_length_enter_whole():
 
 def test_toxic_words_late_in_an_unbroken_text_are_found():
     bad, plain = "\u6bd2\u8bcd\u6c61", [chr(0x5000 + k) for k in range(300)]
-    filler = lambda k: "".join(plain[(k * 37 + j * (k + 1)) % 300] for j in range(150))
+    # Drawn at random: letters that follow from k would tell odd k, the toxic texts, from even ones.
+    filler = lambda k: "".join(np.random.default_rng(k).choice(plain, 150))
     texts = [filler(k) + (bad if k % 2 else "") + filler(k + 7)[:60] for k in range(400)]
     model = toxicity.train(texts, [k % 2 for k in range(400)])
     scores = toxicity.Scorer(model)([filler(901) + bad + filler(902), filler(901) + filler(902)])
@@ -87,17 +88,27 @@ def test_notices_are_met_exactly_among_heavy_words(spark):
 
 
 def test_every_window_is_scored():
-    rng = np.random.default_rng(1)
-    model = toxicity.Model({f"w{k}".encode(): float(k % 5 - 2) for k in range(20)}, {})
+    """A window at every word, against plain loops over blocks, words and windows."""
+    rng = np.random.default_rng(3)
+    model = toxicity.Model({f"w{k}".encode(): float(k % 5 - 2) for k in range(20)})
     model.p["words"] = rng.normal(0, 2, model.p["words"].shape)
     model.p["words"][0] = 0
-    texts = [" ".join(rng.choice([f"w{k}" for k in range(60)], n)) for n in (0, 5, 40, 41, 69, 300, 20_000)]
-    score = toxicity.Scorer(model)
-    got = score(texts)
+    texts = [" ".join(rng.choice([f"w{k}" for k in range(60)], n)) for n in (0, 1, 5, 39, 40, 41, 69, 80, 81, 300, 20_000)]
+    got = toxicity.Scorer(model)(texts)
+    p, lead, block = model.p, toxicity.LEAD, toxicity.BLOCK
     for text, value in zip(texts, got):
-        w = text.split()
-        parts = [" ".join(w[k : k + 40]) for k in range(max(len(w) - 39, 1))]
-        assert abs(max(score(parts)) - value) < 1e-5
+        vectors = model.vectors([w.encode() for w in text.split()])
+        n, e, o = len(vectors), [], []
+        for at in range(0, n, block):
+            x, mask = np.zeros((1, toxicity.SLICE, vectors.shape[1])), np.zeros((1, toxicity.SLICE))
+            for k in range(toxicity.SLICE):
+                if 0 <= at - lead + k < n:
+                    x[0, k], mask[0, k] = vectors[at - lead + k], 1
+            states = model.forward(x, mask, mask, keep=True)[1][0][0, lead : lead + min(block, n - at)]
+            e += np.exp(np.tanh(states @ p["wa"] + p["ba"]) @ p["va"]).tolist()
+            o += (states @ p["out"]).tolist()
+        told = [np.dot(e[k : k + 40], o[k : k + 40]) / sum(e[k : k + 40]) for k in range(max(n - 39, 1))] if n else [0.0]
+        assert abs(1 / (1 + np.exp(-max(told) - p["bias"][0])) - value) < 1e-4
 
 
 def test_resampled_pcm_is_stored_and_read_back(spark, monkeypatch):
