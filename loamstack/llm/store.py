@@ -34,11 +34,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to a new shared table and return a reader of it."""
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, **options: str) -> DataFrame:
+    """Write ``df`` to a new shared table and return a reader of it; ``options`` are the writer's."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    writer = df.write
+    writer = df.write.options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     before = spark.conf.get(CLEANUP, None)

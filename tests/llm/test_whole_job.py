@@ -1,5 +1,8 @@
 """Inputs that were cut, dropped or passed over before."""
 
+import hashlib
+import zlib
+
 import numpy as np
 
 import corpus_pipeline
@@ -111,12 +114,45 @@ def test_every_window_is_scored():
         assert abs(1 / (1 + np.exp(-max(told) - p["bias"][0])) - value) < 1e-4
 
 
+def test_folded_pcm_is_whole():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 2, 3, 64, 1001):
+        for pcm in (rng.integers(-32768, 32768, n).astype(np.int16), np.zeros(n, np.int16), np.full(n, -32768, np.int16)):
+            stored = media.fold(pcm)
+            assert len(stored) == 2 * n and np.array_equal(media.unfold(stored), pcm)
+    twice = media.resample_double(rng.integers(-9000, 9000, 500).astype(np.int16))
+    assert not any(media.fold(twice)[1000:])
+
+
 def test_resampled_pcm_is_stored_and_read_back(spark, monkeypatch):
     tables = {}
     keep = store.materialize
-    monkeypatch.setattr(store, "materialize", lambda df, name, *a: tables.setdefault(name, keep(df, name, *a)))
+    monkeypatch.setattr(store, "materialize", lambda df, name, **options: tables.setdefault(name, keep(df, name, **options)))
     got = media.op7_media_columns(spark, "/root/testdata/sf0.001")
-    stored = tables["pcm"].collect()
-    assert stored and all(r["pcm"] == media.resample_double(media.expand(r["media"])).astype("<i2").tobytes() for r in stored)
-    assert sorted(got.collect(), key=str) == sorted(media.media_features(tables["media"]).collect(), key=str)
-    assert sorted(((r["doc_id"], r["pcm"]) for r in media.pcm_column(tables["media"]).collect()), key=str) == sorted(((r["doc_id"], r["pcm"]) for r in stored), key=str)
+    stored = tables["media"].collect()
+    assert stored and all(np.array_equal(media.unfold(r["pcm"]), media.resample_double(media.expand(r["media"]))) for r in stored)
+    assert sorted(got.collect(), key=str) == sorted(media.media_features(tables["media"].drop("pcm")).collect(), key=str)
+    assert sorted(((r["doc_id"], r["pcm"]) for r in media.pcm_column(tables["media"]).collect()), key=str) == sorted(((r["doc_id"], media.unfold(r["pcm"]).tobytes()) for r in stored), key=str)
+
+
+def test_media_rows_equal_plain_loops(spark):
+    """The query's columns against a loop over bytes with the formulas of the recommendation written out."""
+    def mu(code):
+        code = ~code & 255
+        size = ((code & 15) * 8 + 132 << (code >> 4 & 7)) - 132
+        return -size if code & 128 else size
+
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = media.op7_media_columns(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    for r in rows[:60]:
+        raw = (docs[r["doc_id"]] or "").encode()
+        payload = raw + bytes(-len(raw) % 64 or (0 if raw else 64))
+        wav = media.to_wav(payload)
+        assert wav.endswith(payload) and int.from_bytes(wav[4:8], "little") == len(wav) - 8
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r["media_bytes"], r["media_sha256"]) == (len(wav), hashlib.sha256(wav).hexdigest())
+        linear = [mu(b) for b in payload]
+        wide = [v for a, b in zip(linear, linear[1:] + linear[-1:]) for v in (a, a + b >> 1)]
+        pcm = b"".join(v.to_bytes(2, "little", signed=True) for v in wide)
+        assert f"pcm16k={len(wide)}/{zlib.crc32(pcm)}" in r["feature"] and f"mulaw={max(linear)}/{min(linear)}/" in r["feature"]
