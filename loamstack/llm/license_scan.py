@@ -11,8 +11,8 @@ their vectors are built; no match is lost by it.  A file
 most of whose words are in such lines or windows is a licence file: files below its directory
 that state no licence inherit from the nearest such ancestor.
 
-Defined results: a null or empty text states nothing; a null path has no ancestors; files
-with the same path share what they inherit; a text that fills most of its file comes before
+Defined results: a null or empty text states nothing; a null path has no ancestors; rows with
+equal keys are one file, as long as the longest; files with the same path share what they inherit; a text that fills most of its file comes before
 the greatest cosine, and of equal ones lines, the first place and the first licence by name; in a directory with several licence files the one that fits best, then the first by
 name; an empty table gives no rows.
 """
@@ -90,6 +90,11 @@ def _words(column) -> F.Column:
     return F.filter(F.split(F.translate(column, _UPPER, _LOWER), _BREAK), lambda w: w != "")
 
 
+def _known(column, terms: list[str]) -> F.Column:
+    """The distinct words of a text that are among ``terms``, whose set is built once and not for each row."""
+    return F.array_distinct(F.filter(F.split(F.translate(column, _UPPER, _LOWER), _BREAK), lambda w: w.isin(terms)))
+
+
 def template_weights(idf: dict[str, float], templates=TEMPLATES) -> list[tuple[int, str, str, float]]:
     """(template, licence, term, weight); the weights of a template have length 1."""
     out = []
@@ -116,7 +121,7 @@ def telling_terms(weights: list[tuple[int, str, str, float]], idf: dict[str, flo
 
 def document_frequencies(files: DataFrame, vocabulary: list[str], text: str = "text") -> tuple[int, dict[str, int]]:
     """Number of files, and of those with each term of the templates."""
-    terms = F.array_intersect(_words(F.col(text)), F.split(F.lit(" ".join(vocabulary)), " "))
+    terms = _known(F.col(text), vocabulary)
     found = files.select(F.explode(F.concat(F.array(F.lit("")), F.coalesce(terms, F.array().cast("array<string>")))).alias("term")).groupBy("term").count().collect()  # a row for each term of the templates
     counts = {r["term"]: r["count"] for r in found}
     return counts.pop("", 0), counts
@@ -148,18 +153,25 @@ def needed_terms(weights: list[tuple[str, float]], idf: dict[str, float], thresh
     return [t for _, t in own[k:]], need
 
 
-def licence_windows(files: DataFrame, key: str, idf: dict[str, float], unknown: float, templates, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, start, words, of, license, cosine) of the windows that state a licence, each against the template of its length; ``of``: words of the text."""
-    spark = files.sparkSession
+def window_rules(idf: dict[str, float], templates, threshold: float = THRESHOLD) -> list[dict]:
+    """For each template the length of its windows, their least cosine, and the heavier terms of which they have ``need`` at least."""
     weights = template_weights(idf, templates)
-    least = [max(threshold, LONG_THRESHOLD) if len(_terms(text)) > LONG else threshold for _, text in templates]
     rules = []
     for k, (_, text) in enumerate(templates):
-        heavy, need = needed_terms([(t, v) for i, _, t, v in weights if i == k], idf, least[k])
-        rules.append({"template": k, "n": len(_terms(text)), "first": _terms(text)[0], "need": need, "heavy": heavy, "least": least[k]})
+        least = max(threshold, LONG_THRESHOLD) if len(_terms(text)) > LONG else threshold
+        heavy, need = needed_terms([(t, v) for i, _, t, v in weights if i == k], idf, least)
+        rules.append({"template": k, "n": len(_terms(text)), "first": _terms(text)[0], "need": need, "heavy": heavy, "least": least})
+    return rules
+
+
+def licence_windows(files: DataFrame, key: str, idf: dict[str, float], unknown: float, templates, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, start, words, of, license, cosine) of the windows that state a licence, each against the template of its length; ``of``: words of the text."""
+    spark = files.sparkSession
+    weights, rules = template_weights(idf, templates), window_rules(idf, templates, threshold)
+    least = [r["least"] for r in rules]
     given = F.from_json(F.lit(json.dumps(rules)), "array<struct<template int, n int, first string, need int, heavy array<string>, least double>>")
-    heavies = F.split(F.lit(" ".join(sorted({t for r in rules for t in r["heavy"]}))), " ")
-    texts = files.select(key, _words(F.col("text")).alias("words")).withColumn("heard", F.array_intersect("words", heavies)).where(F.size("heard") > 0)
+    heavies = sorted({t for r in rules for t in r["heavy"]})
+    texts = files.select(key, _words(F.col("text")).alias("words"), _known(F.col("text"), heavies).alias("heard")).where(F.size("heard") > 0)
     may = F.filter(given, lambda r: F.size(F.array_intersect(r["heavy"], F.col("heard"))) >= r["need"])
     tried = texts.select(key, "words", F.explode(may).alias("r"))
     last = F.greatest(F.size("words") - F.col("r.n"), F.lit(0))
@@ -210,9 +222,12 @@ def licence_lines(files: DataFrame, key: str, threshold: float = THRESHOLD, temp
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``files`` (key long, path, text) -> key, path, own_license, cosine, is_file, license, inherited_from."""
     files = files.select("key", "path", "text")
-    texts = files.select("key", "text")
     templates = TEMPLATES + NOTICES + full_texts()
-    known = inverse_frequencies(texts, templates)
+    known = inverse_frequencies(files.select("key", "text"), templates)
+    # Texts without any of the terms that a line or a window must have are left out before they are cut.
+    lined = {t: known[0][t] for _, text in TEMPLATES for t in _terms(text)}
+    must = sorted({*telling_terms(template_weights(lined, TEMPLATES), lined, threshold), *(t for r in window_rules(known[0], templates, threshold) for t in r["heavy"])})
+    texts = store.materialize(files.select("key", "text").where(F.size(_known(F.col("text"), must)) > 0).withColumn("of", F.size(_words(F.col("text")))), "texts")
     zero = F.lit(0)
     lines = licence_lines(texts, "key", threshold, known=known).select("key", zero.alias("start"), zero.alias("end"), F.col("words").alias("line_words"), F.struct(F.lit(1).alias("part"), F.negative("cosine").alias("far"), zero.alias("kind"), F.col("line").alias("at"), "license").alias("rank"))
     windows = licence_windows(texts, "key", *known, templates, threshold).select("key", "start", (F.col("start") + F.col("words")).alias("end"), zero.alias("line_words"), F.struct(F.when(F.col("words") >= FILE_SHARE * F.col("of"), 0).otherwise(1).alias("part"), F.negative("cosine").alias("far"), F.lit(1).alias("kind"), F.col("start").alias("at"), "license").alias("rank"))
@@ -221,8 +236,8 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     fresh = F.greatest(F.col("end") - F.greatest("start", F.coalesce(F.max("end").over(before), zero)), zero)
     # A text that fills most of the file comes first, then the greatest cosine, then lines, the first place and the first name.
     stated = lines.unionByName(windows).withColumn("fresh", fresh).groupBy("key").agg(F.min("rank").alias("best"), F.greatest(F.sum("line_words"), F.sum("fresh")).alias("licence_words"))
-    sized = files.select("key", "path", F.coalesce(F.size(_words(F.col("text"))), F.lit(0)).alias("words"))
-    judged = sized.join(stated, "key", "left").select(
+    sized = texts.groupBy("key").agg(F.max("of").alias("words"))
+    judged = files.select("key", "path").join(stated.join(sized, "key"), "key", "left").select(
         "key", "path", F.col("best.license").alias("own_license"), F.coalesce(F.negative("best.far"), F.lit(0.0)).alias("cosine"),
         F.coalesce(F.col("licence_words") >= FILE_SHARE * F.greatest(F.col("words"), F.lit(1)), F.lit(False)).alias("is_file"),
     )
