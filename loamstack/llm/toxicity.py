@@ -66,7 +66,7 @@ AGAIN = 3
 BLOCKS = 512
 THRESHOLD = 0.7
 HELD_OUT = 1
-MEMORY_WORDS = 200_000
+MEMORY_WORDS = 100_000
 
 _KEEP = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 or b == 39 else 32 for b in range(256))
 
