@@ -1,13 +1,16 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contexts.
 
-Emails, addresses, card numbers and phone numbers are matched by fixed patterns.
-They seed the second part: every token that looks like an identifier (it has a digit or
-an at sign) is a mention with two lexical patterns, the two words before it, and the
-word before and the word after it.  Mentions make a graph of patterns and
-instances.  Seeds score 1; a pattern scores the mean of its instances, held back until it
-has several; an unseen instance scores by the patterns that hold it.  After
-``ROUNDS`` rounds in Spark, patterns of a high score and enough distinct seeds mark
-the unseen mentions that they hold.
+Emails, addresses, card numbers and phone numbers are matched by fixed patterns.  These
+and secrets (quoted hexadecimal keys that something is set to) are the seed entities.
+Every token that looks like an identifier (it has a digit or an at sign), and every run of up
+to ``RUN`` of them, is a mention with lexical patterns at several levels: its shape (runs of
+digits by length, letters, hexadecimal keys), the word before it with the signs between, the
+signs around it, and its shape with each of the latter or with its first and last
+characters.  Mentions make a graph of patterns and instances.  In each of ``ROUNDS`` rounds
+in Spark a pattern scores, for each kind, the lower confidence bound of the share of its
+distinct instances that are of the kind; patterns of a high score and enough seeds are trusted,
+and the unseen instances that they hold count for what the pattern scores in the next round, so
+that they induce patterns of their own.  The unseen mentions of trusted patterns are added.
 
 Offsets are code points, ends exclusive.  Defined results: a null or empty text has no
 spans; repeated rows have their own spans; other columns are not read.
@@ -16,9 +19,11 @@ spans; repeated rows have their own spans; other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +31,15 @@ from pyspark.sql import functions as F
 from . import store
 
 KINDS = ("email", "ip", "card", "phone")
-#: Kind of the spans that contexts add.
-ADDED = "context"
+#: Kind of the seeds that no fixed pattern of the contract has, and of the spans that contexts add.
+SECRET, ADDED = "secret", "context"
 ROUNDS = 3
-#: Distinct seeds that a pattern needs, and the score from which it is trusted.
+#: Distinct seeds that a pattern needs, the score from which it is trusted, and the standard errors of its lower bound.
 MIN_SEEDS = 5
 TRUSTED = 0.8
-#: Characters on either side in which context words are looked for.
-REACH = 64
+ERRORS = 2.0
+#: Tokens of a mention at most.
+RUN = 3
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -89,44 +95,80 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _word(token: str) -> str:
-    return re.sub(r"[0-9]+", "0", token.lower())[:24]
+_SECRET = re.compile(r"""[=:]\s{0,4}(["'])([0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})\1""")
+_KEY = re.compile(r"(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{16,}", re.IGNORECASE)
+_RUNS = re.compile(r"([0-9]+)|([^\W\d_]+)|(\s+)")
+_WORDS = re.compile(r"\w+")
 
 
-def mention(text: str, start: int, end: int) -> tuple[str, str, str]:
-    """(instance, pattern of the words before, pattern of the words around)."""
-    before = text[max(0, start - REACH) : start].split()[-2:]
-    after = text[end : end + REACH].split()[:1]
-    before, after = [_word(w) for w in before], [_word(w) for w in after]
-    return text[start:end].lower()[:128], "< " + " ".join(before), "| " + " ".join(before[-1:]) + " _ " + " ".join(after)
+def secrets(text: str) -> list[tuple[str, int, int]]:
+    """Seeds of the kind ``SECRET``."""
+    if '"' not in text and "'" not in text:
+        return []
+    return [(SECRET, *m.span(2)) for m in _SECRET.finditer(text) if not m[2].isdigit() and not m[2].isalpha()]
+
+
+def shape(text: str) -> str:
+    """Digits by the length of their run, letters and white space without it, other signs as they are."""
+    if _KEY.fullmatch(text):
+        return f"key{len(text)}"
+    return _RUNS.sub(lambda m: f"9{len(m[1])}" if m[1] else "a" if m[2] else " ", text)
+
+
+def _short(pattern: str) -> str:
+    """Long patterns by their hash."""
+    return pattern if len(pattern) <= 64 else pattern[:1] + xxhash.xxh3_128_hexdigest(pattern.encode("utf-8", "surrogatepass"))
+
+
+def mention(text: str, start: int, end: int, words: list[tuple[int, int]]) -> tuple[str, list[str]]:
+    """(instance, patterns); words: places of all words of the text."""
+    token = text[start:end]
+    k = bisect_right(words, (start, start)) - 1
+    while k >= 0 and words[k][1] > start:
+        k -= 1
+    before = re.sub(r"\d+", "0", text[slice(*words[k])].lower()) if k >= 0 else ""
+    between = _RUNS.sub(" ", text[words[k][1] if k >= 0 else 0 : start])
+    left, right = text[start - 1 : start], text[end : end + 1]
+    around = f"{'' if left.isspace() else left}|{'' if right.isspace() else right}"
+    form, instance = shape(token), xxhash.xxh3_128_hexdigest(token.lower().encode("utf-8", "surrogatepass"))
+    patterns = [f"s {form}", f"S {form} {before}{between}", f"A {form} {around}", f"E {form} {token[:2].lower()} {token[-2:].lower()}"]
+    # No word before and no sign around tell nothing by themselves.
+    patterns += [f"b {before}{between}"] * (k >= 0) + [f"a {around}"] * (around != "|")
+    return instance, [_short(p) for p in patterns]
 
 
 def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Identifier-like tokens that no span of ``taken`` touches."""
+    """Identifier-like tokens, and runs of them, that no span of ``taken`` touches."""
     out, at, spans = [], 0, sorted((a, b) for _, a, b in taken)
-    k = 0
+    k, run = 0, []
     while found := _MARK.search(text, at):
         start = found.start()
         while start > at and not text[start - 1].isspace():
             start -= 1
         stop = _SPACE.search(text, found.end())
         end = stop.start() if stop else len(text)
+        if not run or text[run[-1][1] : start] != " ":
+            run = []
         at = end
         while k < len(spans) and spans[k][1] <= start:
             k += 1
         if k < len(spans) and spans[k][0] < end:
+            run = []
             continue
-        while start < end and not (text[start].isalnum() or text[start] == "+"):
-            start += 1
-        while end > start and not text[end - 1].isalnum():
-            end -= 1
-        if end - start >= 4:
-            out.append((start, end))
+        run = [*run[1 - RUN :], (start, end)] if RUN > 1 else [(start, end)]
+        for first, _ in run:
+            a, b = first, end
+            while a < b and not (text[a].isalnum() or text[a] == "+"):
+                a += 1
+            while b > a and not text[b - 1].isalnum():
+                b -= 1
+            if b - a >= 4 and (a, b) not in out[-RUN:]:
+                out.append((a, b))
     return out
 
 
 SPAN = "struct<kind:string,start:int,end:int>"
-FOUND = f"row long, doc_id long, base array<{SPAN}>, mentions array<struct<start:int,end:int,kind:string,instance:string,before:string,around:string>>"
+FOUND = f"row long, doc_id long, base array<{SPAN}>, secrets array<{SPAN}>, mentions array<struct<start:int,end:int,kind:string,instance:string,patterns:array<string>>>"
 
 
 def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -134,13 +176,18 @@ def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         out = []
         for key, text in zip(rows["doc_id"].astype("object").where(rows["doc_id"].notna(), None), rows["text"]):
-            base, mentions = [], []
+            base, found, mentions = [], [], []
             if isinstance(text, str) and _MARK.search(text):
                 base = base_spans(text)
-                mentions = [{"start": a, "end": b, "kind": kind, **dict(zip(("instance", "before", "around"), mention(text, a, b)))} for kind, a, b in [*base, *((None, *c) for c in candidates(text, base))]]
-            out.append((row, key, [{"kind": k, "start": a, "end": b} for k, a, b in base], mentions))
+                touched = sorted((a, b) for _, a, b in base)
+                found = [s for s in secrets(text) if not any(a < s[2] and s[1] < b for a, b in touched)]
+                places = [*base, *found, *((None, *c) for c in candidates(text, [*base, *found]))]
+                words = [m.span() for m in _WORDS.finditer(text)] if places else []
+                mentions = [{"start": a, "end": b, "kind": kind, **dict(zip(("instance", "patterns"), mention(text, a, b, words)))} for kind, a, b in places]
+            spans = [[{"kind": k, "start": a, "end": b} for k, a, b in some] for some in (base, found)]
+            out.append((row, key, *spans, mentions))
             row += 1
-        yield pd.DataFrame(out, columns=["row", "doc_id", "base", "mentions"]).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(out, columns=["row", "doc_id", "base", "secrets", "mentions"]).astype({"doc_id": "Int64"})
 
 
 def find_base(docs: DataFrame) -> DataFrame:
@@ -148,32 +195,41 @@ def find_base(docs: DataFrame) -> DataFrame:
     return store.materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(_find, FOUND), "found")
 
 
+def lower_bound(hits: F.Column, n: F.Column) -> F.Column:
+    """Wilson's lower bound of a share."""
+    z, p = F.lit(ERRORS), hits / n
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
 def trusted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(pattern, score, seeds) of the patterns that are trusted after ``rounds`` rounds over the graph."""
+    """(pattern, kind, score, seeds, instances) of the patterns that are trusted after ``rounds`` rounds over the graph."""
     m = found.select(F.explode("mentions").alias("m")).select("m.*")
-    edges = m.select("instance", F.col("kind").isNotNull().alias("seed"), F.explode(F.array("before", "around")).alias("pattern"))
-    edges = store.materialize(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "graph")
-    scores = None
+    edges = m.select("instance", "kind", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(F.max("kind").alias("kind"))
+    edges = store.materialize(edges, "graph")
+    seeded = edges.where("kind IS NOT NULL").select("pattern", "instance", "kind", F.lit(1.0).alias("belief"))
+    sizes = edges.groupBy("pattern").agg(F.count("*").alias("instances"))
+    trusted = None
     for _ in range(rounds):
-        if scores is None:
-            scored = edges.withColumn("score", F.col("seed").cast("double"))
-        else:
-            # An unseen instance is believed as far as one of its patterns is right.
-            doubt = edges.join(scores, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log1p(-F.least("score", F.lit(0.999)))))).alias("belief"))
-            scored = edges.join(doubt, "instance", "left").withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("belief", F.lit(0.0))))
-        n = F.count("*")
-        scores = scored.groupBy("pattern").agg((F.sum("score") / (n + 1)).alias("score"), F.count_if("seed").alias("seeds"), n.alias("instances"))
-        scores = store.materialize(scores.where(F.col("seeds") > 0), "patterns")
-    return scores.where((F.col("seeds") >= MIN_SEEDS) & (F.col("score") >= TRUSTED)).select("pattern", "score", "seeds")
+        held = seeded
+        if trusted is not None:
+            # An unseen instance counts for what the best trusted pattern that holds it scores.
+            unseen = edges.where("kind IS NULL").select("pattern", "instance")
+            heard = unseen.join(trusted.select("pattern", "kind", "score"), "pattern").groupBy("instance", "kind").agg(F.max("score").alias("belief"))
+            held = seeded.unionByName(unseen.join(heard, "instance"))
+        scores = held.groupBy("pattern", "kind").agg(F.sum("belief").alias("hits"), F.count_if(F.col("belief") == 1).alias("seeds")).join(sizes, "pattern")
+        scores = scores.withColumn("score", lower_bound(F.col("hits"), F.col("instances"))).where((F.col("seeds") >= MIN_SEEDS) & (F.col("score") >= TRUSTED))
+        trusted = store.materialize(scores.select("pattern", "kind", "score", "seeds", "instances"), "patterns")
+    return trusted
 
 
 def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(row, doc_id, base, added): spans of each row of ``docs``."""
+    """(row, doc_id, base, added): spans of each row of ``docs``; secrets are among the added ones."""
     found = find_base(docs)
-    trusted = store.materialize(trusted_patterns(found, rounds), "trusted")
-    unseen = found.select("row", F.explode("mentions").alias("m")).where("m.kind IS NULL").select("row", "m.start", "m.end", F.explode(F.array("m.before", "m.around")).alias("pattern"))
-    added = unseen.join(trusted, "pattern").groupBy("row").agg(F.array_sort(F.collect_set(F.struct(F.lit(ADDED).alias("kind"), "start", "end"))).alias("added"))
-    return found.select("row", "doc_id", "base").join(added, "row", "left").select("row", "doc_id", "base", F.coalesce("added", F.array().cast(f"array<{SPAN}>")).alias("added"))
+    trusted = trusted_patterns(found, rounds).select("pattern").distinct()
+    unseen = found.select("row", F.explode("mentions").alias("m")).where("m.kind IS NULL").select("row", "m.start", "m.end", F.explode("m.patterns").alias("pattern"))
+    added = unseen.join(trusted, "pattern").groupBy("row").agg(F.collect_set(F.struct(F.lit(ADDED).alias("kind"), "start", "end")).alias("added"))
+    none = F.array().cast(f"array<{SPAN}>")
+    return found.select("row", "doc_id", "base", "secrets").join(added, "row", "left").select("row", "doc_id", "base", F.array_sort(F.concat(F.coalesce("added", none), "secrets")).alias("added"))
 
 
 def spans_text(spans) -> F.Column:
@@ -185,21 +241,22 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Rows are numbered by their place, so ``docs`` must be read from stored files.
     """
-    keyed = docs.withColumn("_loam_row", F.monotonically_increasing_id())
-    found = personal_data(keyed.select(F.col("_loam_row").alias("doc_id"), "text"))
-    spans = found.select(F.col("doc_id").alias("_loam_row"), F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("_loam_spans")).where(F.size("_loam_spans") > 0)
+    row, spans_of = store.unused(docs, "_loam_row"), store.unused(docs, "_loam_spans")
+    keyed = docs.withColumn(row, F.monotonically_increasing_id())
+    found = personal_data(keyed.select(F.col(row).alias("doc_id"), "text"))
+    spans = found.select(F.col("doc_id").alias(row), F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).alias(spans_of)).where(F.size(spans_of) > 0)
     # A span that begins inside the one before it adds nothing but its tail.
     masked = F.expr(
-        "aggregate(_loam_spans, named_struct('at', 0, 'out', ''), (s, x) -> named_struct("
+        f"aggregate({spans_of}, named_struct('at', 0, 'out', ''), (s, x) -> named_struct("
         "'at', greatest(s.at, x.end),"
         "'out', CASE WHEN x.start < s.at THEN s.out ELSE concat(s.out, substr(text, s.at + 1, x.start - s.at), '[', upper(x.kind), ']') END),"
         "s -> concat(s.out, substr(text, s.at + 1)))"
     )
-    text = F.when(F.col("_loam_spans").isNull(), F.col("text")).otherwise(masked)
-    return keyed.join(spans, "_loam_row", "left").select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    text = F.when(F.col(spans_of).isNull(), F.col("text")).otherwise(masked)
+    return keyed.join(spans, row, "left").select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
 
 
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(store.table(spark, sf_dir, "documents"))
     n = [F.expr(f"size(filter(base, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *n, F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"), spans_text(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_context"))
+    return found.select("doc_id", *n, F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"), spans_text(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_context"), (F.size("base") + F.size("added")).cast("long").alias("n_spans"))

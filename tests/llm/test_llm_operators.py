@@ -1,5 +1,6 @@
 """Operators against brute force, exact round trips and held-out accuracy."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -7,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loamstack.llm import components, decontaminate, html_text, license_scan, media, near_dup, packing, pii, shards, token_store, tokens, toxicity
 
@@ -144,15 +146,46 @@ def test_base_spans_equal_the_patterns():
 
 
 def test_contexts_find_identifiers_of_another_form(spark):
-    rows = [(k, f"reach staff under account mail person{k}@mail.example.com for help") for k in range(12)] + [(50, "reach staff under account mail ID-7781-x for help"), (51, "flight 7781 leaves")]
+    rows = [(k, f"reach staff under account mail person{k}@mail.example.com for help") for k in range(60)] + [(150, "reach staff under account mail ID-7781-x for help"), (151, "flight 7781 leaves")]
     got = {r["doc_id"]: r["added"] for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    (span,) = got[50]
-    assert rows[12][1][span["start"] : span["end"]] == "ID-7781-x" and got[51] == [] and got[0] == []
+    (span,) = got[150]
+    assert rows[60][1][span["start"] : span["end"]] == "ID-7781-x" and got[151] == [] and got[0] == []
+
+
+def test_patterns_learned_from_the_sample_tables(spark):
+    """Twelve patterns are trusted on sf0.1; what they add are phone numbers and keys, and no bare number."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    trusted = {(r["pattern"], r["kind"]) for r in pii.trusted_patterns(pii.find_base(docs)).collect()}
+    assert len(trusted) == 12 and {("s +91 (93) 93-94", "phone"), ('b token = "', "secret"), ("s key40", "secret")} <= trusted
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    added = [(s["kind"], texts[r["doc_id"]][s["start"] : s["end"]]) for r in pii.personal_data(docs).collect() for s in r["added"]]
+    forms = {(kind, "key" if re.fullmatch("[0-9a-fA-F]{40}", t) else re.sub("[0-9]", "9", t)) for kind, t in added}
+    assert forms == {("secret", "key"), ("context", "key"), ("context", "+9 (999) 999-9999")}
+    keys = sum(len(re.findall(r'(?i)token = "[0-9a-f]{40}"', t or "")) for t in texts.values())
+    assert sum(len(t) == 40 for _, t in added) == keys
+
+
+def test_base_columns_equal_plain_patterns(spark):
+    """Counts, base_sha256 and spans of the query against the contract's patterns as they stand."""
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    digits = lambda t: sum(c.isdigit() for c in t)
+    right = {"email": lambda t: True, "ip": lambda t: all(int(p) <= 255 for p in t.split(".")), "card": lambda t: 16 <= digits(t) <= 19 and pii.luhn(re.sub("[ -]", "", t)), "phone": lambda t: 8 <= digits(t) <= 15}
+    rows = pii.op4_personal_data(spark, "/root/testdata/sf0.01").collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts) and sum(r["n_spans"] for r in rows) > sum(r[f"n_{k}"] for r in rows for k in kinds)
+    for r in rows:
+        spans = [(k, m.start(), m.end()) for k, p in kinds.items() for m in re.finditer(p, texts[r["doc_id"]] or "") if right[k](m[0])]
+        base = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest() and all(r[f"n_{k}"] == sum(s[0] == k for s in spans) for k in kinds)
+        assert r["spans"].startswith(base) and r["n_spans"] - r["n_context"] == len(spans)
 
 
 def test_redaction_keeps_rows_and_columns(spark, tmp_path):
     spark.createDataFrame([(1, "mail a.b@c.de or 10.0.0.1.", "x"), (2, None, "y"), (3, "clean", "z")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/d")
-    got = pii.redact(spark.read.parquet(f"{tmp_path}/d"))
+    rows = spark.read.parquet(f"{tmp_path}/d")
+    clash = pii.redact(rows.withColumnRenamed("source", "_loam_row").withColumn("_LOAM_SPANS", F.lit(1)))
+    assert clash.columns == ["doc_id", "text", "_loam_row", "_LOAM_SPANS"] and {r["text"] for r in clash.collect()} == {"mail [EMAIL] or [IP].", None, "clean"}
+    got = pii.redact(rows)
     assert got.columns == ["doc_id", "text", "source"]
     assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "mail [EMAIL] or [IP].", 2: None, 3: "clean"}
 
