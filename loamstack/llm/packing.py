@@ -3,11 +3,12 @@ algorithm on islands.
 
 Documents are encoded and cut at the sequence length.  Full pieces are sequences of
 their own; the others are dealt at random into groups of a bounded size.  Each
-group is packed by several islands, each a population of packings: crossover injects
-whole well-filled bins of one parent into the other, bins that share a document
-with them are dissolved, and the displaced documents are placed by best fit.  After an
-epoch each island's elite moves to the next island of its group; the best packing of the
-last epoch wins.  Documents in bins that are left badly filled are pooled, dealt
+group is packed by several islands, each a population of packings that starts from documents
+in random orders: crossover injects whole well-filled bins of one parent into the other, bins
+that share a document with them are dissolved, and the displaced documents are placed by best
+fit.  After an epoch each island's elite moves to the next island of its group; the best
+packing of the last epoch wins.  An island rests once it has as few bins as its tokens can
+take; ``evolution`` tells how many generations each group took and what they saved.  Documents in bins that are left badly filled are pooled, dealt
 anew and packed once more, so few bins are lost to the cutting into groups.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed
@@ -36,7 +37,7 @@ LENGTH = 4096
 GROUP = 2048
 ISLANDS = 2
 EPOCHS = 2
-GENERATIONS = 4
+GENERATIONS = 8
 POPULATION = 4
 #: Bins filled less than this are dissolved and packed in the pooled round.
 WELL_FILLED = 0.995
@@ -107,29 +108,29 @@ def crossover(host: np.ndarray, donor: np.ndarray, lengths: np.ndarray, capacity
     return np.unique(child, return_inverse=True)[1].astype(np.int32)
 
 
-def evolve(lengths: np.ndarray, capacity: int, population: list[np.ndarray], generations: int, size: int, rng: np.random.Generator) -> list[np.ndarray]:
-    """The fittest first.  An empty population starts from best fit in decreasing and in disturbed orders."""
+def evolve(lengths: np.ndarray, capacity: int, population: list[np.ndarray], generations: int, size: int, rng: np.random.Generator, told: dict | None = None) -> list[np.ndarray]:
+    """The fittest first.  Population is filled up with documents in random orders; ``told`` gets the generations run and the bins of the fittest before and after."""
     population = list(population)
     while len(population) < size:
-        noise = rng.uniform(0.9, 1.1, len(lengths)) if population else 1.0
-        population.append(best_fit(lengths, np.argsort(-lengths * noise, kind="stable"), capacity))
+        population.append(best_fit(lengths, rng.permutation(len(lengths)), capacity))
     score = lambda p: fitness(p, lengths, capacity)
     population.sort(key=score, reverse=True)
-    least = -(-int(lengths.sum()) // capacity)
-    for _ in range(generations):
-        if -score(population[0])[0] <= least:
-            break
+    least, run, before = -(-int(lengths.sum()) // capacity), 0, -score(population[0])[0]
+    while run < generations and -score(population[0])[0] > least:
         children = []
         for _ in range(max(1, size // 2)):
             a, b = rng.choice(len(population), 2, replace=len(population) < 2)
             children += [crossover(population[a], population[b], lengths, capacity, rng), crossover(population[b], population[a], lengths, capacity, rng)]
         population = sorted(population + children, key=score, reverse=True)[:size]
+        run += 1
+    if told is not None:
+        told |= {"generations": run, "before": before, "after": -score(population[0])[0]}
     return population[:size]
 
 
 # --- islands over Spark ------------------------------------------------------------------
 
-STATE = "grp long, island int, elites array<binary>"
+STATE = "grp long, island int, generations int, before int, elites array<binary>"
 
 
 def _start(capacity: int, generations: int, size: int):
@@ -145,12 +146,16 @@ def _go_on(epoch: int, capacity: int, generations: int, size: int):
     def run(key: tuple, items: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
         grp, island = int(key[0]), int(key[1])
         if items.empty:
-            return pd.DataFrame({"grp": [], "island": [], "elites": []})
+            return pd.DataFrame({c: [] for c in ("grp", "island", "generations", "before", "elites")})
         lengths = items.sort_values("uid")["length"].to_numpy(np.int64)
         known = [] if states is None else [np.frombuffer(e, "<i4") for elites in states.sort_values("from")["elites"] for e in elites]
         rng = np.random.default_rng([grp & 0x7FFFFFFF, island, epoch])
-        best = evolve(lengths, capacity, known, generations, size, rng)
-        return pd.DataFrame({"grp": [grp], "island": [island], "elites": [[p.astype("<i4").tobytes() for p in best]]})
+        told: dict = {}
+        best = evolve(lengths, capacity, known, generations, size, rng, told)
+        # ``from`` 0 is the island itself: its generations go on, and its start stays what it was.
+        own = None if states is None else states[states["from"] == 0].iloc[0]
+        run, before = (told["generations"], told["before"]) if own is None else (told["generations"] + int(own["generations"]), int(own["before"]))
+        return pd.DataFrame({"grp": [grp], "island": [island], "generations": [run], "before": [before], "elites": [[p.astype("<i4").tobytes() for p in best]]})
 
     return run
 
@@ -161,20 +166,20 @@ def _winner(capacity: int):
         lengths = items["length"].to_numpy(np.int64)
         packings = [np.frombuffer(s[0], "<i4") for s in states.sort_values("island")["elites"] if len(s)]
         if items.empty or not packings:
-            return pd.DataFrame({c: [] for c in ("uid", "grp", "bin", "offset", "fill")})
+            return pd.DataFrame({c: [] for c in ("uid", "grp", "bin", "offset", "fill", "generations", "saved")})
         best = max(packings, key=lambda p: fitness(p, lengths, capacity))
         order = np.lexsort((-lengths, best))
         sums = np.cumsum(lengths[order]) - lengths[order]
         starts = np.unique(best[order], return_index=True)[1]
         offset = np.empty(len(items), np.int64)
         offset[order] = sums - np.repeat(sums[starts], np.diff([*starts, len(order)]))
-        return pd.DataFrame({"uid": items["uid"], "grp": int(key[0]), "bin": best, "offset": offset, "fill": fills(best, lengths)[best].astype(np.int64)})
+        return pd.DataFrame({"uid": items["uid"], "grp": int(key[0]), "bin": best, "offset": offset, "fill": fills(best, lengths)[best].astype(np.int64), "generations": int(states["generations"].max()), "saved": int(states["before"].min() - len(starts))})
 
     return run
 
 
 def pack_items(items: DataFrame, capacity: int = LENGTH, group: int = GROUP, salt: int = 0, name: str = "packed") -> DataFrame:
-    """(uid, grp, bin, offset, fill) of items (uid long, distinct; length int, at most ``capacity``)."""
+    """(uid, grp, bin, offset, fill, generations, saved) of items (uid long, distinct; length int, at most ``capacity``)."""
     groups = max(1, -(-items.count() // group))
     items = items.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(salt)), F.lit(groups)).alias("grp"))
     spread = items.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))))
@@ -182,10 +187,15 @@ def pack_items(items: DataFrame, capacity: int = LENGTH, group: int = GROUP, sal
     states = spread.groupBy(by).applyInPandas(_start(capacity, GENERATIONS, POPULATION), STATE)
     for epoch in range(1, EPOCHS):
         states = store.materialize(states, "islands")
-        own = states.select("grp", "island", F.lit(0).alias("from"), "elites")
-        moved = states.select("grp", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), F.lit(1).alias("from"), F.slice("elites", 1, 1).alias("elites"))
+        own = states.select("grp", "island", F.lit(0).alias("from"), "generations", "before", "elites")
+        moved = states.select("grp", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), F.lit(1).alias("from"), "generations", "before", F.slice("elites", 1, 1).alias("elites"))
         states = spread.groupBy(by).cogroup(own.unionByName(moved).groupBy(by)).applyInPandas(_go_on(epoch, capacity, GENERATIONS, POPULATION), STATE)
-    return store.materialize(items.groupBy("grp").cogroup(states.groupBy("grp")).applyInPandas(_winner(capacity), "uid long, grp long, bin int, offset long, fill long"), name)
+    return store.materialize(items.groupBy("grp").cogroup(states.groupBy("grp")).applyInPandas(_winner(capacity), "uid long, grp long, bin int, offset long, fill long, generations int, saved int"), name)
+
+
+def evolution(packed: DataFrame) -> DataFrame:
+    """(grp, items, bins, generations, saved) of each group of ``pack_items``: bins saved over the best packing that an island started with."""
+    return packed.groupBy("grp").agg(F.count("*").alias("items"), F.count_distinct("bin").alias("bins"), F.max("generations").alias("generations"), F.max("saved").alias("saved"))
 
 
 PIECES = "uid long, doc_id long, piece int, start long, length int, ids_crc32 long"

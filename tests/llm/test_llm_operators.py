@@ -279,6 +279,39 @@ def test_crossover_keeps_every_document_once():
     assert packing.fitness(better, lengths, 100) >= max(packing.fitness(a, lengths, 100), packing.fitness(b, lengths, 100))
 
 
+def test_packings_come_out_of_crossover(spark):
+    """Groups start from random orders; generations save bins, down to those of best fit in decreasing order."""
+    rng = np.random.default_rng(12)
+    lengths = np.minimum(rng.lognormal(6, 1.2, 4000).astype(int) + 1, 4095)
+    items = spark.createDataFrame([(k, int(n)) for k, n in enumerate(lengths)], "uid long, length int")
+    packed = packing.pack_items(items, 4096, 1000)
+    rows = packed.collect()
+    assert sorted(r["uid"] for r in rows) == list(range(4000))
+    told = packing.evolution(packed).collect()
+    assert sum(r["generations"] for r in told) > 0 and sum(r["saved"] for r in told) > 0
+    for r in told:
+        own = np.array([lengths[x["uid"]] for x in rows if x["grp"] == r["grp"]])
+        decreasing = packing.best_fit(own, np.argsort(-own, kind="stable"), 4096)
+        assert r["bins"] <= len(np.unique(decreasing)) and r["generations"] <= packing.EPOCHS * packing.GENERATIONS
+
+
+def test_pieces_are_those_of_the_library(spark, docs):
+    """piece, start, length and checksum of every piece against whole texts encoded by the library."""
+    coder, want = tokens.encoder("word_bpe_49k.json"), {}
+    for r in docs.collect():
+        ids = coder.whole(r["text"] or "") + np.array([1], "<u4").tobytes()
+        for k in range(0, len(ids), 4 * 512):
+            want[r["doc_id"], k // 2048] = (k // 4, len(ids[k : k + 2048]) // 4, zlib.crc32(ids[k : k + 2048]))
+    rows = packing.pack_documents(docs, capacity=512).collect()
+    assert {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in rows} == want and len(rows) == len(want)
+    placed = {}
+    for r in rows:
+        placed.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for spans in placed.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and sum(n for _, n in spans) <= 512
+
+
 def test_layout():
     page = """<head><title>T</title><body><nav><ul><li>One<li>Two <b>x</b><ol><li>in</ol></ul></nav><h1>Head</h1><p>a<br>b<p>c&amp;<span hidden>no</span><i style="display: none">no</i>
 <table><tr><th>Name<th>Value<tr><td>a long name<td>1</table><pre>  keep
