@@ -3,6 +3,13 @@
 Each stage takes the documents that its predecessor kept and returns their columns; the
 last returns the packed pieces.  Rows are told apart by their place in the stage's
 Parquet input, so rows without id and repeated rows are judged like any other.
+
+Defined results, for each stage: an empty table gives an empty one with the same columns;
+other columns are carried on unread, whatever their names; a null or empty text has
+nothing toxic beyond what the model gives an empty window, no near-duplicate, no benchmark
+passage and no personal data, so it stays and is packed as its end id alone; rows that repeat
+others whole are near-duplicates of them, of which the first by id, then by place, stays
+(the least id is that of a row with an id, where there is one).
 """
 
 from __future__ import annotations
@@ -12,8 +19,6 @@ from pyspark.sql import functions as F
 
 from loamstack.llm import decontaminate, near_dup, packing, pii, store, toxicity
 
-_ROW = "_loam_row"
-
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, fitted on the labelled ones, does not reject."""
@@ -24,20 +29,22 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates, that with the smallest id; rows without id come last, equal ids by place."""
-    rows = docs.withColumn(_ROW, F.monotonically_increasing_id())
-    judged = near_dup.near_duplicates(rows.select(F.col(_ROW).alias("doc_id"), "text")).select(F.col("doc_id").alias(_ROW), "component_id")
-    placed = judged.join(rows.select(_ROW, "doc_id"), _ROW)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", _ROW))
-    kept = store.materialize(placed.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{_ROW}").alias(_ROW)), "kept")
-    return rows.join(kept, _ROW, "left_semi").drop(_ROW)
+    row = store.unused(docs, "_loam_row")
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    judged = near_dup.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "component_id")
+    placed = judged.join(rows.select(row, "doc_id"), row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", row))
+    kept = store.materialize(placed.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{row}").alias(row)), "kept")
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
-    rows = docs.withColumn(_ROW, F.monotonically_increasing_id())
-    judged = decontaminate.contamination(rows.select(F.col(_ROW).alias("doc_id"), "text"), store.table(spark, sf_dir, "benchmark"))
-    bad = store.materialize(judged.where("contaminated").select(F.col("doc_id").alias(_ROW)), "contaminated")
-    return rows.join(bad, _ROW, "left_anti").drop(_ROW)
+    row = store.unused(docs, "_loam_row")
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    judged = decontaminate.contamination(rows.select(F.col(row).alias("doc_id"), "text"), store.table(spark, sf_dir, "benchmark"))
+    bad = store.materialize(judged.where("contaminated").select(F.col("doc_id").alias(row)), "contaminated")
+    return rows.join(bad, row, "left_anti").drop(row)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
