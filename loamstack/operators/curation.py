@@ -27,12 +27,16 @@ def ngrams(words: Column, n: int) -> Column:
 
 
 def diversity_score(text: Column) -> Column:
-    words = word_list(F.lower(text))
-    n = F.size(words)
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(n - 1, F.lit(0))), F.slice(words, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    types = F.size(F.array_distinct(words)) / n
-    bigrams = F.size(F.array_distinct(pairs)) / (n - 1)
-    return F.when(n == 0, 0.0).when(n == 1, 1.0).otherwise((types + bigrams) / 2)
+    """Mean of the shares of distinct words and of distinct pairs of neighbours; the words are split once."""
+
+    def score(words: Column) -> Column:
+        n = F.size(words)
+        pairs = F.transform(F.slice(words, 1, F.greatest(n - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
+        types = F.size(F.array_distinct(words)) / F.nullif(n, F.lit(0))
+        bigrams = F.size(F.array_distinct(pairs)) / F.nullif(n - 1, F.lit(0))
+        return F.when(n == 0, 0.0).when(n == 1, 1.0).otherwise((types + bigrams) / 2)
+
+    return F.transform(F.array(word_list(F.lower(text))), score)[0]
 
 
 def unigram_perplexity(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -53,14 +57,25 @@ def composite(scores: dict[str, float]) -> Column:
     return sum((w * F.col(c) for c, w in scores.items()), F.lit(0.0)) / sum(scores.values())
 
 
+def ngram_hashes(words: Column, n: int) -> Column:
+    """Distinct 64-bit hashes of the runs of n words, without writing the runs out."""
+    hashed = lambda w: F.when(F.size(w) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(F.slice(w, i, n))))).otherwise(F.array().cast("array<bigint>"))
+    return F.transform(F.array(words), hashed)[0]
+
+
 def ngram_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", n: int = 13, threshold: float = 0.3) -> DataFrame:
-    """(key, matched, total, ratio, contaminated) over distinct n-grams of white-space words."""
-    grams = lambda df, *c: df.select(*c, F.explode(F.array_distinct(ngrams(word_list(F.lower(F.col("text"))), n))).alias("g"))
-    own = grams(docs, key).withColumn("h", F.xxhash64("g"))
-    bench = grams(benchmark).distinct().withColumn("h", F.xxhash64("g"))
-    hits = own.join(bench, ["h", "g"], "left_semi").groupBy(key).agg(F.count("*").alias("matched"))
-    totals = docs.select(key, F.size(F.array_distinct(ngrams(word_list(F.lower(F.col("text"))), n))).alias("total"))
-    rows = totals.join(hits, key, "left").withColumn("matched", F.coalesce("matched", F.lit(0)))
+    """(key, matched, total, ratio, contaminated) over distinct n-grams of white-space words.
+
+    Hashes of all n-grams are held against those of the benchmark, and the n-grams themselves are
+    written out, shuffled and compared only for documents with a hash in common.
+    """
+    words = word_list(F.lower(F.col("text")))
+    grams = lambda df, *c: df.select(*c, F.explode(F.array_distinct(ngrams(words, n))).alias("g"))
+    bench = grams(benchmark).distinct().withColumn("h", F.xxhash64(F.split("g", " ")))
+    own = docs.select(key, ngram_hashes(words, n).alias("hashes"))
+    heard = own.select(key, F.explode("hashes").alias("h")).join(bench.select("h").distinct(), "h", "left_semi").select(key).distinct()
+    hits = grams(docs.join(heard, key, "left_semi"), key).join(bench, "g", "left_semi").groupBy(key).agg(F.count("*").alias("matched"))
+    rows = own.select(key, F.size("hashes").alias("total")).join(hits, key, "left").withColumn("matched", F.coalesce("matched", F.lit(0)))
     rows = rows.withColumn("ratio", F.when(F.col("total") > 0, F.col("matched") / F.col("total")).otherwise(0.0))
     return rows.withColumn("contaminated", F.col("ratio") >= threshold)
 

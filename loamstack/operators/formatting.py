@@ -51,9 +51,12 @@ def chatml(df: DataFrame, system_prompt: str | None = None, max_turns: int = 5,
     turns = F.when(F.size(turns) > max_turns, F.slice(turns, -max_turns, max_turns)).otherwise(turns)
     history = F.filter(F.flatten(F.transform(turns, lambda t: F.array(message("user", t["user"]), message("assistant", t["assistant"])))), lambda m: m["content"].isNotNull())
     messages = F.concat(first, history, F.array(message("user", F.col("user_input")), message("assistant", target())))
-    out = _common(usable(df), "chatml").withColumn("messages", messages)
-    out = out.withColumn("messages", F.when(S.message_tokens(F.col("messages")) > max_tokens, truncated_messages(F.col("messages"), max_tokens)).otherwise(F.col("messages")))
-    return conform(out.withColumn("estimated_tokens", S.message_tokens(F.col("messages"))), EXAMPLE)
+    cut = lambda m: F.when(S.message_tokens(m) > max_tokens, truncated_messages(m, max_tokens)).otherwise(m)
+    measured = lambda m: F.struct(m.alias("messages"), S.message_tokens(m).alias("estimated_tokens"))
+    # Messages are made once: neither a later filter nor a later column puts them together again.
+    made = F.transform(F.transform(F.array(messages), cut), measured)
+    out = _common(usable(df), "chatml").select("*", F.inline(made))
+    return conform(out, EXAMPLE)
 
 
 def _shortened(text: Column, tokens: Column) -> Column:

@@ -105,12 +105,12 @@ def from_auth(records: DataFrame) -> DataFrame:
     return conform(with_quality(rows), INTERACTION)
 
 
-def from_conversations(turns: DataFrame) -> DataFrame:
-    """Each assistant turn with the user turn before it; earlier pairs are its previous turns."""
+def from_conversations(turns: DataFrame, history: int | None = None) -> DataFrame:
+    """Each assistant turn with the user turn before it; earlier pairs, the last ``history`` of them or all, are its previous turns."""
     order = Window.partitionBy("conv_id").orderBy("turn")
     rows = turns.withColumns({"user": F.lag("text").over(order), "user_role": F.lag("role").over(order), "system_context": F.max(F.when(F.col("role") == "system", F.col("text"))).over(Window.partitionBy("conv_id"))})
     pairs = rows.where("role = 'assistant' AND user_role = 'user'").withColumn("pair", F.struct(F.col("user"), F.col("text").alias("assistant")))
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    before = order.rowsBetween(Window.unboundedPreceding if history is None else -history, -1)
     pairs = pairs.select(
         F.concat_ws("-", "conv_id", "turn").alias("id"), F.lit("manual").alias("source_type"), F.concat_ws("-", "conv_id", "turn").alias("source_id"), F.col("user").alias("user_input"),
         F.col("text").alias("assistant_output"), "system_context", F.col("conv_id").cast("string").alias("conversation_id"), F.col("turn").cast("int").alias("turn_number"),

@@ -37,7 +37,7 @@ def reject_reason(min_tokens: int = 10, max_tokens: int = 4096, min_quality: flo
 
 def judged(examples: DataFrame, *order: str, **limits) -> DataFrame:
     """``reject_reason`` for each example; of equal ones that pass, all but the first are duplicates."""
-    rows = examples.withColumns({"reject_reason": reject_reason(**limits), "content_hash": example_hash()})
+    rows = examples.select("*", F.inline(F.array(F.struct(reject_reason(**limits).alias("reject_reason"), example_hash().alias("content_hash")))))
     passed = rows.where("reject_reason IS NULL").withColumn("n", F.row_number().over(Window.partitionBy("content_hash").orderBy(*order)))
     passed = passed.withColumn("reject_reason", F.when(F.col("n") > 1, "duplicate")).drop("n")
     return passed.unionByName(rows.where("reject_reason IS NOT NULL"))

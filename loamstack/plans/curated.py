@@ -29,7 +29,8 @@ def _interactions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _examples(spark: SparkSession, d: str) -> DataFrame:
-    return formatting.chatml(_interactions(spark, d), system_prompt="You are helpful.")
+    rows = interactions.from_conversations(table(spark, d, "conversations"), history=5)  # as many as ``chatml`` takes
+    return formatting.chatml(rows, system_prompt="You are helpful.")
 
 
 #: Interactions, their ChatML examples and the first reason to reject one.
