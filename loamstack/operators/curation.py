@@ -58,9 +58,9 @@ def composite(scores: dict[str, float]) -> Column:
 
 
 def ngram_hashes(words: Column, n: int) -> Column:
-    """Distinct 64-bit hashes of the runs of n words, without writing the runs out."""
+    """Distinct 64-bit hashes of the runs of n words, made of the words' hashes without writing the runs out."""
     hashed = lambda w: F.when(F.size(w) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(F.slice(w, i, n))))).otherwise(F.array().cast("array<bigint>"))
-    return F.transform(F.array(words), hashed)[0]
+    return F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), hashed)[0]
 
 
 def ngram_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", n: int = 13, threshold: float = 0.3) -> DataFrame:
@@ -71,7 +71,7 @@ def ngram_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_i
     """
     words = word_list(F.lower(F.col("text")))
     grams = lambda df, *c: df.select(*c, F.explode(F.array_distinct(ngrams(words, n))).alias("g"))
-    bench = grams(benchmark).distinct().withColumn("h", F.xxhash64(F.split("g", " ")))
+    bench = grams(benchmark).distinct().withColumn("h", F.xxhash64(F.transform(F.split("g", " "), lambda w: F.xxhash64(w))))
     own = docs.select(key, ngram_hashes(words, n).alias("hashes"))
     heard = own.select(key, F.explode("hashes").alias("h")).join(bench.select("h").distinct(), "h", "left_semi").select(key).distinct()
     hits = grams(docs.join(heard, key, "left_semi"), key).join(bench, "g", "left_semi").groupBy(key).agg(F.count("*").alias("matched"))
