@@ -89,3 +89,8 @@ def overall(checks: DataFrame) -> DataFrame:
     last = checks.groupBy("component").agg(F.max_by("status", "ts").alias("status"))
     rank = F.when(F.col("status") == UNHEALTHY, 3).when(F.col("status") == DEGRADED, 2).when(F.col("status") == HEALTHY, 1).otherwise(0)
     return last.agg(F.max_by("status", rank).alias("overall"), F.count("*").alias("components"), F.count_if(F.col("status") == UNHEALTHY).alias("unhealthy"))
+
+
+def summary(states: DataFrame, state: str, role: str) -> DataFrame:
+    """Number of components by state and by role, in one pass."""
+    return states.groupingSets([[state], [role]], state, role).agg(F.count("*").alias("n"))

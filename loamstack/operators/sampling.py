@@ -218,3 +218,27 @@ def token_bucket(requests: DataFrame, key: str, ts: str, cost: str, rate: float,
         return part.assign(allowed=ok, left=left)
 
     return requests.groupBy(key).applyInPandas(run, schema)
+
+
+def z_normalised(values: Column) -> Column:
+    """An array less its mean, over its deviation."""
+
+    def scale(v: Column) -> Column:
+        n = F.size(v)
+        mean = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / n
+        sd = lambda m: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)) / n)
+        return F.transform(F.array(F.struct(mean.alias("m"))), lambda s: F.transform(F.array(sd(s["m"])), lambda d: F.transform(v, lambda x: (x - s["m"]) / (d + 1e-8)))[0])[0]
+
+    return F.transform(F.array(values), scale)[0]
+
+
+def buffer_statistics(buffer: DataFrame, name: str, priority: str, age: str, old: float) -> DataFrame:
+    """Size, total priority and number of aged entries of each part of a replay buffer."""
+    return buffer.groupBy(name).agg(F.count("*").alias("n"), F.sum(priority).alias("priorities"), F.count_if(F.col(age) > old).alias("old"))
+
+
+def distribution(buffer: DataFrame, most: int, *columns: str) -> DataFrame:
+    """(column, level, n, fill_rate): entries by each level of each column, and how full the buffer is."""
+    long = buffer.unpivot([], [F.col(c).cast("string").alias(c) for c in columns], "column", "level")
+    size = F.sum("n").over(Window.partitionBy("column"))  # a row for each level
+    return long.groupBy("column", "level").agg(F.count("*").alias("n")).withColumn("fill_rate", size / most)

@@ -48,9 +48,20 @@ def discovered(found: DataFrame, now: Column, least: int = 2, min_confidence: fl
     return rows.orderBy(F.desc("priority"), "name").limit(most)
 
 
+#: Pages for any web technology and for any topic.
+WEB_REFERENCE, ANY_REFERENCE = "https://developer.mozilla.org/en-US/docs/Web/%s", "https://devdocs.io/#q=%s"
+
+
 def documentation_urls(tags: Column, name: Column, most: int = 5) -> Column:
-    slug = F.lower(F.regexp_replace(name, r"\s+", "-"))
-    return F.slice(F.array_compact(F.array(*[F.when(F.array_contains(tags, t), F.format_string(u, slug)) for t, u in DOCUMENTATION.items()])), 1, most)
+    """Pages by the first family that a topic has: the module's, those of two model libraries, the web's; then a search for the name."""
+    slug, none = F.replace(F.lower(name), F.lit(" "), F.lit("-")), F.array().cast("array<string>")
+    page = lambda template, of: F.format_string(template, of)
+    special = (
+        F.when(F.array_contains(tags, "python_module"), F.array(page(DOCUMENTATION["python"], F.lower(name))))
+        .when(F.array_contains(tags, "ml_term"), F.array(page(DOCUMENTATION["huggingface"], slug), page(DOCUMENTATION["pytorch"], slug)))
+        .when(F.array_contains(tags, "web_tech"), F.array(page(WEB_REFERENCE, slug))).otherwise(none)
+    )
+    return F.slice(F.concat(special, F.array(page(ANY_REFERENCE, slug))), 1, most)
 
 
 def as_queue_topics(topics: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import curated, measured, relational
+from . import curated, measured, operations, records, relational
 
-QUERIES = relational.QUERIES | measured.QUERIES | curated.QUERIES
-ORACLES = relational.ORACLES | measured.ORACLES | curated.ORACLES
+QUERIES = relational.QUERIES | measured.QUERIES | curated.QUERIES | operations.QUERIES | records.QUERIES
+ORACLES = relational.ORACLES | measured.ORACLES | curated.ORACLES | operations.ORACLES | records.ORACLES
