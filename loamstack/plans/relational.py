@@ -42,18 +42,10 @@ def rel_left_join(spark: SparkSession, d: str) -> DataFrame:
     return c.join(o, F.col("c_custkey") == F.col("o_custkey"), "left").groupBy("c_custkey").agg(F.count("o_orderkey").alias("orders"))
 
 
-@query("""SELECT coalesce(c_nationkey, s_nationkey) AS nation, c_custkey IS NULL AS no_customer, s_suppkey IS NULL AS no_supplier, count(*) AS n
-FROM (SELECT * FROM customer WHERE c_custkey % 40 = 0) c FULL JOIN (SELECT * FROM supplier WHERE s_suppkey % 7 = 0) s ON c_nationkey = s_nationkey GROUP BY ALL""")
-def rel_full_join(spark: SparkSession, d: str) -> DataFrame:
-    c, s = table(spark, d, "customer").where("c_custkey % 40 = 0"), table(spark, d, "supplier").where("s_suppkey % 7 = 0")
-    rows = c.join(s, F.col("c_nationkey") == F.col("s_nationkey"), "full")
-    return rows.groupBy(F.coalesce("c_nationkey", "s_nationkey").alias("nation"), F.col("c_custkey").isNull().alias("no_customer"), F.col("s_suppkey").isNull().alias("no_supplier")).agg(F.count("*").alias("n"))
-
-
 @query("""SELECT coalesce(c_nationkey, s_nationkey) AS nation, c_custkey IS NULL AS no_customer, s_suppkey IS NULL AS no_supplier, count(*) AS n
 FROM customer FULL JOIN supplier ON c_nationkey = s_nationkey GROUP BY ALL""")
 def rel_full_join_whole(spark: SparkSession, d: str) -> DataFrame:
-    """rel_full_join over all rows: both sides are counted by nation first, so no pair of rows is made."""
+    """Both sides are counted by nation first, so no pair of rows is made."""
     c = table(spark, d, "customer").groupBy("c_nationkey", F.col("c_custkey").isNull().alias("no_customer")).agg(F.count("*").alias("nc"))
     s = table(spark, d, "supplier").groupBy("s_nationkey", F.col("s_suppkey").isNull().alias("no_supplier")).agg(F.count("*").alias("ns"))
     rows = c.join(s, F.col("c_nationkey") == F.col("s_nationkey"), "full")
@@ -147,15 +139,9 @@ def rel_pivot(spark: SparkSession, d: str) -> DataFrame:
     return p.select("o_orderstatus", F.round(F.col("`1-URGENT`"), 2).alias("urgent"), F.round(F.col("`5-LOW`"), 2).alias("low"))
 
 
-@query("""SELECT l_orderkey, name, round(v, 4) AS v FROM (SELECT l_orderkey, l_linenumber, l_discount, l_tax FROM lineitem WHERE l_orderkey % 50 = 0) UNPIVOT (v FOR name IN (l_discount, l_tax))""")
-def rel_unpivot(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "lineitem").where("l_orderkey % 50 = 0")
-    return t.unpivot(["l_orderkey", "l_linenumber"], ["l_discount", "l_tax"], "name", "v").select("l_orderkey", "name", F.round("v", 4).alias("v"))
-
-
 @query("""SELECT l_orderkey, name, round(v, 4) AS v FROM (SELECT l_orderkey, l_linenumber, l_discount, l_tax FROM lineitem) UNPIVOT (v FOR name IN (l_discount, l_tax))""")
 def rel_unpivot_whole(spark: SparkSession, d: str) -> DataFrame:
-    """rel_unpivot over all rows; like the SQL, without those whose value is null."""
+    """Like the SQL, without those whose value is null."""
     t = table(spark, d, "lineitem").unpivot(["l_orderkey", "l_linenumber"], ["l_discount", "l_tax"], "name", "v")
     return t.where("v IS NOT NULL").select("l_orderkey", "name", F.round("v", 4).alias("v"))
 
