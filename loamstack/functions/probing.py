@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -53,3 +54,22 @@ def kept_keys(document: Column, keys: Sequence[str]) -> Column:
 def iso_timestamp(column: Column) -> Column:
     """ISO-8601 text as an instant; a bare one is UTC; null if it can't be read."""
     return F.try_to_timestamp(F.regexp_replace(column, "Z$", "+00:00"))
+
+
+def interpolated(settings: dict[str, str], environment: dict[str, str]) -> dict[str, object]:
+    """Settings with ${NAME} and ${NAME:-default} from the environment, as numbers, truth values or text."""
+
+    def fill(match: re.Match) -> str:
+        return environment.get(match[1], match[2] or "")
+
+    def typed(text: str) -> object:
+        if text.lower() in ("true", "false"):
+            return text.lower() == "true"
+        for kind in (int, float):
+            try:
+                return kind(text)
+            except ValueError:
+                pass
+        return text
+
+    return {k: typed(re.sub(r"\$\{(\w+)(?::-([^}]*))?\}", fill, v)) for k, v in settings.items()}

@@ -81,3 +81,22 @@ def rolled_back(history: DataFrame, version: int) -> DataFrame:
     old = history.where(F.col("version") == version).select("digest", "config")
     nxt = history.agg((F.max("version") + 1).cast("int").alias("version")).crossJoin(old)  # one row each
     return history.unionByName(nxt.select("version", "digest", "config"))
+
+
+def save_each(df: DataFrame, folder: str) -> None:
+    """A JSON file for each row."""
+    df.write.mode("append").option("maxRecordsPerFile", 1).json(folder)
+
+
+def save_state(df: DataFrame, folder: str, version: int) -> None:
+    """A state under a version of its own: readers of ``latest_state`` see the last whole one, a write that failed is not seen."""
+    df.write.mode("overwrite").json(f"{folder}/version={version:012d}")
+
+
+def latest_state(spark, folder: str, schema: str) -> DataFrame:
+    """The last state whose write ended; an empty frame if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version=*/_SUCCESS"))  # a file for each version
+    done = sorted(f.getPath().getParent().toString() for f in found or [])
+    return spark.read.schema(schema).json(done[-1]) if done else spark.createDataFrame([], schema)

@@ -38,12 +38,13 @@ def _scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def similar_pairs(vectors: DataFrame, threshold: float, key: str = "vec_id", vector: str = "embedding", blocks: int = 8) -> DataFrame:
+def similar_pairs(vectors: DataFrame, threshold: float, key: str = "vec_id", vector: str = "embedding", block_rows: int = 4096) -> DataFrame:
     """(a, b, cosine), a < b, of all pairs from the threshold on; zero vectors have none.
 
-    Vectors are dealt into blocks and each pair of blocks is one matrix product, so no
-    row-by-row cross join is made and a task holds two blocks.
+    Vectors are dealt into blocks of about ``block_rows`` and each pair of blocks is one matrix
+    product, so no row-by-row cross join is made and a task holds two blocks, however many there are.
     """
+    blocks = max(1, -(-vectors.count() // block_rows))
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     unit = vectors.select(F.col(key).alias("id"), F.col(vector).alias("v"), norm.alias("norm")).where("norm > 0")
     unit = unit.select("id", F.transform("v", lambda x: x / F.col("norm")).alias("v"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))

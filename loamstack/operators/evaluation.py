@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scores import compares
@@ -92,3 +94,22 @@ def majority(votes: DataFrame) -> DataFrame:
     """The most frequent answer of each request; of equal ones the first seen."""
     counted = votes.groupBy("request", "answer").agg(F.count("*").alias("n"), F.min("ord").alias("first"), F.min("latency_ms").alias("fastest"))
     return counted.groupBy("request").agg(F.max_by("answer", F.struct("n", (-F.col("first")).alias("o"))).alias("answer"), F.max("n").alias("votes"), F.min("fastest").alias("fastest_ms"))
+
+
+def choice_prompt(question: Column, choices: Column) -> Column:
+    """A question with its choices by letter."""
+    lines = F.transform(choices, lambda c, i: F.concat(F.chr(65 + i), F.lit(". "), c))
+    return F.concat(question, F.lit("\n"), F.array_join(lines, "\n"), F.lit("\nAnswer:"))
+
+
+def choice_answer(reply: Column) -> Column:
+    """The first of A to D among the first two visible characters of a reply; null if there is none."""
+    return F.nullif(F.regexp_extract(F.substring(F.upper(F.trim(reply)), 1, 2), "([A-D])", 1), F.lit(""))
+
+
+def evaluated(cases: DataFrame, predicates: dict[str, Callable[[Column], Column]], name: str = "evaluator", reply: str = "reply") -> DataFrame:
+    """``passed`` for each case by the predicate that it names, a column expression; null where it names none."""
+    passed = F.lit(None).cast("boolean")
+    for key, predicate in predicates.items():
+        passed = F.when(F.col(name) == key, predicate(F.col(reply))).otherwise(passed)
+    return cases.withColumn("passed", passed)

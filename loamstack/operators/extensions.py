@@ -36,6 +36,14 @@ def dead_letters(mapped_rows: DataFrame, output: str) -> DataFrame:
     return mapped_rows.where(F.col(f"{output}_error").isNotNull())
 
 
+def retried(letters: DataFrame, function: Callable, inputs: list[str], output: str, kind: str = "string", most: int = 3) -> DataFrame:
+    """Stored dead letters once more: ``retry_count`` grows, and those that fail ``most`` times are given up."""
+    rows = letters.withColumn("retry_count", F.coalesce("retry_count", F.lit(0)) + 1) if "retry_count" in letters.columns else letters.withColumn("retry_count", F.lit(1))
+    again = mapped(rows.drop(output, f"{output}_error"), function, inputs, output, kind)
+    failed = F.col(f"{output}_error").isNotNull()
+    return again.withColumn("state", F.when(~failed, "done").when(F.col("retry_count") >= most, "given_up").otherwise("waiting"))
+
+
 def rewritten(df: DataFrame, teacher: Callable[[str], str], text: str, rounds: int = 1, good_enough: Callable[[str], bool] | None = None) -> DataFrame:
     """A teacher's rewrite of a text, repeated until it is good enough."""
 

@@ -43,3 +43,12 @@ def round_metrics(updates: DataFrame) -> DataFrame:
     """Clients, samples and mean loss of each round, a client counted once."""
     one = updates.groupBy("round", "client_id").agg(F.max("num_samples").alias("num_samples"), F.max("loss").alias("loss"))
     return one.groupBy("round").agg(F.count("*").alias("clients"), F.sum("num_samples").alias("samples"), F.avg("loss").alias("loss"))
+
+
+#: Aggregations by name; others can be added.
+STRATEGIES = {"average": averaged, "median": median, "trimmed": trimmed, "krum": krum}
+
+
+def aggregated(updates: DataFrame, strategy: str, **options) -> DataFrame:
+    """(round, param, idx, weight) by the named strategy."""
+    return STRATEGIES[strategy](updates, **options).select(*CELL, "weight")

@@ -9,6 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.hashing import unit_interval
+
+
+#: Edges that ``acyclic`` takes.
+MOST_EDGES = 100_000
+
 
 def _kept(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
@@ -43,9 +49,14 @@ def descendants(edges: DataFrame, node) -> DataFrame:
 
 
 def acyclic(edges: DataFrame, *order: str) -> DataFrame:
-    """Edges in order without those that would close a cycle.  The graph of variables is small; edges are folded on the driver."""
+    """Edges in order without those that would close a cycle.
+
+    The graph of variables is small: at most ``MOST_EDGES`` are folded on the driver, more are refused.
+    """
     out, succ = [], {}
-    rows = edges.orderBy(*order).collect()
+    rows = edges.orderBy(*order).limit(MOST_EDGES + 1).collect()
+    if len(rows) > MOST_EDGES:
+        raise ValueError(f"more than {MOST_EDGES} edges")
 
     def reaches(a, b) -> bool:
         seen, stack = set(), [a]
@@ -110,11 +121,17 @@ def edge_scores(true: DataFrame, found: DataFrame) -> DataFrame:
     return row.select(p.alias("precision"), r.alias("recall"), F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)).alias("f1"), (F.col("missed") + F.col("extra")).alias("distance"))
 
 
+def gaussian(key: Column, seed: int) -> Column:
+    """A standard normal number that the key and the seed decide, by Box and Muller's way."""
+    u, v = unit_interval(key, F.lit("u"), seed=seed), unit_interval(key, F.lit("v"), seed=seed)
+    return F.sqrt(-2 * F.log(1 - u)) * F.cos(2 * math.pi * v)
+
+
 def simulated(spark: SparkSession, order: list[str], parents: dict[str, list[str]], n: int, mechanisms: dict[str, Callable[[dict[str, Column], Column], Column]] | None = None, interventions: dict[str, float] | None = None, noise: float = 1.0, seed: int = 0) -> DataFrame:
     """n samples of a structural model in topological order; by default the mean of the parents plus noise."""
     rows = spark.range(n)
     for k, name in enumerate(order):
-        eps = F.randn(seed + k) * noise
+        eps = gaussian(F.col("id"), seed + k) * noise
         known = {p: F.col(p) for p in parents.get(name, [])}
         if interventions and name in interventions:
             value = F.lit(float(interventions[name]))

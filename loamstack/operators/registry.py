@@ -117,3 +117,10 @@ def drained(queue: DataFrame, capacity: int) -> DataFrame:
 
 def newest(rows: DataFrame, order: str, limit: int, condition: Column | None = None) -> DataFrame:
     return (rows if condition is None else rows.where(condition)).orderBy(F.desc(order)).limit(limit)
+
+
+def longest_chain(dependencies: DataFrame) -> DataFrame:
+    """Number of steps of the longest chain of dependencies (source, target), which bounds how soon all can be down."""
+    from .graph import topological
+
+    return topological(dependencies).agg(F.max("depth").alias("steps"), F.count("*").alias("components"))

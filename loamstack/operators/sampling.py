@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_interval
+from ..functions.scores import example_difficulty, length_difficulty
 
 
 def uniform(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
@@ -242,3 +243,27 @@ def distribution(buffer: DataFrame, most: int, *columns: str) -> DataFrame:
     long = buffer.unpivot([], [F.col(c).cast("string").alias(c) for c in columns], "column", "level")
     size = F.sum("n").over(Window.partitionBy("column"))  # a row for each level
     return long.groupBy("column", "level").agg(F.count("*").alias("n")).withColumn("fill_rate", size / most)
+
+
+#: Difficulty scorers by name, each from a frame's text column to a column; others can be added.
+SCORERS = {"length": length_difficulty, "vocabulary": lambda text: example_difficulty(text, F.lit("none"))}
+
+
+def with_difficulty(df: DataFrame, scorer, text: str = "text") -> DataFrame:
+    """``difficulty`` by a scorer's name or by a function of the text column."""
+    return df.withColumn("difficulty", (SCORERS[scorer] if isinstance(scorer, str) else scorer)(F.col(text)))
+
+
+def clustered(df: DataFrame, k: int, key: str, vector: str, score: str | None = None, weight: float = 0.5, seed: int = 1) -> DataFrame:
+    """One row of each of ``k`` clusters: that nearest its centre, or of the best mean of nearness and ``score``."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    rows = df.withColumn("_v", array_to_vector(F.transform(vector, lambda x: x.cast("double"))))
+    model = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="cluster").fit(rows)
+    centres = df.sparkSession.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, _c array<double>")  # k rows
+    rows = model.transform(rows).drop("_v").join(F.broadcast(centres), "cluster")
+    far = F.sqrt(F.aggregate(F.zip_with(vector, "_c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    value = -far if score is None else weight * F.col(score) + (1 - weight) / (1 + far)
+    n = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("_value"), key))
+    return rows.withColumn("_value", value).withColumn("_n", n).where("_n = 1").drop("_n", "_c", "_value")

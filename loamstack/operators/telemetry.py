@@ -142,3 +142,37 @@ def alert_history(alerts: DataFrame, least: str = "info", component: str | None
     if component is not None:
         rows = rows.where(F.col("component") == component)
     return rows.orderBy(F.desc("ts")).limit(limit)
+
+
+def run_statistics(runs: DataFrame, *keys: str) -> DataFrame:
+    """Rates and averages of runs (ok, seconds, attempts, items): of connections, batches, retries or schedules alike."""
+    n = F.count("*")
+    return runs.groupBy(*keys).agg(
+        n.alias("runs"), F.count_if("ok").alias("succeeded"), F.count_if(~F.col("ok")).alias("failed"), F.avg(F.col("ok").cast("int")).alias("success_rate"), F.avg("seconds").alias("avg_seconds"), F.max("seconds").alias("max_seconds"),
+        F.sum(F.col("attempts") - 1).alias("retries"), F.try_divide(F.sum("items"), F.sum("seconds")).alias("items_per_s"),
+    )
+
+
+def progress(fetches: DataFrame, *keys: str) -> DataFrame:
+    """How far a run of fetches (status, started, ended) is: counts by status, success among those tried, and the time it took."""
+    tried = F.count_if(F.col("status").isin("fetched", "failed"))
+    return fetches.groupBy(*keys).agg(
+        F.count("*").alias("total"), *[F.count_if(F.col("status") == s).alias(s) for s in ("fetched", "failed", "blocked")], F.coalesce(F.try_divide(F.count_if(F.col("status") == "fetched"), tried), F.lit(0.0)).alias("success_rate"),
+        ((F.unix_micros(F.max("ended")) - F.unix_micros(F.min("started"))) / 1e6).alias("seconds"),
+    )
+
+
+def ring(df: DataFrame, capacity: int, keys: tuple[str, ...], *order: str) -> DataFrame:
+    """What a buffer that drops its oldest entries holds in the end."""
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.desc(o) for o in order]))
+    return df.withColumn("_n", n).where(F.col("_n") <= capacity).drop("_n")
+
+
+def admitted(df: DataFrame, capacity: int, policy: str, keys: tuple[str, ...], *order: str) -> DataFrame:
+    """Entries of a full queue that stay: drop_oldest keeps the last ones, drop_newest and block the first."""
+    if policy not in ("drop_oldest", "drop_newest", "block"):
+        raise ValueError(f"no policy {policy}")
+    if policy == "drop_oldest":
+        return ring(df, capacity, keys, *order)
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_n", n).where(F.col("_n") <= capacity).drop("_n")

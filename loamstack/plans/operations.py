@@ -471,3 +471,77 @@ def retry_delays(spark: SparkSession, d: str) -> DataFrame:
 def version_comparison(spark: SparkSession, d: str) -> DataFrame:
     version = F.concat_ws(".", F.col("p_partkey") % 3, F.col("p_size") % 12, F.lit(0))
     return table(spark, d, "part").where(semantic_version(version) > semantic_version(F.lit("v1.5.0"))).select("p_partkey")
+
+
+# --- runs, buffers and strategies -----------------------------------------------------------
+
+_RUNS = "r AS (SELECT user_id % 6 AS kind, event_type <> 'error' AS ok, value AS seconds, event_id % 4 + 1 AS attempts, user_id AS items FROM events)"
+
+
+@query(f"""WITH {_RUNS} SELECT kind, count(*) AS runs, count(*) FILTER (ok) AS succeeded, count(*) FILTER (NOT ok) AS failed, round(avg(ok::INT), 4) AS success_rate, round(avg(seconds), 4) AS avg_seconds, max(seconds) AS max_seconds, sum(attempts - 1)::BIGINT AS retries, round(sum(items) / sum(seconds), 4) AS items_per_s FROM r GROUP BY 1""")
+def run_statistics(spark: SparkSession, d: str) -> DataFrame:
+    r = B.events(spark, d).select((F.col("user_id") % 6).alias("kind"), (F.col("event_type") != "error").alias("ok"), F.col("value").alias("seconds"), (F.col("event_id") % 4 + 1).alias("attempts"), F.col("user_id").alias("items"))
+    return _round(telemetry.run_statistics(r, "kind"), "success_rate", "avg_seconds", "items_per_s")
+
+
+@query("""WITH f AS (SELECT user_id % 8 AS run, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'blocked' WHEN 'view' THEN 'queued' ELSE 'fetched' END AS status, ts FROM events)
+SELECT run, count(*) AS total, count(*) FILTER (status = 'fetched') AS fetched, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'blocked') AS blocked, round(count(*) FILTER (status = 'fetched') / count(*) FILTER (status IN ('fetched', 'failed')), 4) AS success_rate, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 2) AS seconds FROM f GROUP BY 1""")
+def scout_progress(spark: SparkSession, d: str) -> DataFrame:
+    t = F.col("event_type")
+    status = F.when(t == "error", "failed").when(t == "signup", "blocked").when(t == "view", "queued").otherwise("fetched")
+    f = B.events(spark, d).select((F.col("user_id") % 8).alias("run"), status.alias("status"), F.col("ts").alias("started"), F.col("ts").alias("ended"))
+    return telemetry.progress(f, "run").withColumns({"success_rate": F.round("success_rate", 4), "seconds": F.round("seconds", 2)})
+
+
+@query("""SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n <= 250""")
+def ring_buffer(spark: SparkSession, d: str) -> DataFrame:
+    return telemetry.ring(B.events(spark, d), 250, ("event_type",), "ts", "event_id").select("event_id")
+
+
+@query("""SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events) WHERE n <= 100""")
+def queue_admission(spark: SparkSession, d: str) -> DataFrame:
+    return telemetry.admitted(B.events(spark, d), 100, "drop_newest", ("event_type",), "ts", "event_id").select("event_id")
+
+
+@query(f"""WITH {B.UPDATES_SQL}, m AS (SELECT param, idx, round(list_sort(list(weight))[(count(*) + 1) // 2], 4) AS weight FROM updates GROUP BY 1, 2), a AS (SELECT param, idx, round(sum(weight * num_samples) / sum(num_samples), 4) AS weight FROM updates GROUP BY 1, 2)
+SELECT 'median' AS strategy, * FROM m UNION ALL SELECT 'average', * FROM a""")
+def federated_strategies(spark: SparkSession, d: str) -> DataFrame:
+    u = B.updates(spark, d)
+    one = lambda s: federated.aggregated(u, s).select(F.lit(s).alias("strategy"), "param", "idx", F.round("weight", 4).alias("weight"))
+    return one("median").unionByName(one("average"))
+
+
+@query("""WITH r AS (SELECT event_id, CASE event_type WHEN 'click' THEN ' b) because' WHEN 'view' THEN 'The answer' WHEN 'purchase' THEN '(D)' WHEN 'error' THEN 'xx C' ELSE 'a' END AS reply, user_id % 4 AS k FROM events)
+SELECT event_id, CASE trim(reply) WHEN 'b) because' THEN 'B' WHEN '(D)' THEN 'D' WHEN 'a' THEN 'A' END AS answer, 'Q' || event_id || chr(10) || 'A. one' || chr(10) || 'B. two' || chr(10) || 'Answer:' AS prompt, CASE k WHEN 0 THEN length(reply) > 5 WHEN 1 THEN contains(reply, 'C') END AS passed FROM r""")
+def choice_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Replies by the event's type; the user's remainder names the predicate of a case."""
+    t, k = F.col("event_type"), F.col("user_id") % 4
+    reply = F.when(t == "click", " b) because").when(t == "view", "The answer").when(t == "purchase", "(D)").when(t == "error", "xx C").otherwise("a")
+    cases = B.events(spark, d).select("event_id", reply.alias("reply"), F.when(k == 0, "long").when(k == 1, "has_c").otherwise("other").alias("evaluator"))
+    rows = evaluation.evaluated(cases, {"long": lambda r: F.length(r) > 5, "has_c": lambda r: r.contains("C")})
+    prompt = evaluation.choice_prompt(F.concat(F.lit("Q"), "event_id"), F.array(F.lit("one"), F.lit("two")))
+    return rows.select("event_id", evaluation.choice_answer(F.col("reply")).alias("answer"), prompt.alias("prompt"), "passed")
+
+
+@query("""WITH RECURSIVE e AS (SELECT n_nationkey // 2 AS source, n_nationkey AS target FROM nation WHERE n_nationkey > 0), c(node, depth) AS (SELECT 0::BIGINT, 0 UNION ALL SELECT e.target, c.depth + 1 FROM c JOIN e ON e.source = c.node)
+SELECT max(depth) AS steps, count(DISTINCT node) AS components FROM c""")
+def longest_dependency_chain(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "nation").where("n_nationkey > 0")
+    return registry.longest_chain(n.select((F.col("n_nationkey") / 2).cast("long").alias("source"), F.col("n_nationkey").cast("long").alias("target")))
+
+
+@query("""SELECT doc_id, round(least(1, length(text) / 512), 4) AS difficulty FROM documents""")
+def scored_difficulty(spark: SparkSession, d: str) -> DataFrame:
+    return _round(sampling.with_difficulty(table(spark, d, "documents"), "length").select("doc_id", "difficulty"), "difficulty")
+
+
+@query()
+def cluster_representatives(spark: SparkSession, d: str) -> DataFrame:
+    """Ten vectors, each the nearest to the centre of its cluster."""
+    return sampling.clustered(table(spark, d, "embeddings"), 10, "vec_id", "embedding").select("vec_id", "cluster")
+
+
+@query("""SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')""")
+def customers_without_urgent_orders(spark: SparkSession, d: str) -> DataFrame:
+    urgent = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, d, "customer").join(urgent, "c_custkey", "left_anti").select("c_custkey")

@@ -401,3 +401,25 @@ def page_outline(spark: SparkSession, d: str) -> DataFrame:
     """Titles and headings as the parser finds them against those that patterns find in the raw page."""
     s = web.structured(table(spark, d, "pages"))
     return s.select("page_id", (F.coalesce("title", F.lit("")) != "").alias("titled"), F.size(F.col("sections")).cast("long").alias("headings"))
+
+
+_SIGNED = r"""d AS (SELECT doc_id, text || CASE doc_id % 3 WHEN 0 THEN ' def f ( x ) import os' ELSE '' END || CASE doc_id % 5 WHEN 0 THEN ' Read our Privacy Policy and newsletter.' WHEN 1 THEN ' cookie policy' ELSE '' END AS t, doc_id % 3 = 0 AS code, CASE doc_id % 5 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS marks FROM documents)"""
+
+
+@query(rf"""WITH {_SIGNED}, s AS (SELECT *, len(list_filter(regexp_split_to_array(t, '[.!?]+'), lambda x: length(regexp_replace(x, '^\s+|\s+$', '', 'g')) > 20)) AS n FROM d)
+SELECT doc_id, round(CASE WHEN length(t) = 0 THEN 0.0 WHEN length(t) < 200 THEN 0.1 WHEN n < 2 THEN 0.2 ELSE least(1, greatest(0, 0.5 + least(0.2, length(t) / 10000) + least(0.15, n / 50) + CASE WHEN code THEN 0.15 ELSE 0 END - least(0.3, 0.05 * marks))) END, 4) AS quality FROM s""")
+def page_quality_signs(spark: SparkSession, d: str) -> DataFrame:
+    """Every third document has code and two of five have marks of boilerplate, which invented prose lacks."""
+    k = F.col("doc_id")
+    text = F.concat("text", F.when(k % 3 == 0, " def f ( x ) import os").otherwise(""), F.when(k % 5 == 0, " Read our Privacy Policy and newsletter.").when(k % 5 == 1, " cookie policy").otherwise(""))
+    return table(spark, d, "documents").select("doc_id", F.round(S.page_quality(text), 4).alias("quality"))
+
+
+@query(r"""WITH p AS (SELECT event_id, CASE user_id % 4 WHEN 0 THEN 'what is docker' WHEN 1 THEN 'implement a parallel class' WHEN 2 THEN 'Compare first and contrast then the design' ELSE 'hello' END AS t FROM events),
+s AS (SELECT event_id, 0.15 * least(1, length(t) / 500) + CASE t WHEN 'what is docker' THEN 0.25 * 0.2 + 0.3 * 0.2 WHEN 'implement a parallel class' THEN 0.25 * 0.4 + 0.3 * 0.9 + 0.2 * 2 / 3 WHEN 'hello' THEN 0.3 * 0.5 ELSE 0.25 * 0.2 + 0.3 * 0.9 + 0.1 * 2 / 4 END AS s FROM p)
+SELECT event_id, round(s, 4) AS score, CASE WHEN s < 0.2 THEN 'trivial' WHEN s < 0.4 THEN 'simple' WHEN s < 0.6 THEN 'moderate' WHEN s < 0.8 THEN 'complex' ELSE 'expert' END AS level, CASE WHEN s < 0.4 THEN 'small' WHEN s < 0.6 THEN 'medium' ELSE 'large' END AS size FROM s""")
+def prompt_complexity_signs(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("user_id") % 4
+    text = F.when(k == 0, "what is docker").when(k == 1, "implement a parallel class").when(k == 2, "Compare first and contrast then the design").otherwise("hello")
+    s = S.prompt_complexity(text)
+    return B.events(spark, d).select("event_id", F.round(s, 4).alias("score"), S.complexity_level(s).alias("level"), S.model_size(s).alias("size"))

@@ -18,6 +18,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return df.withColumn("ts", F.col("ts").cast("timestamp")) if name == "events" else df
 
 
+#: Options under which each form is read.
+FORMS = {"parquet": {}, "orc": {}, "csv": {"header": "true", "mode": "PERMISSIVE"}, "json": {}}
+
+
+def stored(spark: SparkSession, path: str | list[str], form: str, schema: str | None = None, **options) -> DataFrame:
+    """Files of a column or text form; CSV and JSON are read under ``schema`` where one is given, without a pass that infers it."""
+    reader = spark.read.format(form).options(**(FORMS[form] | options))
+    return (reader.schema(schema) if schema else reader).load(path)
+
+
+def database(spark: SparkSession, url: str, name: str, key: str | None = None, low: int = 0, high: int = 0, parts: int = 8, **options) -> DataFrame:
+    """A database's table; with ``key`` in ``parts`` ranges that are read at once."""
+    reader = spark.read.format("jdbc").options(url=url, dbtable=name, **options)
+    if key is not None:
+        reader = reader.options(partitionColumn=key, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts))
+    return reader.load()
+
+
 def within(df: DataFrame, ts: Column, since: str | None = None, until: str | None = None) -> DataFrame:
     """Rows of the time range, both ends included; rows whose time can't be read stay."""
     for bound, outside in ((since, lambda b: ts < b), (until, lambda b: ts > b)):
@@ -110,8 +128,8 @@ def log_records(lines: DataFrame) -> DataFrame:
 
 
 def latest_log_events(spark: SparkSession, folder: str, since: str | None = None, until: str | None = None, limit: int = 1000) -> DataFrame:
-    """The newest events of a folder's JSON logs."""
-    rows = within(log_records(json_lines(spark, folder, "*.jsonl")), F.col("timestamp"), since, until)
+    """The newest events of the JSON lines in a folder's *.log and *.jsonl files."""
+    rows = within(log_records(json_lines(spark, folder, "{*.log,*.jsonl}")), F.col("timestamp"), since, until)
     return rows.orderBy(F.desc("timestamp"), "event_id").limit(limit)
 
 
@@ -169,7 +187,7 @@ class Sources:
         return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
 
     def read_folder(self, spark: SparkSession, folder: str, **options) -> DataFrame | None:
-        """A folder by naming convention: telemetry in *.jsonl, feedback and records in JSON files."""
-        globs = (("telemetry", "*.jsonl"), ("feedback", "*feedback*.json"), ("auth_record", "*auth*.json"))
+        """A folder by naming convention; a file may match two.  Raw logs and states have no reader of their own until one is registered."""
+        globs = (("raw_log", "*.log"), ("telemetry", "*.jsonl"), ("state_file", "*_state.json"), ("feedback", "*feedback*.json"), ("auth_record", "*auth*.json"))
         parts = [df for k, (kind, glob) in enumerate(globs) if (df := self.read(spark, kind, folder, k, glob=glob, **options)) is not None]
         return reduce(lambda a, b: a.unionByName(b), parts) if parts else None

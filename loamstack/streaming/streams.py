@@ -65,14 +65,14 @@ def anomalies(stream: DataFrame, key: str, span: int = 100, least: int = 20, lim
 
 
 def count_triggers(stream: DataFrame, key: str, threshold: int) -> DataFrame:
-    """A row each time the running count of a key passes a multiple of the threshold."""
+    """A row for each multiple of the threshold that the running count of a key passes, wherever batches are cut."""
 
     def count(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         before = state.get[0] if state.exists else 0
         after = before + sum(len(b) for b in batches)
         state.update((after,))
-        fired = after // threshold > before // threshold
-        yield pd.DataFrame({key: [k[0]], "total": [after]} if fired else {key: [], "total": []})
+        passed = range(before // threshold + 1, after // threshold + 1)
+        yield pd.DataFrame({key: [k[0]] * len(passed), "total": [n * threshold for n in passed]})
 
     return stream.groupBy(key).applyInPandasWithState(count, f"{key} string, total long", "total long", "append", GroupStateTimeout.NoTimeout)
 
@@ -111,3 +111,22 @@ def fan_out(stream: DataFrame, checkpoint: str, handlers: dict[str, Callable[[Da
     query = stream.writeStream.foreachBatch(dispatch).trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
     query.awaitTermination()
     return query
+
+
+def publish(stream: DataFrame, folder: str, checkpoint: str, name: str = "event_id") -> StreamingQuery:
+    """Each event as a file of its own in a folder for its day; ``json_events`` of others read them."""
+
+    def drop(batch: DataFrame, number: int) -> None:
+        batch.withColumn("day", F.to_date("ts")).write.mode("append").option("maxRecordsPerFile", 1).partitionBy("day").json(folder)
+
+    query = stream.writeStream.foreachBatch(drop).trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
+    query.awaitTermination()
+    return query
+
+
+def tailed(spark: SparkSession, folder: str, schema: str, archive: str | None = None, glob: str = "*.json") -> DataFrame:
+    """Files as they come into a folder, whole; with ``archive`` those done are moved there."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob).option("multiLine", True)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.json(folder)
