@@ -219,5 +219,52 @@ def read_tokens(files: DataFrame) -> DataFrame:
     return placed.mapInPandas(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+#: Files whose first keys are held by every task of a lookup; more are looked up through a join by range.
+DIRECTORY_FILES = 1 << 20
+
+
+def lookup(files: DataFrame, keys: DataFrame) -> DataFrame:
+    """(doc_id, ids) of the distinct keys (doc_id) that the files have; of equal keys the first record.
+
+    The directory (first and last key of each file) tells which file may have a key, and only
+    these files' bytes are read; in a file one hash, one rank and one fingerprint find the record.
+    """
+    directory = files.where("first_key IS NOT NULL").select("range", "file", "first_key", "last_key")
+    asked = keys.select(F.col("doc_id").cast("long")).where("doc_id IS NOT NULL").distinct()
+    bounds = directory.orderBy("first_key", "range", "file").limit(DIRECTORY_FILES + 1).toArrow()  # at most DIRECTORY_FILES rows
+    if bounds.num_rows > DIRECTORY_FILES:
+        spans = directory.groupBy("range").agg(F.min("first_key").alias("low"), F.max("last_key").alias("high"))  # a row for each partition of the writer
+        placed = asked.join(F.broadcast(spans), F.col("doc_id").between(F.col("low"), F.col("high"))).select("doc_id", "range").join(directory, "range")
+        placed = placed.where(F.col("doc_id").between(F.col("first_key"), F.col("last_key"))).select("doc_id", "range", "file")
+    else:
+        columns = {c: bounds[c].to_numpy() for c in ("first_key", "last_key", "range", "file")}
+        shared = files.sparkSession.sparkContext.broadcast(columns)  # at most DIRECTORY_FILES rows
+
+        def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            c = shared.value
+            for rows in batches:
+                key = rows["doc_id"].to_numpy(np.int64)
+                # A key's records may begin at the end of the file before; equal keys lie in neighbouring files.
+                low, high = np.searchsorted(c["last_key"], key, "left"), np.searchsorted(c["first_key"], key, "right")
+                many = np.maximum(high - low, 0)
+                at = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                yield pd.DataFrame({"doc_id": np.repeat(key, many), "range": c["range"][at], "file": c["file"][at]})
+
+        placed = asked.mapInPandas(place, "doc_id long, range int, file int")
+    wanted = placed.groupBy("range", "file").agg(F.collect_list("doc_id").alias("keys"))  # at most the keys of a file
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for raw, found, number in zip(rows["bytes"], rows["keys"], rows["place"]):
+                f, found = TokenFile(raw), np.asarray(found, np.int64)
+                records = f.records(found)
+                hit = records >= 0
+                yield pd.DataFrame({"doc_id": found[hit], "place": number, "ids": [f.read(r).astype(np.int64).tolist() for r in records[hit]]})
+
+    place_of = (F.col("range").cast("long") * (1 << 32) + F.col("file")).alias("place")
+    rows = files.select("range", "file", "bytes").join(wanted, ["range", "file"]).select("bytes", "keys", place_of)
+    return rows.mapInPandas(read, "doc_id long, place long, ids array<long>").groupBy("doc_id").agg(F.min_by("ids", "place").alias("ids"))
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(store.table(spark, sf_dir, "documents").select("doc_id", "text")))

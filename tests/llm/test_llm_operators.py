@@ -50,6 +50,26 @@ def test_token_files_round_trip(spark, docs):
         start += len(ids)
 
 
+def test_keys_are_looked_up_in_their_files(spark, monkeypatch):
+    """Files of a few documents, equal keys over several files, keys between, before and after all."""
+    monkeypatch.setattr(token_store, "SHARD_BYTES", 200)
+    rows = [(k * 3, f"words number {k} and some more") for k in range(200)] + [(300, f"again {k}") for k in range(120)] + [(None, "no key")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    files = token_store.write_tokens(docs)
+    assert files.count() > 10
+    keys = spark.createDataFrame([(k,) for k in [0, 3, 300, 597, 1, 599, -5, 10**12, None, 3]], "doc_id long")
+    coder = tokens.encoder("byte_bpe_50k.json")
+    read = lambda: {r["doc_id"]: r["ids"] for r in token_store.lookup(files, keys).collect()}
+    got = read()
+    assert sorted(got) == [0, 3, 300, 597]
+    for k in (0, 3, 597):
+        assert got[k] == [*np.frombuffer(coder.whole(rows[k // 3][1]), "<u4").tolist(), 2]
+    first = next(r for r in token_store.read_tokens(files).orderBy("start").collect() if r["doc_id"] == 300)
+    assert zlib.crc32(np.array(got[300], "<u4").tobytes()) == first["ids_crc32"]
+    monkeypatch.setattr(token_store, "DIRECTORY_FILES", 3)
+    assert read() == got
+
+
 def test_perfect_hash_is_minimal_and_rejects_strangers():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 60, 5000))
     hashed = token_store.PerfectHash.build(keys)
