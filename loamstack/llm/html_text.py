@@ -112,6 +112,10 @@ class TreeBuilder:
             self.root.children.append(body)
             self.open.append(body)
 
+    def _in_template(self) -> bool:
+        """Whether a template before the body is open: what it holds does not begin the body."""
+        return any(node.tag == "template" for node in self.open)
+
     def start(self, tag: str, attributes: str) -> Node | None:
         if tag == "html":
             return None
@@ -125,7 +129,7 @@ class TreeBuilder:
             self._body()
             self.open[1].attributes = self.open[1].attributes or attributes
             return None
-        if not self.in_body:
+        if not self.in_body and not self._in_template():
             if tag in HEAD_ONLY:
                 if self.open[-1] is self.root:
                     self.start("head", "")
@@ -183,7 +187,7 @@ class TreeBuilder:
         if not self.in_body:
             if not data.strip():
                 return
-            if self.open[-1].tag not in RAW:
+            if self.open[-1].tag not in RAW and not self._in_template():
                 self._body()
         inner = self.open[-1].inner
         if inner == "svg" or inner == "math" and data.isspace():
@@ -282,8 +286,9 @@ class Table:
                     taken |= {c: tall - 1 for c in range(at, at + wide)}
                 at += wide
             placed.append(cells)
+        # A column in which no cell begins takes no room.
         starts, x = {}, 0
-        for c in range(max((a + w for cells in placed for a, w, _ in cells), default=0)):
+        for c in sorted({at for cells in placed for at, _, _ in cells}):
             starts[c] = x
             x += min(widths.get(c, 0), WIDEST) + 2
         out = []
@@ -298,8 +303,18 @@ class Table:
         return out
 
 
-def _count(value: str | None) -> int:
-    return min(max(int(value), 1), 100) if value and value.strip().isdecimal() else 1
+#: The most columns and rows that a cell covers, by the HTML standard.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
+_NUMBER = re.compile(r"[ \t\n\r\f]*\+?([0-9]+)")
+
+
+def _span(value: str | None, most: int, zero: int) -> int:
+    """A span as the standard reads it: the number at the start, 1 if there is none; ``zero`` for none of them."""
+    found = _NUMBER.match(value or "")
+    if not found:
+        return 1
+    digits = found[1].lstrip("0")
+    return zero if not digits else min(int(digits[:6]), most)
 
 
 def render(root: Node) -> str:
@@ -333,7 +348,7 @@ def render(root: Node) -> str:
                         flows[-1].line(line)
                 else:
                     tables[-1].rows = tables[-1].rows or [[]]
-                    tables[-1].rows[-1].append((flow.lines, _count(node.attribute("colspan")), _count(node.attribute("rowspan"))))
+                    tables[-1].rows[-1].append((flow.lines, _span(node.attribute("colspan"), MOST_COLUMNS, 1), _span(node.attribute("rowspan"), MOST_ROWS, MOST_ROWS)))
                 continue
             if tag == "table" and tables:
                 flow.flush()

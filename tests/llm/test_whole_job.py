@@ -16,6 +16,56 @@ def test_attributes_of_any_length_belong_to_their_tags():
         assert html_text.extract(page) == "ab\n\nc  d"
 
 
+def test_spans_of_any_size_are_those_of_the_standard():
+    assert [html_text._span(v, 1000, 1) for v in (None, "", "x", "0", "2", " 3px", "+4", "-1", "1000", "99999", "1" * 5000)] == [1, 1, 1, 1, 2, 3, 4, 1, 1000, 1000, 1000]
+    page = "<table><tr><td rowspan=150>a<td>b" + "".join(f"<tr><td>{k}" for k in range(160)) + "</table>"
+    lines = html_text.extract(page).split("\n")
+    assert lines[0] == "a    b" and lines[149] == "     148" and lines[150] == "149"
+    wide = html_text.extract("<table><tr><td colspan=900>head<td>end<tr><td>x</table>")
+    assert wide.split("\n")[0].split() == ["head", "end"] and len(wide.split("\n")[0]) < 40
+
+
+def brute_text(tree):
+    """Visible words of a page that was made from ``tree``, in order."""
+    out = []
+    for node in tree:
+        if isinstance(node, str):
+            out += node.split()
+        elif node[0] not in ("script", "style", "template") and "hidden" not in node[1]:
+            out += brute_text(node[2])
+    return out
+
+
+def test_generated_pages_show_the_words_of_their_trees():
+    """Random trees of blocks, inline elements, lists, hidden parts and scripts, with and without end tags that may be left out."""
+    rng, blocks, inline = np.random.default_rng(5), ["div", "section", "blockquote", "ul", "h2"], ["b", "span", "em"]
+    word = iter(f"w{k}" for k in range(10**6))
+
+    def tree(depth, kinds):
+        nodes = []
+        for _ in range(rng.integers(1, 4)):
+            pick = rng.random()
+            if depth == 0 or pick < 0.35:
+                nodes.append(" ".join(next(word) for _ in range(rng.integers(1, 4))) + " ")
+            elif pick < 0.45:
+                nodes.append((str(rng.choice(["script", "style", "template"])), "", ["hidden1 "]))
+            else:
+                name = str(rng.choice(kinds))
+                if name == "ul":
+                    nodes.append((name, "", [("li", "", tree(depth - 1, inline)) for _ in range(rng.integers(1, 3))]))
+                else:
+                    nodes.append((name, " hidden" if rng.random() < 0.1 else "", tree(depth - 1, inline if name in inline or name == "h2" else kinds)))
+        return nodes
+
+    def write(nodes):
+        return "".join(n if isinstance(n, str) else f"<{n[0]}{n[1]}>{write(n[2])}" + ("" if n[0] == "li" else f"</{n[0]}>") for n in nodes)
+
+    for _ in range(300):
+        made = tree(4, blocks + inline)
+        page = write(made)
+        assert [w for w in html_text.extract(page).split() if w != "-"] == brute_text(made), page
+
+
 def test_formulas_labels_and_inputs_are_shown():
     page = """<p>Let <math><mi>x</mi> <mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><semantics><mtext>for <b>all</b></mtext><annotation>no</annotation></semantics></math> hold.
 <p>a<svg viewBox="0 0 1 1"><title>no</title><desc>no</desc><defs><text>no</text></defs><style/><rect style="display:none"/> no <g><text>North <tspan>pole</tspan></text><path d=""/><text>South</text></g></svg>b<svg>
