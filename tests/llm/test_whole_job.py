@@ -1,7 +1,10 @@
 """Inputs that were cut, dropped or passed over before."""
 
 import hashlib
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -206,3 +209,67 @@ def test_media_rows_equal_plain_loops(spark):
         wide = [v for a, b in zip(linear, linear[1:] + linear[-1:]) for v in (a, a + b >> 1)]
         pcm = b"".join(v.to_bytes(2, "little", signed=True) for v in wide)
         assert f"pcm16k={len(wide)}/{zlib.crc32(pcm)}" in r["feature"] and f"mulaw={max(linear)}/{min(linear)}/" in r["feature"]
+
+
+def brute_scan(files):
+    """license_scan.scan by plain loops: every line and every window of the stated starts, without passing any over."""
+    L = license_scan
+    words = lambda t: [w for w in re.split("[^a-z0-9]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) if w]
+    templates = L.TEMPLATES + L.NOTICES + L.full_texts()
+    vocabulary = {t for _, text in templates for t in words(text)}
+    total, df = len(files), Counter()
+    for _, _, text in files:
+        df.update(vocabulary & set(words(text)))
+    idf = {t: math.log((1 + total) / (1 + df[t])) + 1 for t in vocabulary}
+    unknown = math.log(1 + total) + 1
+
+    def vector(found):
+        v = {t: n * idf.get(t, unknown) for t, n in Counter(found).items()}
+        return v, math.sqrt(sum(x * x for x in v.values()))
+
+    made = [(name, words(text), *vector(words(text))) for name, text in templates]
+    judged = {}
+    for key, path, text in files:
+        found, ranks, line_words, covered = words(text), [], 0, set()
+        for k, line in enumerate((text or "").split("\n")):
+            v, norm = vector(words(line))
+            best = max(((round(sum(x * t.get(w, 0) for w, x in v.items()) / tn, 9), -i, name) for i, (name, _, t, tn) in enumerate(made[: len(L.TEMPLATES)]) if norm and set(v) & set(t)), default=None)
+            if best and round(best[0] / norm, 6) >= L.THRESHOLD:
+                ranks.append((1, -round(best[0] / norm, 6), 0, k, best[2]))
+                line_words += len(words(line))
+        for name, own, t, tn in made:
+            n, last = len(own), max(len(found) - len(own), 0)
+            least = max(L.THRESHOLD, L.LONG_THRESHOLD) if n > L.LONG else L.THRESHOLD
+            for s in sorted({*range(0, last + 1, max(n // L.STEPS, 1)), last, *(s for s in range(last + 1) if s < len(found) and found[s] == own[0])}):
+                v, norm = vector(found[s : s + n])
+                cosine = round(sum(x * t.get(w, 0) for w, x in v.items()) / tn / norm, 6) if norm else 0
+                if cosine >= least:
+                    size = len(found[s : s + n])
+                    ranks.append((0 if size >= L.FILE_SHARE * len(found) else 1, -cosine, 1, s, name))
+                    covered |= set(range(s, s + size))
+        best = min(ranks, default=None)
+        judged[key] = (path, best and best[4], -best[1] if best else 0.0, bool(best) and max(line_words, len(covered)) >= L.FILE_SHARE * max(len(found), 1))
+    given = {}
+    for path, name, cosine, is_file in judged.values():
+        if is_file and path is not None:
+            given.setdefault(path.rpartition("/")[0], []).append((-cosine, name))
+    out = {}
+    for key, (path, name, cosine, is_file) in judged.items():
+        parts = (path or "").split("/")[:-1]
+        near = next((d for k in range(len(parts), 0, -1) if (d := "/".join(parts[:k])) in given), None) if path is not None else None
+        out[key] = (name, cosine, is_file, name or (min(given[near])[1] if near is not None else None), near if name is None else None)
+    return out
+
+
+def test_scan_equals_plain_loops(spark):
+    full, notices = dict(license_scan.full_texts()), dict(license_scan.NOTICES)
+    docs = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect() if len(r["text"]) < 3000][:70]
+    texts = docs + [t for _, t in license_scan.TEMPLATES] + list(notices.values()) + [full["MIT"], full["ISC"], full["BSD-3-Clause"], "(c) me\n\n" + full["MIT"], None, "", docs[0] + " " + notices["MIT"] + " " + docs[1], notices["GPL-3.0"] + "\nint main() { return 0; }"]
+    folders = ["a/b", "a/b/c", "a", "d/e/f", "g"]
+    files = [(k, None if k % 17 == 5 else f"{folders[k % 5]}/f{k}", t) for k, t in enumerate(texts)]
+    want = brute_scan(files)
+    rows = license_scan.scan(spark.createDataFrame(files, "key long, path string, text string")).collect()
+    got = {r["key"]: (r["own_license"], r["cosine"], r["is_file"], r["license"], r["inherited_from"]) for r in rows}
+    assert {k: (v[0], *v[2:]) for k, v in got.items()} == {k: (v[0], *v[2:]) for k, v in want.items()}
+    assert all(abs(got[k][1] - want[k][1]) < 2e-6 for k in got)
+    assert sum(v[0] is not None for v in got.values()) > 30 and any(v[4] for v in got.values())
