@@ -129,16 +129,32 @@ PAGE = (
     "links array<struct<text:string,href:string>>, text string, markdown string"
 )
 _SKIP = {"script", "style", "noscript", "template", "nav", "footer", "header", "aside", "iframe", "svg", "form"}
-_SKIP_CLASS = re.compile(r"\b(?:ad|ads|advert\w*|sidebar|cookie\w*|banner|popup|share|social|comments?|related|newsletter)\b", re.I)
+#: Classes and ids of navigation, footers, side bars, advertisements, comments, sharing, consent and pop-ups.
+BOILERPLATE_CLASSES = frozenset(
+    "nav navbar navigation menu top-bar topbar header-nav footer site-footer page-footer bottom-bar sidebar side-nav widget widgets related-posts "
+    "ad ads advertisement sponsored promo promotion banner newsletter-signup comments comment-section disqus share social social-share sharing "
+    "cookie cookie-banner cookie-consent gdpr privacy-notice modal popup overlay lightbox".split()
+)
+BOILERPLATE_IDS = frozenset("nav navbar navigation menu footer sidebar comments disqus_thread".split())
+#: Where a page's main content stands, the first that the page has counts (name: an element, ".": a class, "#": an id, "=": a role).
+CONTENT_PLACES = (
+    "article main .content #content .main-content #main-content .article-content .doc-content .documentation .docs .markdown-body .prose .post-content .entry-content .page-content =main "
+    ".rst-content .md-content .document"
+).split()
 _BLOCK = {"p", "div", "li", "ul", "ol", "table", "tr", "blockquote", "section", "article", "main", "br", "pre", "dd", "dt"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
 class PageParser(HTMLParser):
-    """Title, description, sections, code, links and text of a page without its boilerplate."""
+    """Title, description, sections, code, links and text of a page without its boilerplate.
+
+    ``places`` tells which element (by the number of its start tag) each content place first is; with
+    ``main``, only that element's content is taken.
+    """
 
-    def __init__(self, url: str):
+    def __init__(self, url: str, main: int | None = None):
         super().__init__(convert_charrefs=True)
+        self.main, self.number, self.inside, self.places = main, 0, None if main is None else [], {}
         self.url, self.host = url, urlparse(url).netloc
         self.title, self.description, self.skip, self.in_title = "", "", [], False
         self.items: list[list] = [["", 0, "", []]]  # path, level, heading, content parts
@@ -151,13 +167,24 @@ class PageParser(HTMLParser):
             self.in_title = True
         if tag == "meta" and a.get("name", "").lower() == "description":
             self.description = a.get("content", "").strip()
-        if tag not in _VOID and (self.skip or tag in _SKIP or _SKIP_CLASS.search(f"{a.get('class', '')} {a.get('id', '')}")):
+        self.number += 1
+        classes, place = a.get("class", "").lower().split(), a.get("id", "").lower()
+        if tag not in _VOID and (self.skip or tag in _SKIP or place in BOILERPLATE_IDS or not BOILERPLATE_CLASSES.isdisjoint(classes)):
             if tag != "a" or self.skip:
                 self.skip.append(tag)
         if tag == "a" and a.get("href"):
             self.link = [a["href"], []]
         if self.skip:
             return
+        for name in (tag, *("." + c for c in classes), "#" + place, "=" + a.get("role", "").lower()):
+            self.places.setdefault(name, self.number)
+        if self.main is not None and tag not in _VOID:
+            if self.number == self.main:
+                self.inside = [tag]
+            elif self.inside:
+                self.inside.append(tag)
+        if self.main is not None and not self.inside:
+            return
         if re.fullmatch("h[1-6]", tag):
             self.heading = (int(tag[1]), [])
         elif tag == "pre" or (tag == "code" and self.code is None):
@@ -182,6 +209,12 @@ class PageParser(HTMLParser):
                 while self.skip.pop() != tag:
                     pass
             return
+        if self.main is not None:
+            if not self.inside:
+                return
+            if tag in self.inside:
+                while self.inside.pop() != tag:
+                    pass
         if re.fullmatch("h[1-6]", tag) and self.heading:
             level, parts = self.heading
             name = " ".join("".join(parts).split())
@@ -203,7 +236,7 @@ class PageParser(HTMLParser):
             self.title += data
         if self.link:
             self.link[1].append(data)
-        if self.skip or self.in_title:
+        if self.skip or self.in_title or self.main is not None and not self.inside:
             return
         if self.heading:
             self.heading[1].append(data)
@@ -221,6 +254,15 @@ def page_structure(url: str | None, html: str | None) -> tuple:
     parser = PageParser(url or "")
     parser.feed(html or "")
     parser.close()
+    main = next((parser.places[p] for p in CONTENT_PLACES if p in parser.places), None)
+    if main is not None:
+        whole, parser = parser, PageParser(url or "", main)
+        parser.feed(html or "")
+        parser.close()
+        if not any(heading or "".join(parts).strip() for _, _, heading, parts in parser.items):
+            parser = whole  # an empty place is none
+        else:
+            parser.links = whole.links
     sections = [(path, level, heading, _lines(parts)) for path, level, heading, parts in parser.items]
     titled = [s for s in sections if s[1]]
     text = "\n\n".join(x for _, _, heading, content in sections for x in (heading, content) if x)

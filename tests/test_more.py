@@ -115,3 +115,16 @@ def test_graphs_beyond_the_bound_are_refused(spark, monkeypatch):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "source long, target long")
     with pytest.raises(ValueError, match="more than 2"):
         graph.acyclic(edges, "source")
+
+
+def test_main_content_is_picked_and_boilerplate_left_out():
+    from loamstack.operators import web
+
+    page = """<title>T</title><div class="navbar x">nav</div><p>before</p><div id=content>lower</div><main><h1>One</h1><p>text <b>bold</b><div class="ads">buy</div><h2>Two</h2><pre>x = 1</pre></main><p>after <a href="/a">link</a></p><div id=disqus_thread>c</div>"""
+    title, _, sections, code, links, text, _ = web.page_structure("https://h.example/x", page)
+    assert title == "T" and [s[2] for s in sections] == ["One", "Two"] and code[0][1] == "x = 1"
+    assert "text bold" in text and not any(w in text for w in ("before", "after", "lower", "buy", "nav"))
+    assert links == [("link", "https://h.example/a")]
+    assert web.page_structure("", "<div class='content'>a<div>b</div>c</div>d")[5].split() == ["a", "b", "c"]
+    assert web.page_structure("", "<main></main>all of it")[5] == "all of it"
+    assert web.page_structure("", None)[5] == ""
