@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import store
+from . import memory, store
 
 WINDOW = 13
 #: A document is contaminated if it has hits and one word in so many is hit.
@@ -76,6 +76,7 @@ SEGMENTS = "segment long, doc_ids array<bigint>, n_words array<int>, terms array
 
 def _indexer(vocabulary):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memory.begin("decontaminate")
         code, segment = vocabulary.value.__getitem__, TaskContext.get().partitionId() << 32
         ids, lengths, parts, size = [], [], [], 0
         gap = np.array([-1], np.int32)
@@ -162,6 +163,7 @@ MATCHES = "segment long, doc int, starts array<int>, lengths array<int>, items a
 
 def _searcher(windows, slop: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memory.begin("decontaminate")
         w = windows.value
         for rows in batches:
             for r in rows.itertuples():

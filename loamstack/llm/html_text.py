@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import store
+from . import memory, store
 
 _TAG = re.compile(
     r"<(?:!--(?:>|->|.*?(?:--!?>|\Z))|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[!?/][^>]*+>?)", re.DOTALL
@@ -428,6 +428,7 @@ def extract(page: str | None) -> str:
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    memory.begin("html_text")
     for rows in batches:
         yield pd.DataFrame({"page_id": rows["page_id"], "url": rows["url"], "text": [extract(h) if isinstance(h, str) else "" for h in rows["html"]]})
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import store
+from . import memory, store
 
 UNIT = 64
 RATE = 8000
@@ -155,6 +155,7 @@ def _signal(pcm: np.ndarray) -> str:
 
 
 def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    memory.begin("media")
     for rows in batches:
         made = [payload_of(t if isinstance(t, str) else None) for t in rows["text"]]
         yield pd.DataFrame({"doc_id": rows["doc_id"], "n_bytes": [n for _, n in made], "media": [to_wav(p) for p, _ in made]})
@@ -198,8 +199,12 @@ def _pcm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _with_pcm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in _write(batches):
-        yield rows.assign(pcm=[fold(resample_double(expand(m))) for m in rows["media"]])
+    """In frames of some ``CHUNK_BYTES``, as PCM takes four times the room of its payload."""
+    for rows in batches:
+        ends = np.cumsum([len(t) if isinstance(t, str) else 0 for t in rows["text"]]) // CHUNK_BYTES
+        for _, part in rows.groupby(ends, sort=False):
+            for made in _write(iter([part])):
+                yield made.assign(pcm=[fold(resample_double(expand(m))) for m in made["media"]])
 
 
 def media_column(docs: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import store
+from . import memory, store
 from .components import connected_components
 
 SHINGLE = 5
@@ -56,7 +56,7 @@ OUTSIDE = 256
 FILTER_BITS, FILTER_HASHES, FILTER_BYTES = 12, 4, 16 << 20
 #: 64-bit words of a set's parity.
 PARITY = 16
-MEMORY_WORDS = 300_000
+MEMORY_WORDS = 200_000
 
 _rng = np.random.default_rng(20240607)
 _TERM = _rng.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,7 +111,13 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 SIGNED = "doc_id long, n_shingles long, set_key binary, signature binary"
 
 
+def _begin() -> None:
+    memory.begin("near_dup")
+    memory.hold("near_dup", _hashes.clear)
+
+
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    _begin()
     for rows in batches:
         out = []
         for key, text in zip(rows["doc_id"].astype("object").where(rows["doc_id"].notna(), None), rows["text"]):
@@ -147,6 +153,7 @@ def parity(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    _begin()
     for rows in batches:
         keys, packed, bits = [], [], []
         for text in rows["text"]:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import store
+from . import memory, store
 
 KINDS = ("email", "ip", "card", "phone")
 #: Kind of the seeds that no fixed pattern of the contract has, and of the spans that contexts add.
@@ -172,6 +172,7 @@ FOUND = f"row long, doc_id long, base array<{SPAN}>, secrets array<{SPAN}>, ment
 
 
 def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    memory.begin("pii")
     row = TaskContext.get().partitionId() << 36
     for rows in batches:
         out = []

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Spark removes an execution's shuffle files when it has ended; the written table replaces them.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows come to Python workers in batches of so many bytes, as a worker holds a batch several times over.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,12 +43,14 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
     writer = df.write.options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    before = spark.conf.get(CLEANUP, None)
+    before = {key: spark.conf.get(key, None) for key in (CLEANUP, BATCH)}
     spark.conf.set(CLEANUP, "true")
+    spark.conf.set(BATCH, BATCH_BYTES)
     try:
         writer.parquet(path)
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     out = spark.read.schema(df.schema).parquet(path)
     out._loam_path = path
     return out

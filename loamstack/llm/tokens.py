@@ -20,6 +20,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from . import memory
+
 #: Memorised pieces in each of two generations per worker.  When the young one is
 #: full it becomes the old one; pieces met again move back to the young one.
 MEMORY_PIECES = 250_000
@@ -106,7 +108,10 @@ _encoders: dict[tuple[str, str | None], PieceEncoder] = {}
 
 
 def encoder(file: str, path: str | None = None) -> PieceEncoder:
-    """One encoder for each worker process and file."""
+    """One encoder for each worker process and file, as long as the worker has no task of another operator."""
+    owner = f"tokens {file}"
+    memory.begin(owner)
+    memory.hold(owner, _encoders.clear)
     if (file, path) not in _encoders:
         _encoders[file, path] = PieceEncoder(file, path)
     return _encoders[file, path]

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import store
+from . import memory, store
 
 WINDOW = 40
 #: Words whose states are computed together, and words on either side over which the layers run up to them.
@@ -477,6 +477,7 @@ class Scorer:
 
     def __init__(self, model: Model | None):
         self.model = model
+        memory.begin("toxicity")
         if model is not None:
             model.p = {k: v.astype(np.float32) for k, v in model.p.items()}
             self.memory = WordMemory(model)
