@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..rounds import drop, kept
+
 
 def first_of(df: DataFrame, keys: list[str], *order) -> DataFrame:
     """The first row of each key in order."""
@@ -29,15 +29,6 @@ def new_only(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(known.select(*keys).distinct(), keys, "left_anti")
 
 
-def _scratch(df: DataFrame, name: str) -> DataFrame:
-    """Written to the session's shared folder and read back, so that loops keep a short lineage."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_rounds"
-    path = f"{base}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def similar_pairs(vectors: DataFrame, threshold: float, key: str = "vec_id", vector: str = "embedding", block_rows: int = 4096) -> DataFrame:
     """(a, b, cosine), a < b, of all pairs from the threshold on; zero vectors have none.
 
@@ -70,16 +61,18 @@ def greedy_kept(ids: DataFrame, pairs: DataFrame, key: str = "vec_id") -> DataFr
 
     Rounds: rows without an undecided earlier neighbour are kept, their later neighbours dropped.
     """
-    pairs = _scratch(pairs.select("a", "b"), "pairs")
+    pairs = kept(pairs.select("a", "b"), "pairs")
     dropped = None
     live = pairs
     while not live.isEmpty():
         blocked = live.select(F.col("b").alias("id")).distinct()
         heads = live.select(F.col("a").alias("id")).distinct().join(blocked, "id", "left_anti")
-        gone = _scratch(live.join(heads.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct(), "gone")
+        gone = kept(live.join(heads.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct(), "gone")
         dropped = gone if dropped is None else dropped.unionByName(gone)
+        before = live
         live = live.join(gone.withColumnRenamed("id", "a"), "a", "left_anti").join(gone.withColumnRenamed("id", "b"), "b", "left_anti")
-        live = _scratch(live.join(heads.withColumnRenamed("id", "a"), "a", "left_anti"), "live")
+        live = kept(live.join(heads.withColumnRenamed("id", "a"), "a", "left_anti"), "live")
+        drop(before)
     out = ids.select(key)
     if dropped is None:
         return out.withColumn("kept", F.lit(True))

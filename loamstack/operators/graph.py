@@ -3,39 +3,32 @@
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_interval
+from ..rounds import drop
+from ..rounds import kept as _round
 
 
 #: Edges that ``acyclic`` takes.
 MOST_EDGES = 100_000
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_rounds"
-    path = f"{base}/graph-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def closure(edges: DataFrame) -> DataFrame:
     """(source, target, hops) of all nodes that reach another, with the fewest hops.
 
     Each round joins the newest pairs with the edges and keeps those not known, so cycles end.
     """
     edge = edges.select("source", "target").where("source <> target").distinct()
-    known = new = _kept(edge.withColumn("hops", F.lit(1)))
+    known = new = _round(edge.withColumn("hops", F.lit(1)), "pairs")
     hops = 1
     while not new.isEmpty():
         hops += 1
         step = new.select("source", F.col("target").alias("via")).join(edge.select(F.col("source").alias("via"), "target"), "via").where("source <> target").select("source", "target").distinct()
-        new = _kept(step.join(known, ["source", "target"], "left_anti").withColumn("hops", F.lit(hops)))
+        new = _round(step.join(known, ["source", "target"], "left_anti").withColumn("hops", F.lit(hops)), "pairs")
         known = known.unionByName(new)
     return known
 
@@ -79,13 +72,15 @@ def acyclic(edges: DataFrame, *order: str) -> DataFrame:
 def topological(edges: DataFrame) -> DataFrame:
     """(node, depth): the longest path that leads to each node of an acyclic graph."""
     edge = edges.select("source", "target").distinct()
-    level = _kept(edge.select(F.col("source").alias("node")).union(edge.select("target")).distinct().withColumn("depth", F.lit(0)))
+    level = _round(edge.select(F.col("source").alias("node")).union(edge.select("target")).distinct().withColumn("depth", F.lit(0)), "levels")
     nodes = level.count()
     for _ in range(nodes):
         up = edge.join(level.withColumnRenamed("node", "source"), "source").groupBy(F.col("target").alias("node")).agg((F.max("depth") + 1).alias("new"))
-        nxt = _kept(level.join(up, "node", "left").select("node", F.greatest("depth", F.coalesce("new", F.lit(0))).alias("depth")))
+        nxt = _round(level.join(up, "node", "left").select("node", F.greatest("depth", F.coalesce("new", F.lit(0))).alias("depth")), "levels")
         if nxt.exceptAll(level).isEmpty():
+            drop(level)
             return nxt
+        drop(level)
         level = nxt
     raise ValueError("the graph has a cycle")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_interval
 from ..functions.scores import example_difficulty, length_difficulty
+from ..rounds import drop, kept
 
 
 def uniform(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
@@ -90,34 +91,56 @@ def variant(key: Column, share: float, seed: int = 0) -> Column:
     return F.when(unit_interval(key, seed=seed) < share, "a").otherwise("b")
 
 
-def diverse(df: DataFrame, n: int, key: str, text: str, score: str, weight: float = 0.3, pool: int = 1000) -> pd.DataFrame:
-    """Greedy choice by score and by difference in words from those chosen, among the ``pool`` best."""
-    rows = df.select(key, text, score).orderBy(F.desc(score), key).limit(pool).toPandas()
-    words = [set(t.lower().split()) for t in rows[text]]
-    chosen, overlap = [], np.zeros(len(rows))
-    left = list(range(len(rows)))
-    while left and len(chosen) < n:
-        value = {i: rows[score][i] * (1 - weight) + weight * (1 - overlap[i]) for i in left}
-        best = left[0] if not chosen else max(left, key=lambda i: (value[i], -i))
-        chosen.append(best)
-        left.remove(best)
-        for i in left:
-            if words[i]:
-                overlap[i] = max(overlap[i], len(words[i] & words[best]) / len(words[i]))
-    return rows.iloc[chosen].reset_index(drop=True)
-
-
-def k_centres(df: DataFrame, k: int, key: str, vector: str, pool: int = 5000) -> pd.DataFrame:
-    """Greedy core set: each next row is the furthest from those chosen, within a pool of bounded size."""
-    rows = df.select(key, vector).orderBy(unit_interval(F.col(key)), key).limit(pool).toPandas()
-    x = np.stack(rows[vector]) if len(rows) else np.empty((0, 1))
-    if not len(x):
-        return rows
-    chosen, far = [0], np.linalg.norm(x - x[0], axis=1)
-    while len(chosen) < min(k, len(x)):
-        chosen.append(int(far.argmax()))
-        far = np.minimum(far, np.linalg.norm(x - x[chosen[-1]], axis=1))
-    return rows.iloc[chosen][[key]].reset_index(drop=True)
+#: Rounds of a greedy choice after which its state is written, so that plans stay short.
+ROUNDS_KEPT = 8
+
+
+def diverse(df: DataFrame, n: int, key: str, text: str, score: str, weight: float = 0.3, pool: int | None = None) -> DataFrame:
+    """Greedy choice of ``n`` rows by score and by difference in words from those chosen: (key, score, place).
+
+    Every row stands for choice, or the ``pool`` best where one is given.  A round is one exact
+    maximum over the rows left, so there are as many jobs as rows to choose.
+    """
+    rows = df.select(key, F.col(score).alias("score"), F.array_distinct(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")).alias("words"))
+    if pool is not None:
+        rows = rows.orderBy(F.desc("score"), key).limit(pool)
+    first = state = kept(rows.withColumn("overlap", F.lit(0.0)), "choice")
+    chosen: list[tuple] = []
+    while len(chosen) < n:
+        value = F.col("score") if not chosen else F.col("score") * (1 - weight) + weight * (1 - F.col("overlap"))
+        best = state.withColumn("value", value).orderBy(F.desc("value"), F.desc("score"), key).limit(1).collect()  # one row
+        if not best:
+            break
+        chosen.append((best[0][key], float(best[0]["score"]), len(chosen)))
+        words = F.array(*map(F.lit, best[0]["words"])) if best[0]["words"] else F.array().cast("array<string>")
+        shared = F.coalesce(F.try_divide(F.size(F.array_intersect("words", words)), F.size("words")), F.lit(0.0))
+        state = state.where(F.col(key) != F.lit(best[0][key])).withColumn("overlap", F.greatest("overlap", shared))
+        if len(chosen) % ROUNDS_KEPT == 0:
+            state, done = kept(state, "choice"), first
+            drop(done)
+            first = state
+    drop(first)
+    return df.sparkSession.createDataFrame(chosen, f"{key} {dict(df.dtypes)[key]}, score double, place int")
+
+
+def k_centres(df: DataFrame, k: int, key: str, vector: str) -> DataFrame:
+    """Greedy core set of (key, place): the first row in hash order, then always the row furthest from those chosen."""
+    far = lambda v: F.sqrt(F.aggregate(F.zip_with(vector, F.array(*[F.lit(float(x)) for x in v]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    first = state = kept(df.select(key, vector).withColumn("distance", F.lit(float("inf"))), "centres")
+    order = [F.desc("distance"), unit_interval(F.col(key)), F.col(key)]
+    chosen: list[tuple] = []
+    while len(chosen) < k:
+        best = state.orderBy(*order).limit(1).collect()  # one row
+        if not best:
+            break
+        chosen.append((best[0][key], len(chosen)))
+        state = state.where(F.col(key) != F.lit(best[0][key])).withColumn("distance", F.least("distance", far(best[0][vector])))
+        if len(chosen) % ROUNDS_KEPT == 0:
+            state, done = kept(state, "centres"), first
+            drop(done)
+            first = state
+    drop(first)
+    return df.sparkSession.createDataFrame(chosen, f"{key} {dict(df.dtypes)[key]}, place int")
 
 
 def nearest(queries: DataFrame, vectors: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:

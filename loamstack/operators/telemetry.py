@@ -53,18 +53,46 @@ def _recent(keys: tuple[str, ...], order: tuple[str, ...], n: int):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(n - 1), 0)
 
 
-def anomalies(metrics: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], span: int = 100, least: int = 20, limit: float = 3.0) -> DataFrame:
-    """Points further than ``limit`` deviations from the mean of the last values, themselves included; half as much again is critical."""
-    w = _recent(keys, order, span)
-    rows = metrics.withColumns({"mean": F.avg("value").over(w), "sd": F.stddev_samp("value").over(w), "samples": F.count("value").over(w)})
+def split_recent(metrics: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], span: int, seconds: int) -> DataFrame:
+    """``metrics`` in parts (``_part``) of so much time of ``ts``, each with the ``span`` - 1 rows before it (``_own`` is false).
+
+    A window over the last ``span`` rows can then be by part, so a metric that has most rows is
+    many tasks.  Only the last rows of each part, which are few, are ordered by metric to find what comes before.
+    """
+    part = F.floor(F.unix_seconds("ts") / seconds).alias("_part")
+    rows = metrics.select("*", part, F.lit(True).alias("_own"))
+    last = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*[F.desc(o) for o in order]))
+    tails = rows.withColumn("_last", last).where(F.col("_last") < span).drop("_last")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_part", *order))
+    tails = tails.withColumn("_place", place)
+    starts = tails.groupBy(*keys, "_part").agg(F.min("_place").alias("_start")).withColumnRenamed("_part", "_next")
+    # The rows before a start lie in its block of ``span`` places or in the one before.
+    block = F.floor(F.col("_place") / span).alias("_block")
+    wanted = starts.withColumn("_block", F.explode(F.array(F.floor(F.col("_start") / span), F.floor(F.col("_start") / span) - 1)))
+    before = tails.select("*", block).join(wanted, [*keys, "_block"]).where((F.col("_place") < F.col("_start")) & (F.col("_place") >= F.col("_start") - (span - 1)))
+    before = before.select(*metrics.columns, F.col("_next").alias("_part"), F.lit(False).alias("_own"))
+    return rows.unionByName(before)
+
+
+def anomalies(metrics: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], span: int = 100, least: int = 20, limit: float = 3.0, split_seconds: int | None = None) -> DataFrame:
+    """Points further than ``limit`` deviations from the mean of the last values, themselves included; half as much again is critical.
+
+    With ``split_seconds`` (and order beginning with ``ts``) each metric is worked on in parts of so much time.
+    """
+    rows = metrics if split_seconds is None else split_recent(metrics, keys, order, span, split_seconds)
+    w = _recent(keys if split_seconds is None else (*keys, "_part"), order, span)
+    rows = rows.withColumns({"mean": F.avg("value").over(w), "sd": F.stddev_samp("value").over(w), "samples": F.count("value").over(w)})
+    rows = rows if split_seconds is None else rows.where("_own").drop("_own", "_part")
     rows = rows.where((F.col("samples") >= least) & (F.col("sd") > 0)).withColumn("z", (F.col("value") - F.col("mean")) / F.col("sd"))
     return rows.where(F.abs("z") > limit).withColumn("severity", F.when(F.abs("z") > limit * 1.5, "critical").otherwise("warning"))
 
 
-def drift(metrics: DataFrame, baseline: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], span: int = 100, least: int = 30, critical_t: float = 1.959963985) -> DataFrame:
-    """Last values against a baseline (keys, base_mean, base_sd); significance by the critical t of p = 0.05."""
-    w = _recent(keys, order, span)
-    rows = metrics.withColumns({"mean": F.avg("value").over(w), "sd": F.coalesce(F.stddev_samp("value").over(w), F.lit(0.0)), "samples": F.count("value").over(w)})
+def drift(metrics: DataFrame, baseline: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], span: int = 100, least: int = 30, critical_t: float = 1.959963985, split_seconds: int | None = None) -> DataFrame:
+    """Last values against a baseline (keys, base_mean, base_sd); significance by the critical t of p = 0.05; in parts as for ``anomalies``."""
+    rows = metrics if split_seconds is None else split_recent(metrics, keys, order, span, split_seconds)
+    w = _recent(keys if split_seconds is None else (*keys, "_part"), order, span)
+    rows = rows.withColumns({"mean": F.avg("value").over(w), "sd": F.coalesce(F.stddev_samp("value").over(w), F.lit(0.0)), "samples": F.count("value").over(w)})
+    rows = rows if split_seconds is None else rows.where("_own").drop("_own", "_part")
     rows = rows.where(F.col("samples") >= least).join(F.broadcast(baseline), list(keys))  # a row for each metric
     rows = rows.withColumns({
         "t": t_statistic(F.col("mean"), F.col("sd"), F.col("samples"), F.col("base_mean"), F.col("base_sd"), F.lit(span)),

@@ -71,7 +71,7 @@ _Z = """w AS (SELECT event_id, event_type AS name, value, avg(value) OVER f AS m
 
 @query(f"""WITH {_Z} SELECT event_id, name, round((value - mean) / sd, 4) AS z, CASE WHEN abs((value - mean) / sd) > 4.5 THEN 'critical' ELSE 'warning' END AS severity FROM w WHERE samples >= 20 AND sd > 0 AND abs((value - mean) / sd) > 3""")
 def metric_anomalies(spark: SparkSession, d: str) -> DataFrame:
-    return telemetry.anomalies(B.metrics(spark, d), ("name",), ("ts", "event_id")).select("event_id", "name", F.round("z", 4).alias("z"), "severity")
+    return telemetry.anomalies(B.metrics(spark, d), ("name",), ("ts", "event_id"), split_seconds=86400).select("event_id", "name", F.round("z", 4).alias("z"), "severity")
 
 
 @query(f"""WITH {_Z}, b AS (SELECT event_type AS name, avg(value) AS bm, stddev_samp(value) AS bs FROM events GROUP BY 1),
@@ -80,7 +80,7 @@ SELECT event_id, name, round(c, 4) AS change_percent, CASE WHEN abs(c) > 20 THEN
 def metric_drift(spark: SparkSession, d: str) -> DataFrame:
     m = B.metrics(spark, d)
     base = m.groupBy("name").agg(F.avg("value").alias("base_mean"), F.stddev_samp("value").alias("base_sd"))
-    return telemetry.drift(m, base, ("name",), ("ts", "event_id")).select("event_id", "name", F.round("change_percent", 4).alias("change_percent"), "severity")
+    return telemetry.drift(m, base, ("name",), ("ts", "event_id"), split_seconds=86400).select("event_id", "name", F.round("change_percent", 4).alias("change_percent"), "severity")
 
 
 @query("""WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 3600 SECOND THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),

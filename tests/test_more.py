@@ -128,3 +128,38 @@ def test_main_content_is_picked_and_boilerplate_left_out():
     assert web.page_structure("", "<div class='content'>a<div>b</div>c</div>d")[5].split() == ["a", "b", "c"]
     assert web.page_structure("", "<main></main>all of it")[5] == "all of it"
     assert web.page_structure("", None)[5] == ""
+
+
+def test_parts_of_time_see_the_rows_before_them(spark):
+    """Sparse and dense stretches, several keys, parts with fewer rows than the window: as one window over each key."""
+    import random
+
+    rng, rows, t = random.Random(3), [], 0
+    for k in range(600):
+        t += rng.choice([1, 5, 400, 4000])
+        rows.append((k, rng.choice("aab"), t, rng.choice([1.0, 2.0, 3.0, 90.0])))
+    m = spark.createDataFrame(rows, "event_id long, name string, t long, value double").withColumn("ts", F.timestamp_seconds("t"))
+    read = lambda **o: sorted(map(str, telemetry.anomalies(m, ("name",), ("ts", "event_id"), span=30, least=5, limit=1.5, **o).select("event_id", F.round("z", 6), "samples").collect()))
+    assert read() == read(split_seconds=3600) == read(split_seconds=50) != []
+
+
+def test_greedy_choices_equal_plain_loops(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(k, " ".join(rng.choice("a b c d e f g h".split()) for _ in range(rng.randint(1, 6))), rng.randint(0, 20) / 20) for k in range(40)]
+    got = [r["id"] for r in sampling.diverse(spark.createDataFrame(rows, "id long, t string, s double"), 10, "id", "t", "s").orderBy("place").collect()]
+    words, chosen, left = {k: set(t.split()) for k, t, _ in rows}, [], {k: s for k, _, s in rows}
+    while len(chosen) < 10:
+        over = lambda k: max((len(words[k] & words[c]) / len(words[k]) for c in chosen), default=0.0)
+        value = lambda k: left[k] if not chosen else left[k] * 0.7 + 0.3 * (1 - over(k))
+        chosen.append(min(left, key=lambda k: (-round(value(k), 12), -left[k], k)))
+        left.pop(chosen[-1])
+    assert got == chosen
+    points = spark.createDataFrame([(k, [float(k % 7), float(k // 7)]) for k in range(49)], "id long, v array<double>")
+    centres = [r["id"] for r in sampling.k_centres(points, 10, "id", "v").orderBy("place").collect()]
+    at = lambda k: (k % 7, k // 7)
+    assert len(set(centres)) == 10
+    for n in range(1, 10):
+        gap = lambda k: min((at(k)[0] - at(c)[0]) ** 2 + (at(k)[1] - at(c)[1]) ** 2 for c in centres[:n])
+        assert gap(centres[n]) == max(gap(k) for k in range(49) if k not in centres[:n])
