@@ -125,6 +125,13 @@ def included(df: DataFrame, min_confidence: float = 0.0, include_failures: bool
     return df if include_failures else df.where("outcome <> 'failure'")
 
 
+def ingestion_counts(df: DataFrame, min_confidence: float = 0.0, include_failures: bool = True) -> DataFrame:
+    """(source_type, read, ingested, filtered) under the filter of ``included``, in one pass."""
+    stays = F.coalesce(F.col("confidence") >= min_confidence, F.lit(False))
+    stays = stays if include_failures else stays & F.coalesce(F.col("outcome") != "failure", F.lit(False))
+    return df.groupBy("source_type").agg(F.count("*").alias("read"), F.count_if(stays).alias("ingested"), F.count_if(~stays).alias("filtered"))
+
+
 def trainable(min_quality: float = 0.5) -> Column:
     """Both texts, enough quality, and no failure that is not a correction."""
     both = (F.coalesce("user_input", F.lit("")) != "") & (F.coalesce("assistant_output", F.lit("")) != "")

@@ -44,7 +44,10 @@ def decayed_priority(priority: Column, age_days: Column, decay: float = 0.999) -
 
 
 def in_difficulty(df: DataFrame, low: float, high: float, limit: int | None = None, *order: str) -> DataFrame:
-    rows = df.where(F.col("difficulty").between(low, high))
+    """Rows of the range; all rows where the range has none."""
+    inside = F.coalesce(F.col("difficulty").between(low, high), F.lit(False))
+    found = df.agg(F.coalesce(F.bool_or(inside), F.lit(False)).alias("_found"))  # one row
+    rows = df.join(F.broadcast(found), inside | ~F.col("_found")).drop("_found")
     return rows.orderBy(*order).limit(limit) if limit else rows
 
 

@@ -204,3 +204,9 @@ def admitted(df: DataFrame, capacity: int, policy: str, keys: tuple[str, ...], *
         return ring(df, capacity, keys, *order)
     n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_n", n).where(F.col("_n") <= capacity).drop("_n")
+
+
+def notifications(alerts: DataFrame, channels: dict[str, list[str]]) -> DataFrame:
+    """(channel, payload): each alert as JSON text for every channel that wants its severity."""
+    wants = F.array_compact(F.array(*[F.when(F.col("severity").isin(*levels), F.lit(name)) for name, levels in channels.items()]))
+    return alerts.select(F.explode(wants).alias("channel"), F.to_json(F.struct(*alerts.columns)).alias("payload"))

@@ -545,3 +545,16 @@ def cluster_representatives(spark: SparkSession, d: str) -> DataFrame:
 def customers_without_urgent_orders(spark: SparkSession, d: str) -> DataFrame:
     urgent = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return table(spark, d, "customer").join(urgent, "c_custkey", "left_anti").select("c_custkey")
+
+
+@query("""SELECT event_id FROM events WHERE value / 100 BETWEEN 3000 AND 4000 OR NOT EXISTS (SELECT 1 FROM events WHERE value / 100 BETWEEN 3000 AND 4000)""")
+def sample_out_of_range(spark: SparkSession, d: str) -> DataFrame:
+    """No value is in the range, so all rows are taken."""
+    return sampling.in_difficulty(B.events(spark, d).select("event_id", (F.col("value") / 100).alias("difficulty")), 3000.0, 4000.0).select("event_id")
+
+
+@query("""WITH a AS (SELECT event_id, CASE event_type WHEN 'error' THEN 'critical' WHEN 'signup' THEN 'error' ELSE 'info' END AS severity FROM events), c(channel, level) AS (VALUES ('chat', 'critical'), ('chat', 'error'), ('hook', 'critical'))
+SELECT channel, '{"event_id":' || event_id || ',"severity":"' || severity || '"}' AS payload FROM a JOIN c ON level = severity""")
+def alert_notifications(spark: SparkSession, d: str) -> DataFrame:
+    severity = F.when(F.col("event_type") == "error", "critical").when(F.col("event_type") == "signup", "error").otherwise("info")
+    return telemetry.notifications(B.events(spark, d).select("event_id", severity.alias("severity")), {"chat": ["critical", "error"], "hook": ["critical"]})

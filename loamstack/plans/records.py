@@ -67,6 +67,11 @@ def telemetry_included(spark: SparkSession, d: str) -> DataFrame:
     return interactions.tagged(rows, ["x", "y"]).select("source_id", F.array_join("tags", ",").alias("tags"))
 
 
+@query(f"""WITH {_TELEMETRY} SELECT 'telemetry' AS source_type, count(*) AS read, count(*) FILTER (confidence >= 0.3 AND outcome <> 'failure') AS ingested, count(*) FILTER (NOT (confidence >= 0.3 AND outcome <> 'failure')) AS filtered FROM q""")
+def telemetry_counts(spark: SparkSession, d: str) -> DataFrame:
+    return interactions.ingestion_counts(interactions.from_telemetry(telemetry_records(spark, d)), 0.3, include_failures=False)
+
+
 @query(f"""WITH {_TELEMETRY} SELECT outcome, count(*) AS n, round(avg(confidence), 6) AS confidence, count(*) FILTER (user_input <> '' AND assistant_output <> '' AND quality >= 0.2 AND outcome <> 'failure') AS trainable FROM q GROUP BY 1""")
 def telemetry_trainable(spark: SparkSession, d: str) -> DataFrame:
     rows = interactions.from_telemetry(telemetry_records(spark, d))

@@ -68,6 +68,20 @@ def json_documents(spark: SparkSession, path: str | list[str], wrappers: Sequenc
     return rows.where(F.col("line").startswith("{"))
 
 
+def items_after(spark: SparkSession, path: str, seen: int) -> DataFrame:
+    """(place, line): the objects of a JSON array file beyond those seen in an earlier poll."""
+    files = spark.read.option("wholetext", True).text(path).select(F.from_json(strip(F.col("value")), "array<string>").alias("items"))
+    return files.select(F.posexplode("items").alias("place", "line")).where(F.col("place") >= seen)
+
+
+def cases_or(spark: SparkSession, path: str, schema: str, fallback: Callable[[], DataFrame]) -> DataFrame:
+    """Evaluation cases of a JSON file, or those that ``fallback`` makes where there is no such file."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return fallback()
+    return json_documents(spark, path).select(F.from_json("line", schema).alias("c")).select("c.*")
+
+
 def telemetry(spark: SparkSession, path, since: str | None = None, until: str | None = None, types: Sequence[str] | None = None, glob: str | None = None) -> DataFrame:
     line = F.col("line")
     rows = json_lines(spark, path, glob)

@@ -163,3 +163,11 @@ def test_greedy_choices_equal_plain_loops(spark):
     for n in range(1, 10):
         gap = lambda k: min((at(k)[0] - at(c)[0]) ** 2 + (at(k)[1] - at(c)[1]) ** 2 for c in centres[:n])
         assert gap(centres[n]) == max(gap(k) for k in range(49) if k not in centres[:n])
+
+
+def test_polls_and_fallbacks(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"k": 1}, {"k": 2}, {"k": 3}]))
+    assert [r["place"] for r in readers.items_after(spark, str(tmp_path / "a.json"), 2).collect()] == [2]
+    made = lambda: spark.createDataFrame([(9,)], "k long")
+    assert sorted(r["k"] for r in readers.cases_or(spark, str(tmp_path / "a.json"), "k long", made).collect()) == [1, 2, 3]
+    assert [r["k"] for r in readers.cases_or(spark, str(tmp_path / "none.json"), "k long", made).collect()] == [9]
