@@ -21,7 +21,9 @@ parity of a set has a bit for each residue of its hashes, set where an odd numbe
 what two sets have in common cancels out, so the bits in which their parities differ are no
 more than the shingles that only one has, and no link is lost by it.  A
 centre leaves the list after its round and a list of one component is done, so every pair
-of a list is tried, ruled out or known to be joined.
+of a list is tried, ruled out or known to be joined.  A list of n documents that nothing rules
+out and nothing links takes n / ``OUTSIDE`` rounds and n * n / 2 trials; long lists are dealt
+into parts, so that one list is the work of many tasks.
 
 Defined results: a null or wordless text has an empty set, links with nothing and is its
 own component; a row without id is not linked, its component is null and it is kept;
@@ -52,6 +54,8 @@ HASH_BYTES = 6
 CENTRAL = 32
 #: Documents outside a list's main component that are tried in a later round.
 OUTSIDE = 256
+#: Documents of a list that one task holds against its centres; longer lists are dealt into parts, each with all centres.
+PART = 512
 #: Bits of the filter of candidates for each of them, its hash functions, and its most bytes; what passes it is joined exactly.
 FILTER_BITS, FILTER_HASHES, FILTER_BYTES = 12, 4, 16 << 20
 #: 64-bit words of a set's parity.
@@ -293,7 +297,7 @@ def link_components(reps: DataFrame, docs: DataFrame) -> DataFrame | None:
         able = store.materialize(named.join(least, "pair").where(F.least("shared", "n") * (100 + SIMILARITY) >= (F.col("n") + F.col("least")) * SIMILARITY).drop("least"), "able")
         # The list's main component is that of the document with the largest share of shared shingles.
         central = F.struct((F.col("shared") / F.col("n")).alias("share"), (-F.col("rep")).alias("order"), "rep", "root")
-        lists = able.groupBy("pair").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(central).alias("main")).where("low <> high").select("pair", "main")
+        lists = able.groupBy("pair").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(central).alias("main"), F.ceil(F.count("*") / PART).cast("int").alias("parts")).where("low <> high").select("pair", "main", "parts")
         live = store.materialize(able.join(lists, "pair"), "live")
         store.drop(able)
         if live.isEmpty():
@@ -304,11 +308,12 @@ def link_components(reps: DataFrame, docs: DataFrame) -> DataFrame | None:
             order = Window.partitionBy("pair").orderBy(F.desc(F.col("shared") / F.col("n")), "rep")
             chosen = (live if number == 1 else live.where("root <> main.root")).withColumn("place", F.row_number().over(order))
             chosen = chosen.where(F.col("place") <= (CENTRAL if number == 1 else OUTSIDE))
-        chosen = store.materialize(chosen.select("pair", "rep", "root", "n", "shared").toDF("pair", "centre", "centre_root", "centre_n", "centre_shared"), "centres")
+        chosen = store.materialize(chosen.select("pair", "rep", "root", "n", "shared", "parts").toDF("pair", "centre", "centre_root", "centre_n", "centre_shared", "parts"), "centres")
         # Two documents meet in the first of the lists that both have, not in each.
-        left, right = live.drop("main").join(prefixes, "rep"), chosen.join(prefixes.toDF("centre", "centre_prefix", "centre_parity"), "centre")
+        left = live.drop("main").join(prefixes, "rep").withColumn("part", F.pmod(F.xxhash64("rep"), "parts").cast("int")).drop("parts")
+        right = chosen.join(prefixes.toDF("centre", "centre_prefix", "centre_parity"), "centre").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
         first = F.array_min(F.array_intersect("prefix", "centre_prefix")) == left["pair"]
-        met = (left["pair"] == right["pair"]) & (F.col("root") != F.col("centre_root")) & _may_link("n", "shared", "centre_n", "centre_shared") & _differ_little("n", "parity", "centre_n", "centre_parity") & first
+        met = (left["pair"] == right["pair"]) & (left["part"] == right["part"]) & (F.col("root") != F.col("centre_root")) & _may_link("n", "shared", "centre_n", "centre_shared") & _differ_little("n", "parity", "centre_n", "centre_parity") & first
         pairs = left.join(right, met).select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
         pairs = store.materialize(pairs, "pairs")
         found = confirmed(pairs, candidates)

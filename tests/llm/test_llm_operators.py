@@ -113,6 +113,22 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(r["n_shingles"] == len(sets[r["doc_id"]]) for r in rows)
 
 
+def test_long_lists_in_parts_equal_brute_force(spark, monkeypatch):
+    """Lists of more documents than a part holds, of copies and of documents that only share a passage."""
+    monkeypatch.setattr(near_dup, "PART", 3)
+    rng = random.Random(8)
+    passage = [f"p{k}" for k in range(30)]
+    base = [f"b{k}" for k in range(60)]
+    texts = []
+    for k in range(50):
+        own = [f"x{k}_{j}" for j in range(12)]
+        words = [*passage, *own] if k % 2 else [w if rng.random() > 0.012 else f"y{k}{j}" for j, w in enumerate(base)]
+        texts.append((k, " ".join(words)))
+    _, want = brute_components([t for _, t in texts])
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert [got[k] for k in range(50)] == list(want) and len(set(got.values())) < 50
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(20)] + [(100, k) for k in range(101, 130)] + [(129, 300), (7, 7)]
     got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
