@@ -24,25 +24,34 @@ def json_key(document: Column, key: str) -> Column:
     return F.get_json_object(document, f"$.{key}")
 
 
+def _fields(document: Column, read) -> Column:
+    """``read`` of a JSON object's fields, which are parsed once for all keys."""
+    return F.transform(F.array(F.from_json(document, "map<string,string>")), read)[0]
+
+
 def first_text(document: Column, keys: Sequence[str]) -> Column:
     """The first key with visible text; an object counts by its ``text``."""
-    tries = []
-    for key in keys:
-        value = json_key(document, key)
-        nested = F.get_json_object(document, f"$.{key}.text")
-        tries += [F.when(value.startswith("{"), nested).otherwise(present(value))]
-    return F.coalesce(*tries)
+
+    def read(fields: Column) -> Column:
+        values = F.transform(F.array(*[F.try_element_at(fields, F.lit(k)) for k in keys]), lambda v: F.when(v.startswith("{"), F.get_json_object(v, "$.text")).otherwise(present(v)))
+        return F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0))
+
+    return _fields(document, read)
 
 
 def first_number(document: Column, keys: Sequence[str]) -> Column:
-    return F.coalesce(*[json_key(document, k).try_cast("double") for k in keys])
+    return _fields(document, lambda fields: F.coalesce(*[F.try_element_at(fields, F.lit(k)).try_cast("double") for k in keys]))
 
 
 def joined_context(document: Column, keys: Sequence[str], named: bool = False) -> Column:
     """The present keys' values, a line each, null if none."""
-    parts = [F.when(json_key(document, k).isNotNull(), F.concat(F.lit(f"{k}: " if named else ""), json_key(document, k))) for k in keys]
-    found = F.concat_ws("\n", *parts)
-    return F.when(found != "", found)
+
+    def read(fields: Column) -> Column:
+        parts = [F.concat(F.lit(f"{k}: " if named else ""), F.try_element_at(fields, F.lit(k))) for k in keys]
+        found = F.concat_ws("\n", *parts)
+        return F.when(found != "", found)
+
+    return _fields(document, read)
 
 
 def kept_keys(document: Column, keys: Sequence[str]) -> Column:
