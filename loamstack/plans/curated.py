@@ -124,12 +124,6 @@ def semantic_pairs(spark: SparkSession, d: str) -> DataFrame:
     return dedup.similar_pairs(table(spark, d, "embeddings"), 0.4).withColumn("cosine", F.round("cosine", 4))
 
 
-@query()
-def semantic_dedup(spark: SparkSession, d: str) -> DataFrame:
-    v = table(spark, d, "embeddings")
-    return dedup.greedy_kept(v, dedup.similar_pairs(v, 0.4))
-
-
 @query("""WITH q AS (SELECT vec_id AS query, embedding AS e FROM embeddings WHERE vec_id % 100 = 0), r AS (SELECT query, vec_id, list_dot_product(e::DOUBLE[], embedding::DOUBLE[]) / sqrt(list_dot_product(e::DOUBLE[], e::DOUBLE[]) * list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS c FROM q JOIN embeddings ON vec_id <> query)
 SELECT query, n AS rank, vec_id, round(c, 4) AS cosine FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY c DESC, vec_id) AS n FROM r) WHERE n <= 5""")
 def memory_recall(spark: SparkSession, d: str) -> DataFrame:
@@ -168,17 +162,6 @@ def normalised_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.md5(curation.normalised_text(F.col("text"))).alias("digest"))
 
 
-@query()
-def preprocessing(spark: SparkSession, d: str) -> DataFrame:
-    rows = curation.preprocessed(table(spark, d, "documents"), table(spark, d, "benchmark"), 0.4)
-    return rows.select("doc_id", F.round("quality", 6).alias("quality"), "reject_reason")
-
-
-@query()
-def preprocessing_stats(spark: SparkSession, d: str) -> DataFrame:
-    return curation.preprocessing_statistics(curation.preprocessed(table(spark, d, "documents"), table(spark, d, "benchmark"), 0.4))
-
-
 @query("""SELECT conv_id, count(*) AS turns, md5(string_agg(role || ':' || text, chr(10) ORDER BY turn)) AS digest FROM conversations GROUP BY 1""")
 def conversation_messages(spark: SparkSession, d: str) -> DataFrame:
     m = curation.conversation_messages(table(spark, d, "conversations"))
@@ -243,12 +226,6 @@ def page_chunks(spark: SparkSession, d: str) -> DataFrame:
     return s.select("page_id", "chunk", F.length("text").alias("chars"), S.strategies(F.col("text"), F.lit(False)).alias("strategies"))
 
 
-@query()
-def topic_discovery(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "conversations").where("role = 'user'").select("text", F.lit(0.6).alias("confidence"), F.lit("user_question").alias("source"), F.timestamp_seconds(F.col("conv_id") * 3600 + F.col("turn")).alias("ts"))
-    return topics.discovered(topics.mentions(e), F.lit("1970-02-01").cast("timestamp"))
-
-
 @query("""SELECT coalesce(lang, '') AS topic, substr(md5(lang), 1, 12) AS topic_id, count(*) AS frequency, round(0.4 * 0.8 + 0.3 * least(1, ln(count(*) + 1) / 5) + 0.2 * greatest(0, 1 - 3 / 30) + 0.1 * 0.7, 4) AS priority FROM documents GROUP BY lang""")
 def topic_priorities(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("frequency"))
@@ -261,12 +238,6 @@ def labelled_documents(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").groupBy("quality", "toxic").agg(F.count("*").alias("n"), F.round(F.avg("n_chars"), 4).alias("chars"))
 
 
-@query()
-def augmented_documents(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "benchmark").select("item_id", "text")
-    return curation.perturbed(t, "item_id", "text", copies=2)
-
-
 @query(r"""SELECT conv_id, turn, round(0.15 * least(1, length(text) / 500) + 0.30 * 0.5 + 0.20 * least(1, ((contains(l, 'function'))::INT + contains(l, 'class')::INT + contains(l, 'implement')::INT + contains(l, 'code')::INT + contains(l, 'script')::INT + contains(l, 'program')::INT) / 3)
 + 0.10 * least(1, (contains(l, 'first')::INT + contains(l, 'then')::INT + contains(l, 'next')::INT + contains(l, 'finally')::INT + contains(l, 'step')::INT + contains(l, 'process')::INT) / 4), 4) AS complexity FROM (SELECT *, lower(text) AS l FROM conversations WHERE role = 'user')""")
 def prompt_complexity(spark: SparkSession, d: str) -> DataFrame:

@@ -96,11 +96,6 @@ def correlation_chain(spark: SparkSession, d: str) -> DataFrame:
     return c.select("user_id", F.array_join(F.transform("chain", lambda x: x["event_type"]), ">").alias("path"), F.size("chain").cast("long").alias("n"))
 
 
-@query()
-def adaptive_sample(spark: SparkSession, d: str) -> DataFrame:
-    return telemetry.sampled(B.metrics(spark, d), "name", "event_id", 3600, 0.001)
-
-
 @query(f"""WITH {B.CHECKS_SQL}, g AS (SELECT component, ts, lead(ts) OVER (PARTITION BY component ORDER BY ts) AS nxt FROM checks)
 SELECT component, ts::TIMESTAMP AS ts, floor((epoch_us(nxt::TIMESTAMP) - epoch_us(ts::TIMESTAMP)) / 1e6 / 3600)::BIGINT AS missed FROM g WHERE (epoch_us(nxt::TIMESTAMP) - epoch_us(ts::TIMESTAMP)) / 1e6 > 3 * 3600""")
 def heartbeat_gaps(spark: SparkSession, d: str) -> DataFrame:
@@ -145,11 +140,6 @@ def health_alert_candidates(spark: SparkSession, d: str) -> DataFrame:
     return health.alert_candidates(B.checks(spark, d), "event_id").select("event_id", "before", "status", "severity")
 
 
-@query()
-def health_alerts(spark: SparkSession, d: str) -> DataFrame:
-    return health.alerts(B.checks(spark, d), 86400.0, "event_id")
-
-
 @query(f"""WITH {B.CHECKS_SQL}, l AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY ts DESC, event_id DESC) AS k FROM checks)
 SELECT component, round(avg(latency_ms), 4) AS mean_ms, round(quantile_cont(latency_ms, 0.95), 4) AS p95_ms, count(*) AS n FROM l WHERE k <= 100 GROUP BY 1""")
 def health_latency_trend(spark: SparkSession, d: str) -> DataFrame:
@@ -305,11 +295,6 @@ def sample_uniform(spark: SparkSession, d: str) -> DataFrame:
     return sampling.uniform(B.events(spark, d), 100, "event_id").select("event_id")
 
 
-@query()
-def sample_weighted(spark: SparkSession, d: str) -> DataFrame:
-    return sampling.weighted(B.events(spark, d), 100, "event_id", F.col("value")).select("event_id", "value")
-
-
 @query()
 def sample_weighted_with_replacement(spark: SparkSession, d: str) -> DataFrame:
     return sampling.weighted_with_replacement(B.events(spark, d).select("event_id", "value"), 100, "event_id", F.col("value")).select("draw", "event_id")
@@ -320,13 +305,6 @@ def sample_few_shot(spark: SparkSession, d: str) -> DataFrame:
     return sampling.per_class(table(spark, d, "embeddings"), "label", "vec_id", 3, 2).select("label", "vec_id", "part")
 
 
-@query()
-def length_batches(spark: SparkSession, d: str) -> DataFrame:
-    """Packs each source's documents by length."""
-    rows = table(spark, d, "documents").select("doc_id", "source", F.floor(F.col("n_chars") / 4).alias("tokens"))
-    return sampling.length_batches(rows, "doc_id", "tokens", 4096, 32, "source")
-
-
 @query("""SELECT n_regionkey AS model, arg_max(n_name, n_nationkey) AS version, count(*) AS versions FROM nation GROUP BY 1""")
 def registry_latest(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "nation").select(F.col("n_regionkey").alias("model"), F.col("n_name").alias("name"), F.concat(F.lit("1."), F.col("n_nationkey").cast("string"), F.lit(".0")).alias("version"))
@@ -366,5 +344,3 @@ def topic_fan_out(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def simulated_model(spark: SparkSession, d: str) -> DataFrame:
     return graph.simulated(spark, ["x", "y", "z"], {"y": ["x"], "z": ["x", "y"]}, 1000, interventions={"y": 1.0})
-
-

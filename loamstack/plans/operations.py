@@ -54,7 +54,7 @@ def health_circuit(spark: SparkSession, d: str) -> DataFrame:
 a AS (SELECT component, ts, status, before FROM c WHERE (status <> before OR before = 'unknown') AND (status IN ('unhealthy', 'degraded') OR (status = 'healthy' AND before IN ('unhealthy', 'degraded')))),
 f(component, ts) AS (SELECT component, min(ts) FROM a GROUP BY 1 UNION ALL SELECT f.component, min(a.ts) FROM f JOIN a ON a.component = f.component AND a.ts >= f.ts + INTERVAL 300 SECOND GROUP BY f.component, f.ts)
 SELECT component, ts, before, status FROM f JOIN a USING (component, ts)""")
-def health_alerts_fired(spark: SparkSession, d: str) -> DataFrame:
+def health_alerts(spark: SparkSession, d: str) -> DataFrame:
     return health.alerts(B.checks(spark, d), 300.0, "event_id").select("component", "ts", "before", "status")
 
 
@@ -118,11 +118,11 @@ def targeted_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH m AS (SELECT event_id, event_type AS name, floor(epoch_us(ts) / 36e8)::BIGINT AS w FROM events), c AS (SELECT name, w, count(*) / 3600 AS rate FROM m GROUP BY 1, 2),
-s AS (SELECT name, w + 1 AS w, CASE WHEN rate > 0.002 THEN greatest(0.01, 0.002 / rate) ELSE 1 END AS share FROM c)
+s AS (SELECT name, w + 1 AS w, CASE WHEN rate > 0.0005 THEN greatest(0.01, 0.0005 / rate) ELSE 1 END AS share FROM c)
 SELECT event_id, round(coalesce(share, 1), 6) AS share FROM m LEFT JOIN s USING (name, w) WHERE ('0x' || substr(md5('0|' || event_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 < coalesce(share, 1)""")
-def adaptive_sample_hourly(spark: SparkSession, d: str) -> DataFrame:
-    """Windows of an hour and a target of 0.002 rows a second, which the sample's events exceed."""
-    rows = telemetry.sampled(B.metrics(spark, d), "name", "event_id", 3600, 0.002)
+def adaptive_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Windows of an hour and a target of 0.0005 rows a second, which most hours exceed."""
+    rows = telemetry.sampled(B.metrics(spark, d), "name", "event_id", 3600, 0.0005)
     return rows.select("event_id", F.round("share", 6).alias("share"))
 
 
@@ -350,7 +350,7 @@ def topic_documentation(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH u AS (SELECT event_id, greatest(('0x' || substr(md5('0|' || event_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0, 1e-12) AS u, value FROM events) SELECT event_id FROM u WHERE value > 0 ORDER BY -ln(u) / value, event_id LIMIT 200""")
-def sample_by_weight(spark: SparkSession, d: str) -> DataFrame:
+def sample_weighted(spark: SparkSession, d: str) -> DataFrame:
     return sampling.weighted(B.events(spark, d).select("event_id", "value"), 200, "event_id", F.col("value")).select("event_id")
 
 
@@ -424,7 +424,7 @@ def advantages_normalised(spark: SparkSession, d: str) -> DataFrame:
 f(source, i, doc_id, batch, filled, items) AS (SELECT source, i, doc_id, 0::BIGINT, tokens, 1 FROM s WHERE i = 1
 UNION ALL SELECT s.source, s.i, s.doc_id, CASE WHEN f.filled + s.tokens > 4096 OR f.items >= 32 THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.filled + s.tokens > 4096 OR f.items >= 32 THEN s.tokens ELSE f.filled + s.tokens END, CASE WHEN f.filled + s.tokens > 4096 OR f.items >= 32 THEN 1 ELSE f.items + 1 END
 FROM f JOIN s ON s.source IS NOT DISTINCT FROM f.source AND s.i = f.i + 1) SELECT doc_id, source, batch FROM f""")
-def length_batches_by_source(spark: SparkSession, d: str) -> DataFrame:
+def length_batches(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").select("doc_id", "source", F.floor(F.col("n_chars") / 4).alias("tokens"))
     return sampling.length_batches(rows, "doc_id", "tokens", 4096, 32, "source").select("doc_id", "source", "batch")
 
