@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import memory, store
+from . import bloom, memory, store
 from .components import connected_components
 
 SHINGLE = 5
@@ -56,8 +56,6 @@ CENTRAL = 32
 OUTSIDE = 256
 #: Documents of a list that one task holds against its centres; longer lists are dealt into parts, each with all centres.
 PART = 512
-#: Bits of the filter of candidates for each of them, its hash functions, and its most bytes; what passes it is joined exactly.
-FILTER_BITS, FILTER_HASHES, FILTER_BYTES = 12, 4, 16 << 20
 #: 64-bit words of a set's parity.
 PARITY = 16
 MEMORY_WORDS = 200_000
@@ -183,45 +181,6 @@ def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"rep": np.repeat(rows["rep"].to_numpy(), [len(f) for f in found]), "hash": np.concatenate(found)})
 
 
-def _places(ids: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    """Where each id stands in a filter of so many bits, by each hash function."""
-    with np.errstate(over="ignore"):
-        one = _finish(ids.astype(np.uint64))
-        two = _finish(one ^ _SCALE[0]) | np.uint64(1)
-        for k in range(FILTER_HASHES):
-            yield (one + two * np.uint64(k)) % np.uint64(bits)
-
-
-def may_be_among(ids: DataFrame, key: str, count: int):
-    """A test of a column of ids that all of ``ids`` pass and few others, by a Bloom filter whose size is bounded by ``FILTER_BYTES``."""
-    bits = min(max(count * FILTER_BITS, 1024), 8 * FILTER_BYTES) + 63 & ~63
-
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = np.zeros(bits // 64, np.uint64)
-        for rows in batches:
-            for place in _places(rows[key].to_numpy(np.int64), bits):
-                np.bitwise_or.at(words, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
-        at = np.flatnonzero(words)
-        yield pd.DataFrame({"at": at, "word": words[at].view(np.int64)})
-
-    found = ids.select(key).mapInPandas(spread, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()  # at most FILTER_BYTES / 8 rows
-    words = np.zeros(bits // 64, np.uint64)
-    words[found["at"].to_numpy()] = found["word"].to_numpy().view(np.uint64)
-    shared = ids.sparkSession.sparkContext.broadcast(words)  # at most FILTER_BYTES
-
-    @F.pandas_udf("boolean")
-    def test(column: pd.Series) -> pd.Series:
-        known, out = column.notna().to_numpy(), np.zeros(len(column), bool)
-        asked, passed = column.to_numpy()[known].astype(np.int64), None
-        for place in _places(asked, bits):
-            hit = shared.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1) == 1
-            passed = hit if passed is None else passed & hit
-        out[known] = passed
-        return pd.Series(out)
-
-    return test
-
-
 def candidate_sets(posts: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """(rep, n, shared, signature, parity, hashes) of the representatives that have posts.
 
@@ -230,8 +189,7 @@ def candidate_sets(posts: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFr
     wanted = reps.join(posts.select("rep").distinct(), "rep", "left_semi").select("rep", "set_key", "signature")
     wanted = store.materialize(wanted, "wanted")
     # Only texts that the filter lets pass are shuffled.
-    test = may_be_among(wanted, "rep", wanted.count())
-    texts = docs.where(test("doc_id")).join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    texts = bloom.apart(docs, "doc_id", wanted.select(F.col("rep").alias("doc_id")))[0].join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     sets = texts.mapInPandas(_sets, "rep long, set_key binary, hashes binary, parity array<long>").join(wanted, ["rep", "set_key"])
     stored = store.materialize(sets.select("rep", "signature", "parity", "hashes"), "sets")
     sets = stored.dropDuplicates(["rep"])

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import memory, store
+from . import bloom, memory, store
 
 KINDS = ("email", "ip", "card", "phone")
 #: Kind of the seeds that no fixed pattern of the contract has, and of the spans that contexts add.
@@ -254,7 +254,11 @@ def redact(docs: DataFrame) -> DataFrame:
         "s -> concat(s.out, substr(text, s.at + 1)))"
     )
     text = F.when(F.col(spans_of).isNull(), F.col("text")).otherwise(masked)
-    return keyed.join(spans, row, "left").select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    # Rows without spans, which are most, are not shuffled.
+    spans = store.materialize(spans, "spans")
+    may, rest = bloom.apart(keyed, row, spans.select(row))
+    masked_rows = may.join(spans, row, "left").select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    return rest.select(*docs.columns).unionByName(masked_rows)
 
 
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
