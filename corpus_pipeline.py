@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamstack.llm import decontaminate, near_dup, packing, pii, store, toxicity
+from loamstack.llm import bloom, decontaminate, near_dup, packing, pii, store, toxicity
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +32,17 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     row = store.unused(docs, "_loam_row")
     rows = docs.withColumn(row, F.monotonically_increasing_id())
     judged = near_dup.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "component_id")
-    placed = judged.join(rows.select(row, "doc_id"), row)
+    placed = store.materialize(judged.join(rows.select(row, "doc_id"), row), "placed")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", row))
-    kept = store.materialize(placed.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{row}").alias(row)), "kept")
-    return rows.join(kept, row, "left_semi").drop(row)
+    groups = placed.groupBy("component_id").agg(F.count("*").alias("rows"), first.alias("first")).where("rows > 1").select("component_id", F.col(f"first.{row}").alias("stays"))
+    gone = store.materialize(placed.join(groups, "component_id").where(F.col(row) != F.col("stays")).select(row), "gone")
+    return without(rows, row, gone).drop(row)
+
+
+def without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """``rows`` but those whose key is in ``gone``; only rows that a Bloom filter of it lets pass are shuffled."""
+    may, rest = bloom.apart(rows, key, gone)
+    return rest.unionByName(may.join(gone, key, "left_anti"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +51,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     rows = docs.withColumn(row, F.monotonically_increasing_id())
     judged = decontaminate.contamination(rows.select(F.col(row).alias("doc_id"), "text"), store.table(spark, sf_dir, "benchmark"))
     bad = store.materialize(judged.where("contaminated").select(F.col("doc_id").alias(row)), "contaminated")
-    return rows.join(bad, row, "left_anti").drop(row)
+    return without(rows, row, bad).drop(row)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
