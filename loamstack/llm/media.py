@@ -30,6 +30,8 @@ RATE = 8000
 MULAW, ALAW, IMA_ADPCM = 7, 6, 17
 #: Payload bytes expanded at a time.
 CHUNK_BYTES = 2 << 20
+#: Bytes that a writer holds before it writes a row group.
+ROW_GROUP_BYTES = 16 << 20
 
 #: The step sizes of the IMA ADPCM standard.
 IMA_STEPS = np.array([
@@ -231,4 +233,6 @@ def media_features(media: DataFrame) -> DataFrame:
 
 def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = store.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
-    return media_features(store.materialize(media_and_pcm(docs), "media", compression="zstd", **{"parquet.compression.codec.zstd.level": "6"}))
+    # Small row groups and batches, as a row's sound takes five times the room of its text.
+    stored = store.materialize(media_and_pcm(docs), "media", compression="zstd", **{"parquet.compression.codec.zstd.level": "6", "parquet.block.size": str(ROW_GROUP_BYTES)})
+    return store.materialize(media_features(stored), "features")
