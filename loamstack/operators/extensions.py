@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .quality import parsed_scores
+
 
 def mapped(df: DataFrame, function: Callable, inputs: list[str], output: str, kind: str = "string", retries: int = 0) -> DataFrame:
     """``function`` over each row's inputs; its error's text in ``<output>_error`` after the last try."""
@@ -57,6 +59,11 @@ def rewritten(df: DataFrame, teacher: Callable[[str], str], text: str, rounds: i
     return mapped(df, improve, [text], "rewritten")
 
 
+def scored(df: DataFrame, teacher: Callable[[str], str], text: str, retries: int = 0) -> DataFrame:
+    """A teacher's reply on each text, with the score and recommendation in it; a reply without any is rejected."""
+    return parsed_scores(mapped(df, teacher, [text], "reply", retries=retries))
+
+
 class Stages:
     """Named steps from a frame to a frame, in order; steps can be replaced, skipped or stopped after."""
 

@@ -22,9 +22,12 @@ def events(spark: SparkSession, path: str, schema: str = EVENTS, files_per_trigg
     return reader.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def json_events(spark: SparkSession, path: str, schema: str, me: str | None = None, max_age: str = "1d") -> DataFrame:
-    """A folder of event files; with ``me``, only others' events that name this receiver or nobody."""
-    rows = spark.readStream.schema(schema).option("maxFileAge", max_age).json(path)
+def json_events(spark: SparkSession, path: str, schema: str, me: str | None = None, max_age: str = "1d", archive: str | None = None) -> DataFrame:
+    """A folder of event files; with ``me``, only others' events that name this receiver or nobody; with ``archive`` files that are done are moved there."""
+    reader = spark.readStream.schema(schema).option("maxFileAge", max_age)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    rows = reader.json(path)
     return rows if me is None else rows.where((F.col("source") != me) & ((F.size("target_sources") <= 0) | F.array_contains("target_sources", me)))
 
 

@@ -171,3 +171,9 @@ def test_polls_and_fallbacks(spark, tmp_path):
     made = lambda: spark.createDataFrame([(9,)], "k long")
     assert sorted(r["k"] for r in readers.cases_or(spark, str(tmp_path / "a.json"), "k long", made).collect()) == [1, 2, 3]
     assert [r["k"] for r in readers.cases_or(spark, str(tmp_path / "none.json"), "k long", made).collect()] == [9]
+
+
+def test_a_teachers_replies_are_scored(spark):
+    rows = spark.createDataFrame([(1, "good"), (2, "bad")], "k long, t string")
+    got = extensions.scored(rows, lambda t: 'I say {"overall_score": 8}' if t == "good" else "no idea", "t").collect()
+    assert {(r["k"], r["score"], r["recommendation"]) for r in got} == {(1, 8.0, "keep"), (2, 0.0, "reject")}
