@@ -428,3 +428,33 @@ def prompt_complexity_signs(spark: SparkSession, d: str) -> DataFrame:
     text = F.when(k == 0, "what is docker").when(k == 1, "implement a parallel class").when(k == 2, "Compare first and contrast then the design").otherwise("hello")
     s = S.prompt_complexity(text)
     return B.events(spark, d).select("event_id", F.round(s, 4).alias("score"), S.complexity_level(s).alias("level"), S.model_size(s).alias("size"))
+
+
+#: What a page says besides plain prose, its status, and the violations and verdict that follow.
+_NOTICES = [
+    ("", 200, "", "compliant"), ("Subscribe now to continue reading. Sign up to read. Article limit reached.", 200, "paywall", "blocked"), ("Sign up to read.", 200, "", "compliant"),
+    ("Login required. Authentication required.", 200, "login", "blocked"), ("Please complete the CAPTCHA.", 200, "captcha", "blocked"), ("Too many requests.", 200, "rate_limit", "blocked"),
+    ("All rights reserved.", 200, "copyright", "warning"), ("Access denied.", 403, "access_denied", "blocked"), ("", 451, "legal", "blocked"), ("Adult content, bot detected.", 200, "scraping_blocked,adult", "blocked"), ("", 503, "http_error", "blocked"),
+]
+
+
+@query(f"""WITH n(k, violations, verdict) AS (VALUES {", ".join(f"({k}, '{v}', '{verdict}')" for k, (_, _, v, verdict) in enumerate(_NOTICES))})
+SELECT page_id, violations, verdict, round(1 - 0.1 * CASE violations WHEN '' THEN 0 ELSE len(string_split(violations, ',')) END, 2) AS confidence FROM pages JOIN n ON page_id % {len(_NOTICES)} = k""")
+def page_compliance_signs(spark: SparkSession, d: str) -> DataFrame:
+    """The sample pages break no rule, so each page gets the notice and status of its remainder."""
+    k = F.col("page_id") % len(_NOTICES)
+    text, status = F.lit(""), F.lit(200)
+    for n, (notice, code, _, _) in enumerate(_NOTICES):
+        text, status = F.when(k == n, notice).otherwise(text), F.when(k == n, code).otherwise(status)
+    prose = "This page has a long and plain sentence about nothing in particular. " * 6
+    p = table(spark, d, "pages").select("page_id", "url", F.lit("<p></p>").alias("html"), F.concat(F.lit(prose), text).alias("text"), status.alias("http_status"))
+    rows = web.compliance(p, flag_copyright=True)
+    return rows.select("page_id", F.array_join("violations", ",").alias("violations"), "verdict", F.round("confidence", 2).alias("confidence"))
+
+
+@query(r"""WITH p AS (SELECT doc_id, string_split(text, chr(10) || chr(10)) AS l FROM documents) SELECT doc_id, len(l)::BIGINT AS paragraphs, list_max(list_transform(l, lambda x: length(x)))::BIGINT AS longest, length(text) - 2 * (len(l) - 1) AS chars FROM p JOIN documents USING (doc_id)""")
+def chunk_measures(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks hold every paragraph once: their characters without joints, and with chunks of one character each paragraph alone."""
+    t = table(spark, d, "documents").select("doc_id", web.chunked(F.col("text"), 1).alias("alone"), web.chunked(F.col("text"), 1500).alias("chunks"))
+    joined = F.split(F.array_join("chunks", "\n\n"), "\n\n")
+    return t.select("doc_id", F.size("alone").cast("long").alias("paragraphs"), F.array_max(F.transform("alone", lambda x: F.length(x))).cast("long").alias("longest"), F.aggregate(joined, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("chars"))
