@@ -532,7 +532,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model | N
     within = F.sum(F.octet_length("text")).over(so_far) <= TRAIN_BYTES // 2
     fitted = chosen.select("doc_id", "toxic", within.alias("within")).where("within").select("doc_id")
     sample = sorted(chosen.join(fitted, "doc_id").select("doc_id", "text", "toxic").collect())
-    model = train([r["text"] for r in sample], [r["toxic"] for r in sample])
+    texts, told = [r["text"] for r in sample], [r["toxic"] for r in sample]
+    del sample
+    model = train(texts, told)
+    del texts
+    memory.trim()  # the driver goes on to other stages
     if model is not None:
         # The classes weigh alike in training; scores are for their shares among the labelled rows.
         n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
