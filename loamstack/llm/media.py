@@ -233,6 +233,6 @@ def media_features(media: DataFrame) -> DataFrame:
 
 def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = store.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
-    # Small row groups and batches, as a row's sound takes five times the room of its text.
+    # Small row groups, as a row's sound takes five times the room of its text.
     stored = store.materialize(media_and_pcm(docs), "media", compression="zstd", **{"parquet.compression.codec.zstd.level": "9", "parquet.block.size": str(ROW_GROUP_BYTES)})
-    return store.materialize(media_features(stored), "features")
+    return media_features(stored)
