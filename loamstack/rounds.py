@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new place in the folder that all executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_rounds"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` written and read back, so that loops keep a short lineage and a lost executor costs only its tasks."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_rounds"
-    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    path = folder(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._round_path = path
