@@ -21,6 +21,7 @@ document scores the prior 0.0 and nothing is predicted toxic; other columns are
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 from collections import Counter
@@ -49,6 +50,8 @@ FILTERS = 24
 #: The most labelled rows that are fitted, half of each class where there are so many, and their most bytes.
 TRAIN_ROWS = 2400
 TRAIN_BYTES = 16 << 20
+#: Labelled texts beyond so many bytes are drawn after all others.
+LONG_BYTES = 128 << 10
 #: Rows that a word needs for a vector of its own, and rows of each class by which its odds are shrunk.
 LEAST_ROWS = 3
 SHRINK = 8.0
@@ -104,7 +107,7 @@ def pieces(word: bytes) -> list[bytes]:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
 class Model:
@@ -125,6 +128,7 @@ class Model:
         }
         # The first coordinate of each vector starts at its log odds between the classes.
         self.p["words"][1:, 0] = 0.5 * np.array(list(word_odds.values()), float)
+        self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
     def responses(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Greatest response of each filter in each word, all responses, all characters, and the word of each."""
@@ -217,7 +221,7 @@ class Model:
         g |= {k: np.zeros_like(p[k]) for k in ("wx", "wh", "b")}
         dx = np.zeros_like(x)
         for d in range(2):
-            ds = np.zeros((len(x), h))
+            ds = np.zeros((len(x), h), x.dtype)
             for k, s, z, r, new, hn in reversed(saved[d]):
                 m = mask[:, k, None]
                 ds = ds + dstates[:, k, d * h : d * h + h]
@@ -414,21 +418,21 @@ def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model |
             windows = np.stack([padded[d][starts[d] : starts[d] + SLICE] for d in part])
             used, at = np.unique(windows, return_inverse=True)
             at = at.reshape(-1, SLICE)
-            mask = (windows > 0).astype(float)
+            mask = (windows > 0).astype(np.float32)
             pooled_mask = mask.copy()
             pooled_mask[:, :LEAD] = pooled_mask[:, LEAD + BLOCK :] = 0
             spelt = [found[u - 1] for u in used if u]
             kept_words = model.responses(spelt)
-            vectors = np.zeros((len(used), WORD_DIM + GRAM_DIM))
+            vectors = np.zeros((len(used), WORD_DIM + GRAM_DIM), np.float32)
             vectors[used > 0, WORD_DIM:] = np.maximum(kept_words[0] + model.p["least"], 0) @ model.p["squeeze"]
             # Words of few rows are left out at random, so that the network doesn't lean on them.
             heard = rng.random(len(used)) < 1 - 0.5 / np.maximum(1, rows.sum(0)[used - 1] / LEAST_ROWS)
             vectors[:, :WORD_DIM] = model.p["words"][own[used]] * heard[:, None]
             x = vectors[at] * mask[:, :, None]
             logit, kept = model.forward(x, mask, pooled_mask, keep=True)
-            g, dx = model.backward(x, mask, kept, (_sigmoid(logit) - y[part]) * weight[part] / len(part))
+            g, dx = model.backward(x, mask, kept, ((_sigmoid(logit) - y[part]) * weight[part] / len(part)).astype(np.float32))
             flat = (dx * mask[:, :, None]).reshape(-1, x.shape[2])
-            dvec = np.stack([np.bincount(at.reshape(-1), flat[:, c], len(used)) for c in range(flat.shape[1])], 1)
+            dvec = np.stack([np.bincount(at.reshape(-1), flat[:, c], len(used)) for c in range(flat.shape[1])], 1).astype(np.float32)
             g["words"] = np.zeros_like(model.p["words"])
             np.add.at(g["words"], own[used], dvec[:, :WORD_DIM] * heard[:, None])
             g["words"][0] = 0
@@ -518,29 +522,46 @@ def remainder(key: str = "doc_id") -> F.Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % 3
 
 
+def training_sample(docs: DataFrame, known: DataFrame, rows: int) -> DataFrame:
+    """(doc_id, toxic, text) of at most ``rows`` labelled rows that have a text, half of each class, of ``TRAIN_BYTES`` at most.
+
+    Rows come in the order of a hash; texts beyond ``LONG_BYTES`` come after all others, the shorter first,
+    so a long text costs its own place alone.  Each class has its first row whatever its size.
+    """
+    texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    sizes = texts.select("doc_id", F.octet_length("text").cast("long").alias("size")).join(known, "doc_id").groupBy("doc_id", "toxic").agg(F.max("size").alias("size"))
+    order = [F.when(F.col("size") > LONG_BYTES, F.col("size")).otherwise(0), F.xxhash64("doc_id"), "doc_id"]
+    halves = [sizes.where(F.col("toxic") == c).orderBy(*order).limit(rows // 2) for c in (0, 1)]
+    places = Window.partitionBy("toxic").orderBy(*order)  # of at most rows / 2 rows
+    drawn = halves[0].unionByName(halves[1]).withColumns({"upto": F.sum("size").over(places), "place": F.row_number().over(places)})
+    drawn = drawn.where((F.col("upto") <= TRAIN_BYTES // 2) | (F.col("place") == 1)).select("doc_id", "toxic")
+    # Of the texts of a repeated id the least.
+    return store.materialize(texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "sample")
+
+
+def _trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    memory.begin("toxicity-training")
+    sample = sorted(row for rows in batches for row in zip(rows["doc_id"], rows["text"], rows["toxic"]))
+    model = train([text for _, text, _ in sample], [int(toxic) for _, _, toxic in sample])
+    del sample
+    if model is not None:
+        yield pd.DataFrame({"model": [pickle.dumps(model)]})
+    memory.trim()
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
-    """Fit on at most ``rows`` labelled rows, of ``TRAIN_BYTES`` at most, whose remainder is not the held-out one."""
+    """Fit on ``training_sample`` of the labelled rows whose remainder is not the held-out one, in a task of an executor."""
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
     known = known.where(remainder() != HELD_OUT).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = F.xxhash64("doc_id")
-    halves = [known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(rows // 2) for c in (0, 1)]
-    texts = docs.select(F.col("doc_id").cast("long"), "text").where("text IS NOT NULL")
-    # Of the texts of a repeated id the least; at most ``rows`` rows, of which those within the bound of bytes are fitted.
-    chosen = texts.join(halves[0].unionByName(halves[1]), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    chosen = store.materialize(chosen, "sample")
-    so_far = Window.partitionBy("toxic").orderBy(order, "doc_id")
-    within = F.sum(F.octet_length("text")).over(so_far) <= TRAIN_BYTES // 2
-    fitted = chosen.select("doc_id", "toxic", within.alias("within")).where("within").select("doc_id")
-    sample = sorted(chosen.join(fitted, "doc_id").select("doc_id", "text", "toxic").collect())
-    texts, told = [r["text"] for r in sample], [r["toxic"] for r in sample]
-    del sample
-    model = train(texts, told)
-    del texts
-    memory.trim()  # the driver goes on to other stages
-    if model is not None:
-        # The classes weigh alike in training; scores are for their shares among the labelled rows.
-        n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-        model.p["bias"] = model.p["bias"] + np.log(n[1] / n[0])
+    sample = training_sample(docs, known, rows)
+    fitted = sample.repartition(1).mapInPandas(_trained, "model binary").collect()  # one model, with the words of the sample
+    store.drop(sample)
+    if not fitted:
+        return None
+    model = pickle.loads(fitted[0]["model"])
+    # The classes weigh alike in training; scores are for their shares among the labelled rows.
+    n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    model.p["bias"] = model.p["bias"] + np.float32(np.log(n[1] / n[0]))
     return model
 
 
