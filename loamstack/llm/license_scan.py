@@ -11,8 +11,8 @@ their vectors are built; no match is lost by it.  A file
 most of whose words are in such lines or windows is a licence file: files below its directory
 that state no licence inherit from the nearest such ancestor.
 
-Defined results: a null or empty text states nothing; a null path has no ancestors; rows with
-equal keys are one file, as long as the longest; files with the same path share what they inherit; a text that fills most of its file comes before
+Defined results: a null or empty text states nothing; a null path has no ancestors; every row is a file of its
+own, whether its key is null or another's; files with the same path share what they inherit; a text that fills most of its file comes before
 the greatest cosine, and of equal ones lines, the first place and the first licence by name; in a directory with several licence files the one that fits best, then the first by
 name; an empty table gives no rows.
 """
@@ -221,23 +221,24 @@ def licence_lines(files: DataFrame, key: str, threshold: float = THRESHOLD, temp
 
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``files`` (key long, path, text) -> key, path, own_license, cosine, is_file, license, inherited_from."""
-    files = files.select("key", "path", "text")
+    # Rows are told apart by their place in the stored table, as keys may be null or repeated.
+    files = files.select(F.monotonically_increasing_id().alias("row"), "key", "path", "text")
     templates = TEMPLATES + NOTICES + full_texts()
-    known = inverse_frequencies(files.select("key", "text"), templates)
+    known = inverse_frequencies(files.select("text"), templates)
     # Texts without any of the terms that a line or a window must have are left out before they are cut.
     lined = {t: known[0][t] for _, text in TEMPLATES for t in _terms(text)}
     must = sorted({*telling_terms(template_weights(lined, TEMPLATES), lined, threshold), *(t for r in window_rules(known[0], templates, threshold) for t in r["heavy"])})
-    texts = store.materialize(files.select("key", "text").where(F.size(_known(F.col("text"), must)) > 0).withColumn("of", F.size(_words(F.col("text")))), "texts")
+    files = store.materialize(files.withColumn("text", F.when(F.size(_known(F.col("text"), must)) > 0, F.col("text"))), "files")
+    texts = files.select("row", "text", F.size(_words(F.col("text"))).alias("of")).where("text IS NOT NULL")
     zero = F.lit(0)
-    lines = licence_lines(texts, "key", threshold, known=known).select("key", zero.alias("start"), zero.alias("end"), F.col("words").alias("line_words"), F.struct(F.lit(1).alias("part"), F.negative("cosine").alias("far"), zero.alias("kind"), F.col("line").alias("at"), "license").alias("rank"))
-    windows = licence_windows(texts, "key", *known, templates, threshold).select("key", "start", (F.col("start") + F.col("words")).alias("end"), zero.alias("line_words"), F.struct(F.when(F.col("words") >= FILE_SHARE * F.col("of"), 0).otherwise(1).alias("part"), F.negative("cosine").alias("far"), F.lit(1).alias("kind"), F.col("start").alias("at"), "license").alias("rank"))
+    lines = licence_lines(texts, "row", threshold, known=known).select("row", zero.alias("start"), zero.alias("end"), F.col("words").alias("line_words"), F.struct(F.lit(1).alias("part"), F.negative("cosine").alias("far"), zero.alias("kind"), F.col("line").alias("at"), "license").alias("rank"))
+    windows = licence_windows(texts, "row", *known, templates, threshold).select("row", "start", (F.col("start") + F.col("words")).alias("end"), zero.alias("line_words"), F.struct(F.when(F.col("words") >= FILE_SHARE * F.col("of"), 0).otherwise(1).alias("part"), F.negative("cosine").alias("far"), F.lit(1).alias("kind"), F.col("start").alias("at"), "license").alias("rank"))
     # Words in several windows count once: each window has those beyond the ends of the windows before.
-    before = Window.partitionBy("key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.greatest(F.col("end") - F.greatest("start", F.coalesce(F.max("end").over(before), zero)), zero)
     # A text that fills most of the file comes first, then the greatest cosine, then lines, the first place and the first name.
-    stated = lines.unionByName(windows).withColumn("fresh", fresh).groupBy("key").agg(F.min("rank").alias("best"), F.greatest(F.sum("line_words"), F.sum("fresh")).alias("licence_words"))
-    sized = texts.groupBy("key").agg(F.max("of").alias("words"))
-    judged = files.select("key", "path").join(stated.join(sized, "key"), "key", "left").select(
+    stated = lines.unionByName(windows).withColumn("fresh", fresh).groupBy("row").agg(F.min("rank").alias("best"), F.greatest(F.sum("line_words"), F.sum("fresh")).alias("licence_words"))
+    judged = files.select("row", "key", "path").join(stated.join(texts.select("row", F.col("of").alias("words")), "row"), "row", "left").select(
         "key", "path", F.col("best.license").alias("own_license"), F.coalesce(F.negative("best.far"), F.lit(0.0)).alias("cosine"),
         F.coalesce(F.col("licence_words") >= FILE_SHARE * F.greatest(F.col("words"), F.lit(1)), F.lit(False)).alias("is_file"),
     )

@@ -76,6 +76,16 @@ def test_licences(odd_docs, no_docs, spark):
     assert license_scan.scan(files.limit(0)).count() == 0
 
 
+def test_licences_of_rows_without_id_and_of_one_id(spark):
+    notice = "Licensed under the Apache License, Version 2.0."
+    rows = [(None, "a/b/LICENSE", notice), (1, "a/b/x.py", "print()"), (None, "c/d", None), (5, "e/LICENSE", notice), (5, "f/g.py", "plain words")]
+    got = sorted((str(r["key"]), r["path"], r["own_license"], r["license"], r["inherited_from"]) for r in license_scan.scan(spark.createDataFrame(rows, "key long, path string, text string")).collect())
+    assert got == [
+        ("1", "a/b/x.py", None, "Apache-2.0", "a/b"), ("5", "e/LICENSE", "Apache-2.0", "Apache-2.0", None), ("5", "f/g.py", None, None, None),
+        ("None", "a/b/LICENSE", "Apache-2.0", "Apache-2.0", None), ("None", "c/d", None, None, None),
+    ]
+
+
 def test_pages(spark):
     rows = [(1, "u", None), (None, None, ""), (3, "u", "<p>a<p>b"), (3, "u", "<p>a<p>b")]
     got = html_text.page_text(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(7))).collect()
