@@ -186,7 +186,13 @@ def write_tokens(docs: DataFrame, file: str = VOCABULARY, end_id: int = END_ID,
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tie = F.xxhash64("text").alias("tie")
     ordered = docs.select(F.col("doc_id").cast("long"), "text", tie).repartitionByRange(ranges, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    return store.materialize(ordered.select("doc_id", "text").mapInPandas(_writer(file, path, end_id), FILES), "tokens")
+    # A folder for each range, so that a lookup leaves the others unread.
+    return store.materialize(ordered.select("doc_id", "text").mapInPandas(_writer(file, path, end_id), FILES), "tokens", ["range"])
+
+
+def directory(files: DataFrame) -> DataFrame:
+    """A stored table of each file's range, number, first and last key, by which lookups find their files; some 24 bytes a file."""
+    return store.materialize(files.where("first_key IS NOT NULL").select("range", "file", "first_key", "last_key"), "directory")
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -221,20 +227,23 @@ def read_tokens(files: DataFrame) -> DataFrame:
 
 #: Files whose first keys are held by every task of a lookup; more are looked up through a join by range.
 DIRECTORY_FILES = 1 << 20
+#: Ranges that a lookup names to the reader, which then opens no others; of more, all files are read.
+NAMED_RANGES = 1 << 14
 
 
-def lookup(files: DataFrame, keys: DataFrame) -> DataFrame:
+def lookup(files: DataFrame, keys: DataFrame, where: DataFrame | None = None) -> DataFrame:
     """(doc_id, ids) of the distinct keys (doc_id) that the files have; of equal keys the first record.
 
-    The directory (first and last key of each file) tells which file may have a key, and only
-    these files' bytes are read; in a file one hash, one rank and one fingerprint find the record.
+    The ``directory`` tells which file may have a key.  Only folders of the ranges asked for are opened, and only the files
+    asked for go on to tasks; in a file one hash, one rank and one fingerprint find the record.  Nothing of a file
+    but its numbers is broadcast.
     """
-    directory = files.where("first_key IS NOT NULL").select("range", "file", "first_key", "last_key")
+    directory_ = directory(files) if where is None else where
     asked = keys.select(F.col("doc_id").cast("long")).where("doc_id IS NOT NULL").distinct()
-    bounds = directory.orderBy("first_key", "range", "file").limit(DIRECTORY_FILES + 1).toArrow()  # at most DIRECTORY_FILES rows
+    bounds = directory_.orderBy("first_key", "range", "file").limit(DIRECTORY_FILES + 1).toArrow()  # at most DIRECTORY_FILES rows
     if bounds.num_rows > DIRECTORY_FILES:
-        spans = directory.groupBy("range").agg(F.min("first_key").alias("low"), F.max("last_key").alias("high"))  # a row for each partition of the writer
-        placed = asked.join(F.broadcast(spans), F.col("doc_id").between(F.col("low"), F.col("high"))).select("doc_id", "range").join(directory, "range")
+        spans = directory_.groupBy("range").agg(F.min("first_key").alias("low"), F.max("last_key").alias("high"))  # a row for each partition of the writer
+        placed = asked.join(F.broadcast(spans), F.col("doc_id").between(F.col("low"), F.col("high"))).select("doc_id", "range").join(directory_, "range")
         placed = placed.where(F.col("doc_id").between(F.col("first_key"), F.col("last_key"))).select("doc_id", "range", "file")
     else:
         columns = {c: bounds[c].to_numpy() for c in ("first_key", "last_key", "range", "file")}
@@ -251,7 +260,11 @@ def lookup(files: DataFrame, keys: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": np.repeat(key, many), "range": c["range"][at], "file": c["file"][at]})
 
         placed = asked.mapInPandas(place, "doc_id long, range int, file int")
-    wanted = placed.groupBy("range", "file").agg(F.collect_list("doc_id").alias("keys"))  # at most the keys of a file
+    wanted = store.materialize(placed.groupBy("range", "file").agg(F.collect_list("doc_id").alias("keys")), "wanted")  # at most the keys of a file
+    ranges = [r["range"] for r in wanted.select("range").distinct().limit(NAMED_RANGES + 1).collect()]
+    opened = files.select("range", "file", "bytes")
+    if len(ranges) <= NAMED_RANGES:
+        opened = opened.where(F.col("range").isin(ranges))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -262,7 +275,8 @@ def lookup(files: DataFrame, keys: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": found[hit], "place": number, "ids": [f.read(r).astype(np.int64).tolist() for r in records[hit]]})
 
     place_of = (F.col("range").cast("long") * (1 << 32) + F.col("file")).alias("place")
-    rows = files.select("range", "file", "bytes").join(wanted, ["range", "file"]).select("bytes", "keys", place_of)
+    # The keys go to the files: files' bytes are neither broadcast nor, where the keys are few, shuffled.
+    rows = opened.join(wanted.hint("broadcast") if len(ranges) <= NAMED_RANGES and wanted.count() <= DIRECTORY_FILES and asked.count() <= DIRECTORY_FILES else wanted.hint("merge"), ["range", "file"]).select("bytes", "keys", place_of)
     return rows.mapInPandas(read, "doc_id long, place long, ids array<long>").groupBy("doc_id").agg(F.min_by("ids", "place").alias("ids"))
 
 

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import pathlib
 import zlib
 
 import numpy as np
@@ -68,6 +69,25 @@ def test_keys_are_looked_up_in_their_files(spark, monkeypatch):
     assert zlib.crc32(np.array(got[300], "<u4").tobytes()) == first["ids_crc32"]
     monkeypatch.setattr(token_store, "DIRECTORY_FILES", 3)
     assert read() == got
+    monkeypatch.setattr(token_store, "NAMED_RANGES", 0)
+    assert read() == got
+
+
+def test_a_lookup_opens_the_folders_of_its_keys_alone(spark):
+    """The other ranges' files are overwritten by noise."""
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("words of number "), F.col("id").cast("string")).alias("text"))
+    files = token_store.write_tokens(docs)
+    where = token_store.directory(files)
+    held = {r["range"] for r in where.where("first_key <= 7 AND last_key >= 7").collect()}
+    folder = pathlib.Path(files._loam_path.removeprefix("file://"))
+    spoilt = [p for d in folder.glob("range=*") if int(d.name[6:]) not in held for p in d.glob("*.parquet")]
+    for p in spoilt:
+        p.write_bytes(b"noise" * (p.stat().st_size // 5) + b"x" * (p.stat().st_size % 5))
+        p.with_name(f".{p.name}.crc").unlink(missing_ok=True)
+    found = token_store.lookup(files, spark.createDataFrame([(7,)], "doc_id long"), where)
+    coder = tokens.encoder("byte_bpe_50k.json")
+    assert [r["ids"] for r in found.collect()] == [[*np.frombuffer(coder.whole("words of number 7"), "<u4").tolist(), 2]]
+    assert spoilt
 
 
 def test_perfect_hash_is_minimal_and_rejects_strangers():
