@@ -21,8 +21,11 @@ document scores the prior 0.0 and nothing is predicted toxic; other columns are
 
 from __future__ import annotations
 
+import os
 import pickle
 import re
+import subprocess
+import sys
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -539,13 +542,19 @@ def training_sample(docs: DataFrame, known: DataFrame, rows: int) -> DataFrame:
     return store.materialize(texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "sample")
 
 
+#: Training in a process of its own, which gives all its memory back to the system: a worker would keep some for the stages after.
+_TRAIN = "import sys, pickle; from loamstack.llm import toxicity as t; m = t.train(*pickle.load(sys.stdin.buffer)); sys.stdout.buffer.write(pickle.dumps(m))"
+
+
 def _trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     memory.begin("toxicity-training")
     sample = sorted(row for rows in batches for row in zip(rows["doc_id"], rows["text"], rows["toxic"]))
-    model = train([text for _, text, _ in sample], [int(toxic) for _, _, toxic in sample])
-    del sample
-    if model is not None:
-        yield pd.DataFrame({"model": [pickle.dumps(model)]})
+    given = pickle.dumps(([text for _, text, _ in sample], [int(toxic) for _, _, toxic in sample]))
+    path = os.pathsep.join(p for p in sys.path if p)
+    model = subprocess.run([sys.executable, "-c", _TRAIN], input=given, stdout=subprocess.PIPE, env=os.environ | {"PYTHONPATH": path}, check=True).stdout
+    if pickle.loads(model) is not None:
+        yield pd.DataFrame({"model": [model]})
+    del sample, given, model
     memory.trim()
 
 
