@@ -35,7 +35,7 @@ def _family(text: str, family: str, pattern: str) -> Column:
     return F.transform(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1)), lambda x: F.struct(F.lit(family).alias("family"), F.lower(F.trim(x)).alias("name")))
 
 
-def discovered(found: DataFrame, now: Column, least: int = 2, min_confidence: float = 0.5, most: int = 50) -> DataFrame:
+def discovered(found: DataFrame, now: Column, most: int, least: int = 2, min_confidence: float = 0.5) -> DataFrame:
     """Topics with frequency, confidence (the first one's, a little more for each other) and priority, the best first."""
     rows = found.groupBy("name").agg(
         F.count("*").alias("frequency"), F.min_by("confidence", "ts").alias("first_confidence"), F.min_by("source", "ts").alias("source"), F.max("ts").alias("last_seen"),

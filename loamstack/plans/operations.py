@@ -195,13 +195,13 @@ def eval_weighted_score(spark: SparkSession, d: str) -> DataFrame:
     return _round(evaluation.weighted_score(s, {"click": 0.5, "view": 0.3, "purchase": 0.23}), "overall", digits=6)
 
 
-@query("""WITH s AS (SELECT user_id % 5 AS test, CASE event_type WHEN 'click' THEN 'latency' WHEN 'view' THEN 'loss' ELSE 'accuracy' END AS metric, CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS v, value FROM events WHERE event_type <> 'signup'),
+@query("""WITH s AS (SELECT user_id % 5 AS test, CASE event_type WHEN 'click' THEN 'latency' WHEN 'view' THEN 'loss' ELSE 'accuracy' END AS metric, CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS v, value FROM events),
 g AS (SELECT test, metric, v, count(*) AS n, avg(value) AS m, coalesce(stddev_samp(value), 0) AS sd FROM s GROUP BY 1, 2, 3), j AS (SELECT a.test, a.metric, a.n AS na, b.n AS nb, a.m AS ma, b.m AS mb, a.sd AS sa, b.sd AS sb FROM g a JOIN g b ON a.test = b.test AND a.metric = b.metric AND a.v = 'a' AND b.v = 'b')
 SELECT test, metric, round(CASE WHEN ma <> 0 THEN CASE WHEN metric IN ('latency', 'loss') THEN -1 ELSE 1 END * (mb - ma) / ma * 100 END, 4) AS improvement,
   na >= 10 AND nb >= 10 AND CASE WHEN sa = 0 AND sb = 0 THEN abs(ma - mb) > 0.01 ELSE coalesce(abs((ma - mb) / nullif(sqrt(sa ** 2 / na + sb ** 2 / nb), 0)) > 2, false) END AS significant FROM j""")
 def registry_ab_test(spark: SparkSession, d: str) -> DataFrame:
     metric = F.when(F.col("event_type") == "click", "latency").when(F.col("event_type") == "view", "loss").otherwise("accuracy")
-    s = B.events(spark, d).where("event_type <> 'signup'").select((F.col("user_id") % 5).alias("test_id"), metric.alias("metric"), F.when(F.col("user_id") % 2 == 0, "a").otherwise("b").alias("variant"), "value")
+    s = B.events(spark, d).select((F.col("user_id") % 5).alias("test_id"), metric.alias("metric"), F.when(F.col("user_id") % 2 == 0, "a").otherwise("b").alias("variant"), "value")
     return _round(evaluation.registry_ab(s).select("test", "metric", "improvement", "significant"), "improvement")
 
 

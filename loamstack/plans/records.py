@@ -169,7 +169,7 @@ def truncation_budgets(spark: SparkSession, d: str) -> DataFrame:
     m = _conversations(spark, d)
     cut = formatting.truncated_messages(F.col("messages"), 200)
     tokens = F.aggregate("messages", F.lit(0).cast("long"), lambda a, x: a + F.floor(F.length(x["content"]) / 4))
-    rest = F.size(F.filter(F.slice("messages", 2, 100000), lambda x: F.lit(True))) + (F.col("messages")[0]["role"] != "system").cast("int")
+    rest = F.size("messages") - 1 + (F.col("messages")[0]["role"] != "system").cast("int")
     return m.select("conv_id", ((rest <= 2) | (F.size(cut) == F.size("messages")) & (tokens <= 200)).alias("whole"), tokens.alias("tokens"))
 
 
@@ -275,14 +275,14 @@ _WORDS = r"len(list_filter(regexp_split_to_array({0}, '\s+'), lambda w: w <> '')
 
 
 @query(rf"""WITH q AS (SELECT conv_id, turn, u || CASE WHEN conv_id % 3 = 0 THEN '' ELSE '?' END AS q, a || CASE conv_id % 4 WHEN 0 THEN ' `x`' WHEN 1 THEN ' ```f```' ELSE '' END || CASE WHEN conv_id % 5 = 0 THEN chr(10) || '1. an Example of a function and a class' ELSE '' END AS a, CASE WHEN turn % 2 = 1 THEN 'code_example' ELSE 'factual' END AS s
-FROM (SELECT conv_id, turn, substr(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), 1, 190) AS u, text AS a FROM conversations)),
+FROM (SELECT conv_id, turn, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS u, text AS a FROM conversations)),
 g AS (SELECT *, {_WORDS.format('a')} AS n, (contains(a, '```') OR contains(lower(a), 'example'))::INT + regexp_matches(a, '(?m)^\d+\.|\*\s|^-\s')::INT + ({_WORDS.format('a')} > 50)::INT + ((regexp_matches(a, '\bfunction\b')::INT + regexp_matches(a, '\bmethod\b')::INT + regexp_matches(a, '\bclass\b')::INT + regexp_matches(a, '\bparameter\b')::INT + regexp_matches(a, '\breturn\b')::INT + regexp_matches(a, '\bAPI\b')::INT) >= 2)::INT AS k FROM q WHERE q IS NOT NULL)
 SELECT conv_id, turn, CASE WHEN length(q) < 10 OR length(q) > 200 OR length(a) < 50 THEN 'rejected' WHEN length(a) > 2000 THEN 'low' WHEN NOT ends_with(q, '?') THEN 'low' WHEN s = 'code_example' AND NOT contains(a, '```') AND NOT regexp_matches(a, '`[^`]+`') THEN 'low' WHEN n < 20 THEN 'low' WHEN k >= 3 THEN 'high' WHEN k >= 1 THEN 'medium' ELSE 'low' END AS grade FROM g""")
 def answer_grades(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window
 
     c = F.col("conv_id")
-    t = table(spark, d, "conversations").withColumn("u", F.substring(F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn")), 1, 190)).where("u IS NOT NULL")
+    t = table(spark, d, "conversations").withColumn("u", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))).where("u IS NOT NULL")
     q = F.concat("u", F.when(c % 3 == 0, "").otherwise("?"))
     a = F.concat("text", F.when(c % 4 == 0, " `x`").when(c % 4 == 1, " ```f```").otherwise(""), F.when(c % 5 == 0, "\n1. an Example of a function and a class").otherwise(""))
     t = t.select("conv_id", "turn", q.alias("q"), a.alias("a"), F.when(F.col("turn") % 2 == 1, "code_example").otherwise("factual").alias("s"))
@@ -315,11 +315,11 @@ def first_present_keys(spark: SparkSession, d: str) -> DataFrame:
 # --- curation ---------------------------------------------------------------------------------
 
 
-@query("""WITH e AS (SELECT event_id, value / 100 AS p, (user_id % 4) AS v FROM events WHERE value BETWEEN 1 AND 99) SELECT event_id, round(-(p * ln(p) + (1 - p) * ln(1 - p)), 6) AS entropy, round(1 - abs(2 * p - 1), 6) AS margin, round(1 - greatest(p, 1 - p), 6) AS confidence,
+@query("""WITH e AS (SELECT event_id, value / (value + 50) AS p, (user_id % 4) AS v FROM events) SELECT event_id, round(-(p * ln(p) + (1 - p) * ln(1 - p)), 6) AS entropy, round(1 - abs(2 * p - 1), 6) AS margin, round(1 - greatest(p, 1 - p), 6) AS confidence,
 round(CASE v WHEN 0 THEN 0 WHEN 3 THEN ln(3) ELSE -(1.0 / 3 * ln(1.0 / 3) + 2.0 / 3 * ln(2.0 / 3)) END, 6) AS vote_entropy FROM e""")
 def uncertainty_scores(spark: SparkSession, d: str) -> DataFrame:
-    e = B.events(spark, d).where("value BETWEEN 1 AND 99")
-    p, v = F.array(F.col("value") / 100, 1 - F.col("value") / 100), F.col("user_id") % 4
+    e = B.events(spark, d).withColumn("p", F.col("value") / (F.col("value") + 50))
+    p, v = F.array(F.col("p"), 1 - F.col("p")), F.col("user_id") % 4
     votes = F.when(v == 0, F.array(F.lit("a"), F.lit("a"), F.lit("a"))).when(v == 3, F.array(F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(F.array(F.lit("a"), F.lit("b"), F.lit("b")))
     return e.select("event_id", F.round(curation.entropy(p), 6).alias("entropy"), F.round(curation.margin(p), 6).alias("margin"), F.round(curation.least_confidence(p), 6).alias("confidence"), F.round(curation.vote_entropy(votes), 6).alias("vote_entropy"))
 
@@ -391,7 +391,7 @@ SELECT name, substr(md5(name), 1, 12) AS topic_id, frequency, round(confidence,
 def topic_discovery(spark: SparkSession, d: str) -> DataFrame:
     text = F.when(F.col("user_id") % 3 == 0, "docker and pytest").when(F.col("user_id") % 3 == 1, "the docker way").otherwise("nothing")
     e = B.events(spark, d).select(text.alias("text"), F.when(F.col("event_type") == "error", 0.9).otherwise(0.6).alias("confidence"), F.lit("user_question").alias("source"), "ts")
-    rows = topics.discovered(topics.mentions(e), F.lit("2024-06-01").cast("timestamp"))
+    rows = topics.discovered(topics.mentions(e), F.lit("2024-06-01").cast("timestamp"), most=50)
     return rows.select("name", "topic_id", "frequency", F.round("confidence", 4).alias("confidence"))
 
 

@@ -178,7 +178,7 @@ def test_page_structure():
 
 def test_topics_and_queue(spark):
     e = spark.createDataFrame([("use docker and react", t, 0.6, "user_question") for t in at(0, 1)], "text string, ts timestamp, confidence double, source string")
-    got = topics.discovered(topics.mentions(e), F.lit("2024-01-02").cast("timestamp")).collect()
+    got = topics.discovered(topics.mentions(e), F.lit("2024-01-02").cast("timestamp"), most=50).collect()
     assert {r["name"] for r in got} == {"docker", "react"} and got[0]["confidence"] == pytest.approx(0.65)
     q = spark.createDataFrame([("1", "pending", 0), ("2", "pending", 3)], "topic_id string, status string, retry_count int")
     out = spark.createDataFrame([("1", False), ("2", False)], "topic_id string, ok boolean")
