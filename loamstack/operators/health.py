@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import series
+
 UNHEALTHY, HEALTHY, DEGRADED = "unhealthy", "healthy", "degraded"
 
 
@@ -63,19 +64,9 @@ def alert_candidates(checks: DataFrame, *tie: str) -> DataFrame:
 
 
 def alerts(checks: DataFrame, cooldown: float = 300.0, *tie: str) -> DataFrame:
-    """Candidates that are not within the cooldown of the last alert fired; sequential for each component."""
-
-    def fire(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ts")
-        last, keep = None, []
-        for t in rows["ts"]:
-            fired = last is None or (t - last).total_seconds() >= cooldown
-            keep.append(fired)
-            last = t if fired else last
-        return rows[keep]
-
+    """Candidates that are not within the cooldown of the last alert fired; a component with very many is worked on in parts."""
     found = alert_candidates(checks, *tie).select("component", "ts", "before", "status", "severity")
-    return found.groupBy("component").applyInPandas(fire, found.schema)
+    return series.after_cooldown(found, ["component"], "ts", cooldown)
 
 
 def latency_trend(checks: DataFrame, last: int = 100, *tie: str) -> DataFrame:

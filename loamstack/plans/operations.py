@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions.hashing import next_version, semantic_version
-from ..operators import auth, costs, datasets, evaluation, federated, health, registry, sampling, telemetry, topics
+from ..operators import auth, costs, datasets, evaluation, federated, health, registry, sampling, series, telemetry, topics
 from ..sources.readers import table
 from . import binding as B
 
@@ -414,6 +414,15 @@ def advantage_estimates(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("run", F.col("step").cast("long"), F.round("advantage", 3).alias("advantage"))
 
 
+@query("""WITH RECURSIVE s AS (SELECT event_type AS run, value, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i FROM events), n AS (SELECT *, lead(value) OVER (PARTITION BY run ORDER BY i) AS nxt, max(i) OVER (PARTITION BY run) AS z FROM s),
+g(run, i, event_id, gae) AS (SELECT run, i, event_id, value / 10 - value FROM n WHERE i = z UNION ALL SELECT n.run, n.i, n.event_id, n.value / 10 + CASE WHEN n.event_id % 50 = 0 THEN 0 ELSE 0.99 * n.nxt END - n.value + CASE WHEN n.event_id % 50 = 0 THEN 0 ELSE 0.99 * 0.95 * g.gae END FROM g JOIN n ON n.run = g.run AND n.i = g.i - 1)
+SELECT event_id, round(gae, 3) AS advantage FROM g""")
+def advantages_in_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Few long runs, one for each type of event; an event of fifty ends an episode."""
+    rows = B.events(spark, d).select("event_id", "ts", F.col("event_type").alias("run"), "value", (F.col("value") / 10).alias("reward"), (F.col("event_id") % 50 == 0).alias("done"))
+    return series.advantages(rows, ["run"], ["ts", "event_id"], part_rows=4096).select("event_id", F.round("advantage", 3).alias("advantage"))
+
+
 @query(f"""WITH {_SERIES}, a AS (SELECT run, avg(value) AS m, stddev_pop(value) AS sd FROM s GROUP BY 1) SELECT run, i AS step, round((value - m) / (sd + 1e-8), 4) AS z FROM s JOIN a USING (run)""")
 def advantages_normalised(spark: SparkSession, d: str) -> DataFrame:
     rows = _series(spark, d, F.col("value").cast("double")).select("run", F.posexplode(sampling.z_normalised(F.col("xs"))).alias("step", "z"))
@@ -426,7 +435,7 @@ UNION ALL SELECT s.source, s.i, s.doc_id, CASE WHEN f.filled + s.tokens > 4096 O
 FROM f JOIN s ON s.source IS NOT DISTINCT FROM f.source AND s.i = f.i + 1) SELECT doc_id, source, batch FROM f""")
 def length_batches(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").select("doc_id", "source", F.floor(F.col("n_chars") / 4).alias("tokens"))
-    return sampling.length_batches(rows, "doc_id", "tokens", 4096, 32, "source").select("doc_id", "source", "batch")
+    return series.length_batches(rows, "doc_id", "tokens", 4096, 32, "source").select("doc_id", "source", "batch")
 
 
 # --- datasets and federated rounds ---------------------------------------------------------
