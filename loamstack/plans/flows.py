@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import sketches, vectors
+from ..operators import sketches, vectors, versions
 from ..rounds import folder, kept
-from ..sources import exports
+from ..sources import exports, runs
 from ..sources.readers import table
-from ..streaming import streams, timed
+from ..streaming import seen, streams, timed
 from . import binding as B
 
 QUERIES, ORACLES = {}, {}
@@ -129,3 +129,55 @@ SELECT a.vec_id AS a, b.vec_id AS b, round(list_dot_product(a.e, b.e) / sqrt(a.q
 def similar_vectors_indexed(spark: SparkSession, d: str) -> DataFrame:
     """Near copies of all vectors by the hyperplane index; planned for 0.99999 at the threshold, so that none is missed here."""
     return vectors.similar_pairs(_doubled(spark, d), 0.95, recall=0.99999).withColumn("cosine", F.round("cosine", 6))
+
+
+# --- versions ----------------------------------------------------------------------------------
+
+_SPLIT = "2024-03-01"
+
+
+@query(f"""WITH ch AS (SELECT *, coalesce(valid_at >= TIMESTAMP '{_SPLIT}', false) AS late FROM client_changes),
+l AS (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY late, client_id ORDER BY seq DESC NULLS LAST, valid_at DESC NULLS LAST, change_id DESC NULLS LAST) = 1),
+one AS (SELECT client_id, segment, city, balance FROM clients),
+two AS (SELECT * FROM one WHERE NOT EXISTS (SELECT 1 FROM l WHERE NOT late AND l.client_id IS NOT DISTINCT FROM one.client_id) UNION ALL SELECT client_id, segment, city, balance FROM l WHERE NOT late AND op IS DISTINCT FROM 'D'),
+three AS (SELECT * FROM two WHERE NOT EXISTS (SELECT 1 FROM l WHERE late AND l.client_id IS NOT DISTINCT FROM two.client_id) UNION ALL SELECT client_id, segment, city, balance FROM l WHERE late AND op IS DISTINCT FROM 'D')
+SELECT 1 AS version, * FROM one UNION ALL SELECT 2, * FROM two UNION ALL SELECT 3, * FROM three UNION ALL SELECT 4, * FROM two""")
+def client_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Clients and two commits of their changes, then a return to the first commit; every version is read back."""
+    names = ["client_id", "segment", "city", "balance"]
+    t = versions.VersionedTable(spark, folder(spark, "versions"))
+    t.create(table(spark, d, "clients").select(*names), ["client_id"], ["balance"], buckets=16)
+    changes = table(spark, d, "client_changes").withColumn("late", F.coalesce(F.col("valid_at") >= F.lit(_SPLIT).cast("timestamp_ntz"), F.lit(False)))
+    for late in (False, True):
+        t.commit(changes.where(F.col("late") == late), ["seq", "valid_at", "change_id"], F.col("op") == "D")
+    t.restore(2)
+    out = [t.read(n).select(F.lit(n).alias("version"), *names) for n in (1, 2, 3, 4)]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+# --- first sights and runs ---------------------------------------------------------------------
+
+
+@query("""WITH g AS (SELECT client_id, ts::TIMESTAMP AS ts, epoch_us(ts::TIMESTAMP) // 86400000000 AS g FROM clicks WHERE client_id IS NOT NULL AND ts IS NOT NULL),
+f AS (SELECT client_id, g, min(ts) AS ts FROM g GROUP BY client_id, g),
+n AS (SELECT *, lag(g) OVER (PARTITION BY client_id ORDER BY g) AS before FROM f)
+SELECT client_id, ts FROM n WHERE before IS NULL OR before < g - 1""")
+def returning_clients(spark: SparkSession, d: str) -> DataFrame:
+    """First clicks of clients that were away for a whole day, by Bloom filters of two days in a stream's state."""
+    timed.use_state_store(spark)
+    out = folder(spark, "seen")
+    clicks = streams.events(spark, f"{d}/clicks.parque[t]", "client_id long, ts timestamp_ntz").where("client_id IS NOT NULL AND ts IS NOT NULL")
+    streams.run_available(seen.first_seen(clicks, "client_id"), folder(spark, "checkpoint"), path=out)
+    return spark.read.parquet(out).select("client_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@query("""SELECT 'clicks' AS source, 'done' AS status, count(*) AS rows, count_if(ts IS NULL) AS untimed, count_if(client_id IS NULL) AS nobody FROM clicks
+UNION ALL SELECT 'clients', 'done', count(*), NULL, count_if(client_id IS NULL) FROM clients UNION ALL SELECT 'stamps', 'done', count(*), NULL, NULL FROM stamps
+UNION ALL SELECT 'nothing', 'empty', 0, 0, 0 FROM region WHERE r_regionkey = 0 UNION ALL SELECT 'nowhere', 'missing', 0, NULL, NULL FROM region WHERE r_regionkey = 0""")
+def source_report(spark: SparkSession, d: str) -> DataFrame:
+    """Tables as sources, one of them empty and one missing: status and counts from the passes that wrote them."""
+    sources = {n: lambda n=n: spark.read.parquet(f"{d}/{n}.parquet") for n in ("clicks", "clients", "stamps", "nowhere")}
+    sources["nothing"] = lambda: spark.read.parquet(f"{d}/clicks.parquet").where("kind = 'no such kind'")
+    figures = {k: (c, F.col(c).isNull()) for k, c in (("untimed", "ts"), ("nobody", "client_id"))}
+    _, report = runs.ingest(spark, sources, folder(spark, "sources"), figures)
+    return report.select("source", "status", "rows", *[F.col("figures")[k].alias(k) for k in figures])
