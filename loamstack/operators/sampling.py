@@ -98,34 +98,95 @@ def variant(key: Column, share: float, seed: int = 0) -> Column:
 ROUNDS_KEPT = 8
 
 
+#: Rows, and words in them, that a round of ``diverse`` weighs on the driver.
+POOL, POOL_WORDS = 256, 1 << 20
+
+
 def diverse(df: DataFrame, n: int, key: str, text: str, score: str, weight: float = 0.3, pool: int | None = None) -> DataFrame:
     """Greedy choice of ``n`` rows by score and by difference in words from those chosen: (key, score, place).
 
-    Every row stands for choice, or the ``pool`` best where one is given.  A round is one exact
-    maximum over the rows left, so there are as many jobs as rows to choose.
+    Every row stands for choice, or the ``pool`` best where one is given; rows without key or score do not, a row without
+    text has no words.  What a row is worth never rises, so a value known from an earlier round is an upper bound: a round
+    takes the ``POOL`` best rows by those bounds and chooses among them as long as the choice beats the best row outside,
+    which then is the choice over all rows.  Only then are all rows compared with those newly chosen, in one pass.  Rounds
+    grow with the logarithm of ``n`` where values are spread; each chooses at least one row.
     """
-    rows = df.select(key, F.col(score).alias("score"), F.array_distinct(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")).alias("words"))
+    words = F.coalesce(F.array_distinct(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")), F.array().cast("array<string>"))
+    rows = df.select(F.col(key).alias("key"), F.col(score).cast("double").alias("score"), words.alias("words")).where("key IS NOT NULL AND score IS NOT NULL")
     if pool is not None:
-        rows = rows.orderBy(F.desc("score"), key).limit(pool)
-    first = state = kept(rows.withColumn("overlap", F.lit(0.0)), "choice")
+        rows = rows.orderBy(F.desc("score"), "key").limit(pool)
+    worth = lambda s, o: s * (1 - weight) + weight * (1 - o)
+    state = kept(rows.withColumn("overlap", F.lit(0.0)), "choice")
     chosen: list[tuple] = []
+    size = POOL
     while len(chosen) < n:
-        value = F.col("score") if not chosen else F.col("score") * (1 - weight) + weight * (1 - F.col("overlap"))
-        best = state.withColumn("value", value).orderBy(F.desc("value"), F.desc("score"), key).limit(1).collect()  # one row
+        value = worth(F.col("score"), F.col("overlap")) if chosen else F.col("score")
+        top = kept(state.withColumn("value", value).orderBy(F.desc("value"), F.desc("score"), "key").limit(size + 1), "pool")
+        best = top.select("key", "score", "overlap", "value", F.size("words").alias("n")).collect()  # size + 1 rows without their words
+        best.sort(key=lambda r: (-r["value"], -r["score"], r["key"]))
+        within = np.cumsum([r["n"] for r in best]) <= POOL_WORDS
+        most = len(best) if len(best) <= size and within.all() else max(1, min(size, int(within.sum())))
         if not best:
+            drop(top)
             break
-        chosen.append((best[0][key], float(best[0]["score"]), len(chosen)))
-        words = F.array(*map(F.lit, best[0]["words"])) if best[0]["words"] else F.array().cast("array<string>")
-        shared = F.coalesce(F.try_divide(F.size(F.array_intersect("words", words)), F.size("words")), F.lit(0.0))
-        state = state.where(F.col(key) != F.lit(best[0][key])).withColumn("overlap", F.greatest("overlap", shared))
-        if len(chosen) % ROUNDS_KEPT == 0:
-            state, done = kept(state, "choice"), first
-            drop(done)
-            first = state
-    drop(first)
+        limit = (-best[most]["value"], -best[most]["score"], best[most]["key"]) if most < len(best) else None
+        taken = _chosen_from(top, best[:most], limit, n - len(chosen), worth, not chosen)
+        drop(top)
+        chosen += [(k, s, len(chosen) + i) for i, (k, s, _) in enumerate(taken)]
+        if limit is None or len(chosen) >= n:
+            break
+        size = min(size * 2, POOL * 64) if len(taken) * 4 < most else size
+        state, done = kept(_compared(state, [w for _, _, w in taken], [k for k, _, _ in taken]), "choice"), state
+        drop(done)
+    drop(state)
     return df.sparkSession.createDataFrame(chosen, f"{key} {dict(df.dtypes)[key]}, score double, place int")
 
 
+def _chosen_from(top: DataFrame, best: list, limit: tuple | None, n: int, worth, first: bool) -> list[tuple]:
+    """(key, score, words) of up to ``n`` choices among ``best`` that no row outside can beat."""
+    texts = {r["key"]: frozenset(r["words"]) for r in top.where(F.col("key").isin([r["key"] for r in best])).select("key", "words").collect()}  # POOL_WORDS words or one row
+    left = {}
+    for r in best:
+        left.setdefault(r["key"], [r["score"], r["overlap"]])
+    out: list[tuple] = []
+    while left and len(out) < n:
+        rank = lambda k: (-(left[k][0] if first and not out else worth(*left[k])), -left[k][0], k)
+        k = min(left, key=rank)
+        if out and limit is not None and not rank(k) < limit:
+            break
+        s, _ = left.pop(k)
+        out.append((k, s, texts[k]))
+        if first and len(out) == 1:
+            limit = None if limit is None else (-worth(-limit[0], 0.0), *limit[1:])  # scores bound the values that count from now on
+        for other, held in left.items():
+            if texts[other]:
+                held[1] = max(held[1], len(texts[other] & texts[k]) / len(texts[other]))
+    return out
+
+
+def _compared(state: DataFrame, chosen: list[frozenset], keys: list) -> DataFrame:
+    """``state`` without the chosen keys, with each row's largest share of words that one of ``chosen`` has too."""
+    where: dict[str, list[int]] = {}
+    for i, words in enumerate(chosen):
+        for w in words:
+            where.setdefault(w, []).append(i)
+    index, count = state.sparkSession.sparkContext.broadcast(where), len(chosen)  # words of one round's choices: POOL_WORDS, or one row's
+
+    @F.pandas_udf("double")
+    def share(words: pd.Series) -> pd.Series:
+        out = []
+        for own in words:
+            shared = np.zeros(count, np.int64)
+            for w in own:
+                at = index.value.get(w)
+                if at is not None:
+                    shared[at] += 1
+            out.append(shared.max() / len(own) if len(own) else 0.0)
+        return pd.Series(out, dtype="float64")
+
+    return state.where(~F.col("key").isin(keys)).withColumn("overlap", F.greatest("overlap", share("words")))
+
+
 def k_centres(df: DataFrame, k: int, key: str, vector: str) -> DataFrame:
     """Greedy core set of (key, place): the first row in hash order, then always the row furthest from those chosen."""
     far = lambda v: F.sqrt(F.aggregate(F.zip_with(vector, F.array(*[F.lit(float(x)) for x in v]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))

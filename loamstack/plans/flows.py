@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import sketches, vectors, versions
+from ..operators import sampling, sketches, vectors, versions
 from ..rounds import folder, kept
 from ..sources import exports, runs
 from ..sources.readers import table
@@ -181,3 +181,25 @@ def source_report(spark: SparkSession, d: str) -> DataFrame:
     figures = {k: (c, F.col(c).isNull()) for k, c in (("untimed", "ts"), ("nobody", "client_id"))}
     _, report = runs.ingest(spark, sources, folder(spark, "sources"), figures)
     return report.select("source", "status", "rows", *[F.col("figures")[k].alias(k) for k in figures])
+
+
+# --- greedy choice -----------------------------------------------------------------------------
+
+_CHOSEN = 24
+
+
+def _choice_sql() -> str:
+    """The plain loop, a maximum over all rows for each place."""
+    steps = ["c0 AS MATERIALIZED (SELECT doc_id, least(1.0, n_chars / 1500.0)::DOUBLE AS score, list_distinct(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) AS words, 0.0::DOUBLE AS overlap FROM documents WHERE doc_id IS NOT NULL AND n_chars IS NOT NULL)"]
+    for k in range(_CHOSEN):
+        value = "score" if k == 0 else "score * (1 - 0.3::DOUBLE) + 0.3::DOUBLE * (1 - overlap)"
+        steps.append(f"b{k} AS MATERIALIZED (SELECT * FROM c{k} ORDER BY {value} DESC, score DESC, doc_id LIMIT 1)")
+        steps.append(f"c{k + 1} AS MATERIALIZED (SELECT c.doc_id, c.score, c.words, greatest(c.overlap, CASE WHEN len(c.words) = 0 THEN 0 ELSE len(list_intersect(c.words, b.words)) / len(c.words)::DOUBLE END) AS overlap FROM c{k} c, b{k} b WHERE c.doc_id <> b.doc_id)")
+    return f"WITH {', '.join(steps)} {' UNION ALL '.join(f'SELECT doc_id, score, {k} AS place FROM b{k}' for k in range(_CHOSEN))}"
+
+
+@query(_choice_sql())
+def diverse_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents to label next: long ones whose words differ from those chosen before."""
+    docs = table(spark, d, "documents").select("doc_id", "text", F.least(F.lit(1.0), F.col("n_chars") / 1500.0).alias("score"))
+    return sampling.diverse(docs, _CHOSEN, "doc_id", "text", "score")

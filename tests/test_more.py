@@ -165,6 +165,32 @@ def test_greedy_choices_equal_plain_loops(spark):
         assert gap(centres[n]) == max(gap(k) for k in range(49) if k not in centres[:n])
 
 
+@pytest.mark.parametrize(("size", "n", "pool", "budget", "most"), [(300, 40, 8, 1 << 20, 40), (300, 25, 8, 12, 25), (4000, 160, 256, 1 << 20, 20)])
+def test_rounds_of_a_greedy_choice(spark, monkeypatch, size, n, pool, budget, most):
+    """Equal to the plain loop with small pools, with texts beyond the word budget, ties, nulls and repeated keys; far fewer rounds than rows."""
+    import random
+
+    rng, rounds = random.Random(size + n), []
+    monkeypatch.setattr(sampling, "POOL", pool)
+    monkeypatch.setattr(sampling, "POOL_WORDS", budget)
+    compared = sampling._compared
+    monkeypatch.setattr(sampling, "_compared", lambda *a: rounds.append(1) or compared(*a))
+    rows = [(k, " ".join(f"w{int(rng.paretovariate(0.7)) % 400}" for _ in range(rng.choice([1, 5, 30]))), round(rng.random(), rng.choice([1, 6]))) for k in range(size)]
+    rows += [rows[3], rows[3], (size, None, 0.9), (size + 1, "", 0.95), (size + 2, "w1", None), (None, "w1 w2", 1.0)]
+    got = sampling.diverse(spark.createDataFrame(rows, "id long, t string, s double").repartition(4), n, "id", "t", "s")
+    assert got.columns == ["id", "score", "place"]
+    left = {k: (s, set((t or "").split())) for k, t, s in rows if k is not None and s is not None}
+    over, want = dict.fromkeys(left, 0.0), []
+    while len(want) < n:
+        value = lambda k: left[k][0] * (1 - 0.3) + 0.3 * (1 - over[k]) if want else left[k][0]
+        want.append(min(left, key=lambda k: (-value(k), -left[k][0], k)))
+        _, words = left.pop(want[-1])
+        over = {k: max(over[k], len(left[k][1] & words) / len(left[k][1]) if left[k][1] else 0.0) for k in left}
+    assert [r["id"] for r in got.orderBy("place").collect()] == want
+    assert len(rounds) < most
+    assert sampling.diverse(spark.createDataFrame([], "id long, t string, s double"), n, "id", "t", "s").count() == 0
+
+
 def test_polls_and_fallbacks(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"k": 1}, {"k": 2}, {"k": 3}]))
     assert [r["place"] for r in readers.items_after(spark, str(tmp_path / "a.json"), 2).collect()] == [2]
