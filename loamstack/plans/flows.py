@@ -167,7 +167,7 @@ def returning_clients(spark: SparkSession, d: str) -> DataFrame:
     timed.use_state_store(spark)
     out = folder(spark, "seen")
     clicks = streams.events(spark, f"{d}/clicks.parque[t]", "client_id long, ts timestamp_ntz").where("client_id IS NOT NULL AND ts IS NOT NULL")
-    streams.run_available(seen.first_seen(clicks, "client_id"), folder(spark, "checkpoint"), path=out)
+    streams.run_available(seen.first_seen(clicks, "client_id", buckets=8), folder(spark, "checkpoint"), path=out)
     return spark.read.parquet(out).select("client_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 

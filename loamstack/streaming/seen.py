@@ -54,12 +54,14 @@ class Seen(StatefulProcessor):
         self.handle = handle
         self.filters = handle.getMapState("filters", "generation long, part int", "bits binary, keys long")
 
-    def _parts(self, generation: int) -> list[tuple[Bits, int]]:
-        out: list[tuple[Bits, int]] = []
-        while self.filters.containsKey((generation, len(out))):
-            bits, keys = self.filters.getValue((generation, len(out)))
-            out.append((Bits(self.room, self.error / 2 ** (len(out) + 1), bytes(bits)), keys))
-        return out
+    def _parts(self, generation: int, held: set, read: dict) -> list[tuple[Bits, int]]:
+        """The filters of a generation, read from state at most once a batch."""
+        if generation not in read:
+            out = read[generation] = []
+            while (generation, len(out)) in held:
+                bits, keys = self.filters.getValue((generation, len(out)))
+                out.append((Bits(self.room, self.error / 2 ** (len(out) + 1), bytes(bits)), keys))
+        return read[generation]
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # a sort by time and generation: an older generation is in its filter before the next one asks
@@ -68,17 +70,17 @@ class Seen(StatefulProcessor):
             return
         held = pd.concat(batches, ignore_index=True).set_axis([*self.columns, *HELPERS], axis=1)  # names that begin with _ do not come through
         held = held.sort_values(["_generation", "_us"], kind="stable")
-        passed = []
+        names, read, passed = {(k[0], k[1]) for k in self.filters.keys()}, {}, []
         for generation, own in held.groupby("_generation", sort=True):
             generation = int(generation)
             own = own.drop_duplicates(["_a", "_b"])
             a, b = own["_a"].to_numpy().view(np.uint64), own["_b"].to_numpy().view(np.uint64)
-            parts = self._parts(generation)
+            parts = self._parts(generation, names, read)
             here = np.zeros(len(own), bool)
             for bits, _ in parts:
                 here |= bits.has(a, b)
             known = here.copy()
-            for bits, _ in self._parts(generation - 1):
+            for bits, _ in self._parts(generation - 1, names, read):
                 known |= bits.has(a, b)
             passed.append(own[~known])
             self._remember(generation, parts, a[~here], b[~here])
@@ -95,12 +97,14 @@ class Seen(StatefulProcessor):
             if take:
                 bits.add(a[done : done + take], b[done : done + take])
                 self.filters.updateValue((generation, at), (bits.bits.tobytes(), keys + take))
+                parts[at : at + 1] = [(bits, keys + take)]
             done, at = done + take, at + 1
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        over = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.span - 2
-        for name in [k for k, _ in list(self.filters.iterator()) if k[0] <= over]:
-            self.filters.removeKey((name[0], name[1]))
+        over, part = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.span - 2, 0
+        while self.filters.containsKey((over, part)):
+            self.filters.removeKey((over, part))
+            part += 1
         return iter(())
 
     def close(self) -> None:
