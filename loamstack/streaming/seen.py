@@ -2,7 +2,7 @@
 
 A row passes if no copy of its key is known from its own generation or the one before; a copy that is
 dropped counts as seen too.  A filter of a generation starts a further one, of half the error, when
-it holds what it was made for, so errors stay below ``2 * error`` a generation however many keys come.
+it holds what it was made for, so a generation's error stays at about ``error`` however many keys come; a row asks two.
 A wrong positive drops a row that is no copy; no copy within a generation ever passes.
 State needs the RocksDB store (``timed.use_state_store``).
 """
