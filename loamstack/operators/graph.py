@@ -11,10 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import unit_interval
 from ..rounds import drop
 from ..rounds import kept as _round
-
-
-#: Edges that ``acyclic`` takes.
-MOST_EDGES = 100_000
+from .acyclic import acyclic  # noqa: F401
 
 
 def closure(edges: DataFrame) -> DataFrame:
@@ -41,34 +38,6 @@ def descendants(edges: DataFrame, node) -> DataFrame:
     return closure(edges).where(F.col("source") == node).select(F.col("target").alias("node"))
 
 
-def acyclic(edges: DataFrame, *order: str) -> DataFrame:
-    """Edges in order without those that would close a cycle.
-
-    The graph of variables is small: at most ``MOST_EDGES`` are folded on the driver, more are refused.
-    """
-    out, succ = [], {}
-    rows = edges.orderBy(*order).limit(MOST_EDGES + 1).collect()
-    if len(rows) > MOST_EDGES:
-        raise ValueError(f"more than {MOST_EDGES} edges")
-
-    def reaches(a, b) -> bool:
-        seen, stack = set(), [a]
-        while stack:
-            x = stack.pop()
-            if x == b:
-                return True
-            if x not in seen:
-                seen.add(x)
-                stack += succ.get(x, ())
-        return False
-
-    for r in rows:
-        if not reaches(r["target"], r["source"]):
-            succ.setdefault(r["source"], []).append(r["target"])
-            out.append(r)
-    return edges.sparkSession.createDataFrame(out, edges.schema)
-
-
 def topological(edges: DataFrame) -> DataFrame:
     """(node, depth): the longest path that leads to each node of an acyclic graph."""
     edge = edges.select("source", "target").distinct()
