@@ -60,6 +60,18 @@ def separated(edges: DataFrame, x, y, given: list) -> bool:
     return closure(inner).where(((F.col("source") == x) & (F.col("target") == y)) | ((F.col("source") == y) & (F.col("target") == x))).isEmpty()
 
 
+def separations(edges: DataFrame, pairs: DataFrame, given: list) -> DataFrame:
+    """``pairs`` (x, y) with ``separated``: whether every directed path between the two has a node of ``given`` inside.
+
+    Pairs with a null are separated; repeated pairs are told each time.
+    """
+    inner = edges.where(~F.col("source").isin(*given) & ~F.col("target").isin(*given)) if given else edges
+    low, high = F.least("source", "target"), F.greatest("source", "target")
+    reach = closure(inner).select(low.alias("_low"), high.alias("_high"), F.lit(True).alias("_met")).distinct()
+    told = pairs.withColumns({"_low": F.least("x", "y"), "_high": F.greatest("x", "y")}).join(reach, ["_low", "_high"], "left")
+    return told.withColumn("separated", F.col("_met").isNull()).drop("_low", "_high", "_met")
+
+
 def correlations(samples: DataFrame, variables: list[str]) -> DataFrame:
     """(a, b, r, n) of all pairs of columns, in one pass."""
     pairs = [(a, b) for i, a in enumerate(variables) for b in variables[i + 1 :]]

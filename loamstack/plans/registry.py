@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import curated, flows, measured, operations, records, relational
+from . import curated, decisions, flows, measured, operations, records, relational
 
-QUERIES = relational.QUERIES | measured.QUERIES | curated.QUERIES | operations.QUERIES | records.QUERIES | flows.QUERIES
-ORACLES = relational.ORACLES | measured.ORACLES | curated.ORACLES | operations.ORACLES | records.ORACLES | flows.ORACLES
+QUERIES = relational.QUERIES | measured.QUERIES | curated.QUERIES | operations.QUERIES | records.QUERIES | flows.QUERIES | decisions.QUERIES
+ORACLES = relational.ORACLES | measured.ORACLES | curated.ORACLES | operations.ORACLES | records.ORACLES | flows.ORACLES | decisions.ORACLES
