@@ -7,12 +7,25 @@ model of the corpus, contamination the share of a text's distinct n-grams that a
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_interval
 from ..functions.probing import strip
 from ..functions.scores import word_list
+from ..rounds import drop, kept
+
+#: N-grams of a benchmark that are sent to all tasks.
+MOST_HASHES = 1 << 20
+#: Characters of the texts that are hashed at once.
+BITE = 1 << 22
+_SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
+_HASHES = (("loam-n-grams-one", np.uint64(0x9E3779B97F4A7C15)), ("loam-n-grams-two", np.uint64(0xC2B2AE3D27D4EB4F)))
 
 
 def length_score(text: Column, low: int = 50, high: int = 1000) -> Column:
@@ -63,21 +76,100 @@ def ngram_hashes(words: Column, n: int) -> Column:
     return F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), hashed)[0]
 
 
-def ngram_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", n: int = 13, threshold: float = 0.3) -> DataFrame:
+def gram_hashes(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, second hash) of the distinct runs of n words of each text, all texts of a batch at once.
+
+    Words are hashed once each; a run's hash is a polynomial of its words' hashes, modulo 2^64, then mixed.
+    """
+    split = [[w for w in _SPACE.split(t) if w] for t in texts]
+    of = np.repeat(np.arange(len(split)), [len(w) for w in split])
+    size = len(of) - n + 1
+    if size <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    codes, words = pd.factorize(np.array([w for ws in split for w in ws], dtype=object))
+    inside = of[:size] == of[n - 1 :]
+    hashes = []
+    for key, factor in _HASHES:
+        h, run = pd.util.hash_array(words, hash_key=key, categorize=False)[codes], np.zeros(size, np.uint64)
+        for i in range(n):
+            run = run * factor + h[i : size + i]
+        run ^= run >> np.uint64(29)
+        hashes.append((run * factor)[inside])
+    text, first, second = of[:size][inside], *hashes
+    order = np.lexsort((first, text))
+    text, first, second = text[order], first[order], second[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (first[1:] != first[:-1])
+    return text[new], first[new], second[new]
+
+
+def _bites(texts: pd.Series) -> Iterator[tuple[int, list[str]]]:
+    """Texts in runs of at most ``BITE`` characters, or one text, each with the place of its first."""
+    begin, chars, bite = 0, 0, []
+    for k, t in enumerate(texts):
+        t = t or ""
+        if bite and chars + len(t) > BITE:
+            yield begin, bite
+            begin, chars, bite = k, 0, []
+        bite.append(t)
+        chars += len(t)
+    if bite:
+        yield begin, bite
+
+
+def ngram_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", n: int = 13, threshold: float = 0.3, most_hashes: int = MOST_HASHES) -> DataFrame:
     """(key, matched, total, ratio, contaminated) over distinct n-grams of white-space words.
 
-    Hashes of all n-grams are held against those of the benchmark, and the n-grams themselves are
-    written out, shuffled and compared only for documents with a hash in common.
+    A benchmark of at most ``most_hashes`` n-grams is sent to all tasks as two hashes of each (16 MB at most),
+    and one narrow pass over the documents counts them: every row is judged by itself, without id or with
+    a repeated one too.  A larger one is joined (``_joined_contamination``).  A null text has no n-grams.
     """
+    low = lambda df: df.select(F.lower("text").alias("text"))
+
+    def hashed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for _, bite in _bites(part["text"]):
+                _, first, second = gram_hashes(bite, n)
+                yield pd.DataFrame({"first": first.view(np.int64), "second": second.view(np.int64)}).drop_duplicates()
+
+    bench = kept(low(benchmark).mapInPandas(hashed, "first long, second long").distinct(), "benchmark")
+    if bench.limit(most_hashes + 1).count() > most_hashes:
+        drop(bench)
+        rows = _joined_contamination(docs, benchmark, key, n)
+    else:
+        table = bench.toPandas()  # most_hashes rows
+        drop(bench)
+        pairs = np.unique(np.ascontiguousarray(table.to_numpy(np.int64)).reshape(-1, 2).view([("a", np.int64), ("b", np.int64)]).ravel())
+        sent = docs.sparkSession.sparkContext.broadcast((np.unique(pairs["a"]), pairs))
+
+        @F.pandas_udf("matched long, total int")
+        def count(texts: pd.Series) -> pd.DataFrame:
+            firsts, both = sent.value
+            matched, total = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int32)
+            for begin, bite in _bites(texts):
+                text, first, second = gram_hashes(bite, n)
+                total[begin : begin + len(bite)] = np.bincount(text, minlength=len(bite))
+                seen = np.isin(first.view(np.int64), firsts)
+                found = np.empty(int(seen.sum()), both.dtype)
+                found["a"], found["b"] = first.view(np.int64)[seen], second.view(np.int64)[seen]
+                matched[begin : begin + len(bite)] = np.bincount(text[seen][np.isin(found, both)], minlength=len(bite))
+            return pd.DataFrame({"matched": matched, "total": total})
+
+        rows = docs.select(key, count(F.lower("text")).alias("_c")).select(key, F.col("_c.total").alias("total"), F.col("_c.matched").alias("matched"))
+    rows = rows.withColumn("ratio", F.when(F.col("total") > 0, F.col("matched") / F.col("total")).otherwise(0.0))
+    return rows.withColumn("contaminated", F.col("ratio") >= threshold)
+
+
+def _joined_contamination(docs: DataFrame, benchmark: DataFrame, key: str, n: int) -> DataFrame:
+    """(key, total, matched) by joins: hashes of all n-grams are held against those of the benchmark, and the n-grams
+    themselves are written out, shuffled and compared only for documents with a hash in common."""
     words = word_list(F.lower(F.col("text")))
     grams = lambda df, *c: df.select(*c, F.explode(F.array_distinct(ngrams(words, n))).alias("g"))
     bench = grams(benchmark).distinct().withColumn("h", F.xxhash64(F.transform(F.split("g", " "), lambda w: F.xxhash64(w))))
     own = docs.select(key, ngram_hashes(words, n).alias("hashes"))
     heard = own.select(key, F.explode("hashes").alias("h")).join(bench.select("h").distinct(), "h", "left_semi").select(key).distinct()
     hits = grams(docs.join(heard, key, "left_semi"), key).join(bench, "g", "left_semi").groupBy(key).agg(F.count("*").alias("matched"))
-    rows = own.select(key, F.size("hashes").alias("total")).join(hits, key, "left").withColumn("matched", F.coalesce("matched", F.lit(0)))
-    rows = rows.withColumn("ratio", F.when(F.col("total") > 0, F.col("matched") / F.col("total")).otherwise(0.0))
-    return rows.withColumn("contaminated", F.col("ratio") >= threshold)
+    return own.select(key, F.size("hashes").alias("total")).join(hits, key, "left").withColumn("matched", F.coalesce("matched", F.lit(0)))
 
 
 def normalised_text(text: Column, urls: str | None = "<URL>", emails: str | None = "<EMAIL>") -> Column:
@@ -109,7 +201,7 @@ def preprocessed(docs: DataFrame, benchmark: DataFrame, min_quality: float = 0.6
     rows = docs.withColumn("text", normalised_text(F.col("text")))
     rows = rows.withColumns({"length_score": length_score(F.col("text")), "diversity": diversity_score(F.col("text"))})
     rows = rows.withColumn("quality", composite({"length_score": 0.5, "diversity": 0.5}))
-    bad = ngram_contamination(rows.select("doc_id", "text"), benchmark).where("contaminated").select("doc_id", F.lit(True).alias("bad"))
+    bad = ngram_contamination(rows.select("doc_id", "text"), benchmark).where("contaminated").select("doc_id", F.lit(True).alias("bad")).distinct()
     rows = rows.join(bad, "doc_id", "left").withColumn("reject_reason", F.when(F.col("quality") < min_quality, "low_quality").when(F.col("bad"), "contaminated"))
     passed = rows.where("reject_reason IS NULL").withColumn("n", F.row_number().over(Window.partitionBy(F.sha2("text", 256)).orderBy("doc_id")))
     passed = passed.withColumn("reject_reason", F.when(F.col("n") > 1, "duplicate")).drop("n")
