@@ -198,8 +198,8 @@ def _settled(edges: DataFrame, most_nodes: int, chunk: int) -> DataFrame:
 
 
 def acyclic(edges: DataFrame, *order: Column | str, source: str = "source", target: str = "target", most_nodes: int = MOST_NODES, chunk: int = CHUNK) -> DataFrame:
-    """The rows of ``edges`` in order, ties by source and target, without those that would close a cycle."""
-    rank = F.struct(*order, source, target)
+    """The rows of ``edges`` in ascending order, ties by source and target, without those that would close a cycle."""
+    rank = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_{k}") for k, c in enumerate([*order, source, target])])
     first = edges.where(F.col(source) != F.col(target)).groupBy(F.col(source).alias("u"), F.col(target).alias("v")).agg(F.min(rank).alias("rank"))
     first = kept(first, "firsts")
     sorted_ = kept(first.repartitionByRange("rank").sortWithinPartitions("rank").select("u", "v", F.monotonically_increasing_id().alias("place")), "places")
