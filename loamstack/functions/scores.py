@@ -65,11 +65,11 @@ def pattern_hits(column: Column, patterns: list[str]) -> Column:
     return sum((column.rlike(p).cast("int") for p in patterns), F.lit(0))
 
 
-#: Signs of code and of boilerplate in page text.
+#: Signs of code and of boilerplate in page text.  "share on" has to be words of its own, as ends and beginnings of other words make it too.
 CODE_SIGNS = ["```", r"def\s+\w+\s*\(", r"function\s+\w+\s*\(", r"class\s+\w+", r"import\s+\w+", r"const\s+\w+\s*="]
 BOILERPLATE_SIGNS = [
     r"(?i)cookie\s+(?:policy|consent)", r"(?i)privacy\s+policy", r"(?i)terms\s+(?:of\s+)?(?:service|use)", r"(?i)newsletter",
-    r"(?i)subscribe\s+to\s+our", r"(?i)follow\s+us\s+on", r"(?i)share\s+(?:this\s+)?(?:on|via)", r"(?i)(?:read|view)\s+more\s+articles",
+    r"(?i)subscribe\s+to\s+our", r"(?i)follow\s+us\s+on", r"(?i)\bshare\s+(?:this\s+)?(?:on|via)\b", r"(?i)(?:read|view)\s+more\s+articles",
 ]
 TECHNICAL_SIGNS = [rf"(?i)\b{w}\b" for w in ("function", "class", "import", "return", "API", "HTTP", "JSON")]
 
