@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -207,14 +210,105 @@ def k_centres(df: DataFrame, k: int, key: str, vector: str) -> DataFrame:
     return df.sparkSession.createDataFrame(chosen, f"{key} {dict(df.dtypes)[key]}, place int")
 
 
+#: Queries that are sent to all tasks at once, rows and queries of one matrix product, pairs whose cosines are worked out at once.
+QUERIES, SLICE, QUERY_BLOCK, PAIRS = 1 << 15, 4096, 1024, 1 << 16
+#: More than a matrix product's cosine of unit vectors may differ from one that is summed in order.
+SLACK = 1e-9
+
+
+def _matrices(lists: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By width: rows that have a direction (nothing null or non-finite, not all 0), and which of the lists they are."""
+    widths, out = np.array([0 if v is None else len(v) for v in lists], np.int64), {}
+    for width in np.unique(widths[widths > 0]).tolist():
+        at = np.flatnonzero(widths == width)
+        x = np.array([np.asarray(lists[i], np.float64) for i in at])
+        fine = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
+        if fine.any():
+            out[width] = x[fine], at[fine]
+    return out
+
+
+def _units(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of rows, summed in order, so that equal rows have equal cosines wherever they stand."""
+    out = np.zeros(len(a))
+    for i in range(a.shape[1]):
+        out += a[:, i] * b[:, i]
+    return out
+
+
+class _Nearest:
+    """The k best (cosine, id) of each query so far."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
+        self.ids, self.x, self.unit, self.square, self.k = ids, x, _units(x), _dot(x, x), k
+        self.least = np.full(len(ids), -np.inf)
+        self.query, self.id, self.cosine = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def take(self, ids: np.ndarray, x: np.ndarray) -> None:
+        unit, square, found = _units(x), _dot(x, x), [(self.query, self.id, self.cosine)]
+        for begin in range(0, len(self.ids), QUERY_BLOCK):
+            near = self.unit[begin : begin + QUERY_BLOCK] @ unit.T
+            near[self.ids[begin : begin + QUERY_BLOCK, None] == ids[None, :]] = -np.inf
+            least = self.least[begin : begin + QUERY_BLOCK]
+            if len(ids) > self.k:
+                least = np.maximum(least, np.partition(near, len(ids) - self.k, axis=1)[:, len(ids) - self.k])
+            i, j = np.nonzero((near >= least[:, None] - SLACK) & np.isfinite(near))
+            for at in range(0, len(i), PAIRS):
+                q, r = begin + i[at : at + PAIRS], j[at : at + PAIRS]
+                found.append((q, ids[r], _dot(x[r], self.x[q]) / np.sqrt(square[r] * self.square[q])))
+        query, id_, cosine = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((id_, -cosine, query))
+        query, id_, cosine = query[order], id_[order], cosine[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        best = place < self.k
+        self.query, self.id, self.cosine = query[best], id_[best], cosine[best]
+        last = place == self.k - 1
+        self.least[query[last]] = cosine[last]
+
+
 def nearest(queries: DataFrame, vectors: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """The k rows of highest cosine for each query; ``queries`` is a small stated set."""
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
-    q = queries.select(F.col(key).alias("query"), F.col(vector).alias("qv"))
-    rows = vectors.select(key, vector).join(F.broadcast(q), F.col(key) != F.col("query"))
-    rows = rows.withColumn("cosine", dot(F.col(vector), F.col("qv")) / F.sqrt(dot(F.col(vector), F.col(vector)) * dot(F.col("qv"), F.col("qv"))))
-    n = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("cosine"), key))
-    return rows.withColumn("rank", n).where(F.col("rank") <= k).select("query", "rank", key, "cosine")
+    """The k rows of highest cosine for each query, ties by key; keys are whole numbers.
+
+    Queries are sent to all tasks in blocks of about ``QUERIES``; a task multiplies its rows with them slice by slice
+    and hands on only its k best of each.  Products choose candidates, whose cosines are then summed in order.
+    Null and zero vectors and those with null or non-finite components have no cosine and come last.
+    """
+    spark, kind = queries.sparkSession, dict(vectors.dtypes)[key]
+    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).where("id IS NOT NULL")
+    q = kept(queries.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).where("id IS NOT NULL"), "queries")
+    blocks = max(1, -(-q.count() // QUERIES))
+
+    def parts(block: int) -> DataFrame:
+        asked = q.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).toPandas()  # about ``QUERIES`` rows
+        ids = asked["id"].to_numpy(np.int64)
+        sent = spark.sparkContext.broadcast({width: (ids[at], x) for width, (x, at) in _matrices(list(asked["v"])).items()})
+
+        def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            states = {width: _Nearest(ids, x, k) for width, (ids, x) in sent.value.items()}
+            for batch in batches:
+                for begin in range(0, len(batch), SLICE):
+                    part = batch.iloc[begin : begin + SLICE]
+                    for width, (x, at) in _matrices(list(part["v"])).items():
+                        if width in states:
+                            states[width].take(part["id"].to_numpy(np.int64)[at], x)
+            for s in states.values():
+                yield pd.DataFrame({"query": s.ids[s.query], "id": s.id, "cosine": s.cosine})
+
+        return rows.mapInPandas(best, "query long, id long, cosine double")
+
+    turned = lambda v: F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0), F.lit(False))
+    first = lambda df: F.broadcast(df.select("id").orderBy("id").limit(k + 1))
+    without = q.where(turned("v")).select(F.col("id").alias("query")).crossJoin(first(rows.where(~turned("v"))))
+    without = without.unionByName(q.where(~turned("v")).select(F.col("id").alias("query")).crossJoin(first(rows)))
+    without = without.where("id <> query").withColumn("cosine", F.lit(None).cast("double"))
+    out = reduce(DataFrame.unionByName, map(parts, range(blocks)), without)
+    n = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("cosine"), "id"))
+    return out.withColumn("rank", n).where(F.col("rank") <= k).select(F.col("query").cast(kind).alias("query"), "rank", F.col("id").cast(kind).alias(key), "cosine")
 
 
 def length_batches(df: DataFrame, key: str, length: str, max_tokens: int, max_items: int, group: str | None = None) -> DataFrame:

@@ -1,9 +1,11 @@
 """Results that larger tables and odd rows brought up."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from loamstack.functions import scores as S
+from loamstack.operators import sampling
 
 PROSE = "A plain sentence that is long enough to count as one. " * 5
 
@@ -13,3 +15,22 @@ def test_a_sign_of_sharing_is_made_of_whole_words(spark, end, marks):
     text = PROSE + end
     got = spark.range(1).select(S.page_quality(F.lit(text)).alias("q")).first()["q"]
     assert got == pytest.approx(0.5 + len(text) / 10000 + 5 / 50 - 0.05 * marks)
+
+
+def test_nearest_multiplies_blocks_and_keeps_ties_and_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "QUERIES", 3)
+    x = np.random.default_rng(5).standard_normal((40, 6)).round(2)
+    rows = [(i, x[i % 30].tolist()) for i in range(40)] + [(100, None), (101, [0.0] * 6), (102, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (103, [float("nan")] * 6)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = table.where("vec_id % 5 = 0")
+    found = sampling.nearest(asked, table, 4)
+    assert not any(word in found._jdf.queryExecution().optimizedPlan().toString() for word in ("zip_with", "aggregate(")), "no cosine row by row"
+    got = {(r["query"], r["rank"]): (r["vec_id"], r["cosine"]) for r in found.collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q in range(0, 40, 5):
+        want = sorted((-round(float(u[q % 30] @ u[i % 30]), 9), i) for i in range(40) if i != q)[:4]
+        assert [got[q, n + 1][0] for n in range(4)] == [i for _, i in want]
+        assert [got[q, n + 1][1] for n in range(4)] == pytest.approx([-c for c, _ in want])
+    assert [got[100, n + 1] for n in range(4)] == [(n, None) for n in range(4)]
+    few = sampling.nearest(table.where("vec_id = 0"), table.where("vec_id IN (0, 7, 100, 101, 102, 103)"), 4).orderBy("rank").collect()
+    assert [r["vec_id"] for r in few] == [7, 100, 101, 102]
