@@ -270,22 +270,45 @@ def page_structure(url: str | None, html: str | None) -> tuple:
     return (" ".join(parser.title.split()), parser.description, titled, parser.code_blocks, [(t, h) for h, t in parser.links.items()], text, markdown)
 
 
-def _structures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ("title", "description", "sections", "code_blocks", "links", "text", "markdown")
-    for rows in batches:
-        made = [page_structure(u, h) for u, h in zip(rows["url"], rows["html"])]
-        out = pd.DataFrame(made, columns=names)
-        out["sections"] = [[dict(zip(("path", "level", "heading", "content"), s)) for s in x] for x in out["sections"]]
-        out["code_blocks"] = [[dict(zip(("language", "code", "context"), s)) for s in x] for x in out["code_blocks"]]
-        out["links"] = [[dict(zip(("text", "href"), s)) for s in x] for x in out["links"]]
-        out.insert(0, "url", rows["url"].to_numpy())
-        out.insert(0, "page_id", rows["page_id"].to_numpy())
-        yield out
-
-
-def structured(pages: DataFrame) -> DataFrame:
-    """Pages (page_id, url, html) as structured content."""
-    return pages.select("page_id", "url", "html").mapInPandas(_structures, f"page_id long, url string, {PAGE}")
+#: Characters of raw pages that are parsed before their results are handed on.
+BITE = 1 << 20
+_NAMES = ("title", "description", "sections", "code_blocks", "links", "text", "markdown")
+_FIELDS = {"sections": ("path", "level", "heading", "content"), "code_blocks": ("language", "code", "context"), "links": ("text", "href")}
+
+
+def _bites(pages: pd.Series) -> Iterator[tuple[int, int]]:
+    """Runs of pages of at most ``BITE`` characters, or one page."""
+    begin, chars = 0, 0
+    for k, page in enumerate(pages):
+        n = len(page or "")
+        if k > begin and chars + n > BITE:
+            yield begin, k
+            begin, chars = k, 0
+        chars += n
+    if begin < len(pages):
+        yield begin, len(pages)
+
+
+def structured(pages: DataFrame, *columns: str) -> DataFrame:
+    """Pages (page_id, url, html) as structured content, or the named columns of it.
+
+    A worker holds the results of a few pages at a time, however many come in a batch.
+    """
+    names = columns or _NAMES
+    kinds = dict(zip(_NAMES, re.findall(r"\w+ ((?:array<.*?>>|string))(?:, |$)", PAGE)))
+
+    def structures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for begin, end in _bites(rows["html"]):
+                part = rows.iloc[begin:end]
+                made = {n: [] for n in names}
+                for url, html in zip(part["url"], part["html"]):
+                    page = dict(zip(_NAMES, page_structure(url, html)))
+                    for n in names:
+                        made[n].append([dict(zip(_FIELDS[n], x)) for x in page[n]] if n in _FIELDS else page[n])
+                yield pd.DataFrame({"page_id": part["page_id"].to_numpy(), "url": part["url"].to_numpy(), **made})
+
+    return pages.select("page_id", "url", "html").mapInPandas(structures, ", ".join(["page_id long", "url string", *(f"{n} {kinds[n]}" for n in names)]))
 
 
 def chunked(text: Column, most: int = 1500) -> Column:

@@ -222,7 +222,7 @@ def page_structure(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def page_chunks(spark: SparkSession, d: str) -> DataFrame:
-    s = web.structured(table(spark, d, "pages")).select("page_id", F.posexplode(web.chunked(F.col("text"))).alias("chunk", "text"))
+    s = web.structured(table(spark, d, "pages"), "text").select("page_id", F.posexplode(web.chunked(F.col("text"))).alias("chunk", "text"))
     return s.select("page_id", "chunk", F.length("text").alias("chars"), S.strategies(F.col("text"), F.lit(False)).alias("strategies"))
 
 

@@ -404,7 +404,7 @@ def topic_levels(spark: SparkSession, d: str) -> DataFrame:
 @query(r"""SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>\s*(.*?)\s*</title>', 1) <> '' AS titled, len(regexp_extract_all(html, '(?i)<h[1-6][ >]')) AS headings FROM pages""")
 def page_outline(spark: SparkSession, d: str) -> DataFrame:
     """Titles and headings as the parser finds them against those that patterns find in the raw page."""
-    s = web.structured(table(spark, d, "pages"))
+    s = web.structured(table(spark, d, "pages"), "title", "sections")
     return s.select("page_id", (F.coalesce("title", F.lit("")) != "").alias("titled"), F.size(F.col("sections")).cast("long").alias("headings"))
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamstack.functions import scores as S
-from loamstack.operators import sampling
+from loamstack.operators import sampling, web
 
 PROSE = "A plain sentence that is long enough to count as one. " * 5
 
@@ -34,3 +34,17 @@ def test_nearest_multiplies_blocks_and_keeps_ties_and_odd_rows(spark, monkeypatc
     assert [got[100, n + 1] for n in range(4)] == [(n, None) for n in range(4)]
     few = sampling.nearest(table.where("vec_id = 0"), table.where("vec_id IN (0, 7, 100, 101, 102, 103)"), 4).orderBy("rank").collect()
     assert [r["vec_id"] for r in few] == [7, 100, 101, 102]
+
+
+def test_pages_are_handed_on_in_bites_and_only_with_the_columns_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(web, "BITE", 40)
+    pages = [(i, "https://a.example/x", f"<title>t{i}</title><h1>h</h1><p>{'word ' * (i * 7)}</p><a href='/b'>b</a>" if i % 3 else None) for i in range(12)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    whole = {r["page_id"]: r for r in web.structured(table).collect()}
+    for i, url, html in pages:
+        made = web.page_structure(url, html)
+        assert (whole[i]["title"], whole[i]["text"], whole[i]["markdown"]) == (made[0], made[5], made[6])
+        assert [tuple(x) for x in whole[i]["sections"]] == made[2] and [tuple(x) for x in whole[i]["links"]] == made[4]
+    some = web.structured(table, "title", "sections")
+    assert some.columns == ["page_id", "url", "title", "sections"]
+    assert {r["page_id"]: (r["title"], r["sections"]) for r in some.collect()} == {i: (r["title"], r["sections"]) for i, r in whole.items()}
