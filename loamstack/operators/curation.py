@@ -117,8 +117,8 @@ def _bites(texts: pd.Series) -> Iterator[tuple[int, list[str]]]:
         yield begin, bite
 
 
-def ngram_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", n: int = 13, threshold: float = 0.3, most_hashes: int = MOST_HASHES) -> DataFrame:
-    """(key, matched, total, ratio, contaminated) over distinct n-grams of white-space words.
+def ngram_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", n: int = 13, threshold: float = 0.3, most_hashes: int = MOST_HASHES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, matched, total, ratio, contaminated), and the columns to keep, over distinct n-grams of white-space words.
 
     A benchmark of at most ``most_hashes`` n-grams is sent to all tasks as two hashes of each (16 MB at most),
     and one narrow pass over the documents counts them: every row is judged by itself, without id or with
@@ -136,6 +136,8 @@ def ngram_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_i
     if bench.limit(most_hashes + 1).count() > most_hashes:
         drop(bench)
         rows = _joined_contamination(docs, benchmark, key, n)
+        if keep:
+            rows = docs.select(key, *keep).join(rows.dropDuplicates([key]), key, "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("total", "matched")})
     else:
         table = bench.toPandas()  # most_hashes rows
         drop(bench)
@@ -155,7 +157,7 @@ def ngram_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_i
                 matched[begin : begin + len(bite)] = np.bincount(text[seen][np.isin(found, both)], minlength=len(bite))
             return pd.DataFrame({"matched": matched, "total": total})
 
-        rows = docs.select(key, count(F.lower("text")).alias("_c")).select(key, F.col("_c.total").alias("total"), F.col("_c.matched").alias("matched"))
+        rows = docs.select(key, *keep, count(F.lower("text")).alias("_c")).select(key, *keep, F.col("_c.total").alias("total"), F.col("_c.matched").alias("matched"))
     rows = rows.withColumn("ratio", F.when(F.col("total") > 0, F.col("matched") / F.col("total")).otherwise(0.0))
     return rows.withColumn("contaminated", F.col("ratio") >= threshold)
 
@@ -195,17 +197,24 @@ def conversation_messages(turns: DataFrame) -> DataFrame:
 
 
 def preprocessed(docs: DataFrame, benchmark: DataFrame, min_quality: float = 0.6) -> DataFrame:
-    """Documents with the first gate that they fail as ``reject_reason``: quality, contamination, duplicate."""
+    """Documents with the first gate that they fail as ``reject_reason``: quality, contamination, duplicate.
+
+    Texts are normalised, scored and held against the benchmark in one narrow pass; for the last gate
+    they are told apart by their hashes, and of the text only what is asked for afterwards is shuffled.
+    """
     from pyspark.sql import Window
 
     rows = docs.withColumn("text", normalised_text(F.col("text")))
-    rows = rows.withColumns({"length_score": length_score(F.col("text")), "diversity": diversity_score(F.col("text"))})
+    rows = rows.withColumns({"length_score": length_score(F.col("text")), "diversity": diversity_score(F.col("text")), "_hash": F.sha2("text", 256)})
+    rows = ngram_contamination(rows, benchmark, keep=tuple(c for c in rows.columns if c != "doc_id")).drop("matched", "total", "ratio")
     rows = rows.withColumn("quality", composite({"length_score": 0.5, "diversity": 0.5}))
-    bad = ngram_contamination(rows.select("doc_id", "text"), benchmark).where("contaminated").select("doc_id", F.lit(True).alias("bad")).distinct()
-    rows = rows.join(bad, "doc_id", "left").withColumn("reject_reason", F.when(F.col("quality") < min_quality, "low_quality").when(F.col("bad"), "contaminated"))
-    passed = rows.where("reject_reason IS NULL").withColumn("n", F.row_number().over(Window.partitionBy(F.sha2("text", 256)).orderBy("doc_id")))
-    passed = passed.withColumn("reject_reason", F.when(F.col("n") > 1, "duplicate")).drop("n")
-    return passed.unionByName(rows.where("reject_reason IS NOT NULL")).drop("bad")
+    rows = rows.withColumn("reject_reason", F.when(F.col("quality") < min_quality, "low_quality").when(F.col("contaminated") & F.col("doc_id").isNotNull(), "contaminated"))
+    # rejected rows take no part in the last gate: each goes where its id sends it
+    passed = F.col("reject_reason").isNull()
+    rows = rows.withColumn("_gate", F.when(passed, F.col("_hash"))).withColumn("_spread", F.when(~passed, F.xxhash64("doc_id", "_hash")))
+    n = F.row_number().over(Window.partitionBy("_gate", "_spread").orderBy("doc_id"))
+    out = rows.withColumn("_n", n).withColumn("reject_reason", F.when(passed & (F.col("_n") > 1), "duplicate").otherwise(F.col("reject_reason")))
+    return out.select(*docs.columns, "length_score", "diversity", "quality", "reject_reason")
 
 
 def preprocessing_statistics(rows: DataFrame) -> DataFrame:

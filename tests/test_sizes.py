@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamstack.functions import scores as S
-from loamstack.operators import sampling, web
+from loamstack.operators import curation, sampling, web
 
 PROSE = "A plain sentence that is long enough to count as one. " * 5
 
@@ -48,3 +48,22 @@ def test_pages_are_handed_on_in_bites_and_only_with_the_columns_asked_for(spark,
     some = web.structured(table, "title", "sections")
     assert some.columns == ["page_id", "url", "title", "sections"]
     assert {r["page_id"]: (r["title"], r["sections"]) for r in some.collect()} == {i: (r["title"], r["sections"]) for i, r in whole.items()}
+
+
+def test_preprocessing_reads_documents_once(spark, tmp_path, monkeypatch):
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, words), (2, words), (3, "x x x x x"), (4, None), (5, None), (None, words), (6, "other " + words[:90])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs, bench = spark.read.parquet(f"{tmp_path}/docs"), spark.createDataFrame([("b", " ".join(f"z{k}" for k in range(20)))], "item_id string, text string")
+    made = curation.preprocessed(docs, bench, 0.4)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    reasons = lambda df: sorted(str((r["doc_id"], r["reject_reason"])) for r in df.collect())
+    want = sorted(str(x) for x in [(None, None), (1, "duplicate"), (2, "duplicate"), (3, "low_quality"), (4, None), (5, "duplicate"), (6, None)])
+    assert reasons(made) == want
+    own = spark.createDataFrame([("b", words)], "item_id string, text string")
+    want = sorted(str(x) for x in [(None, None), (1, "contaminated"), (2, "contaminated"), (3, "low_quality"), (4, None), (5, "duplicate"), (6, "contaminated")])
+    assert reasons(curation.preprocessed(docs, own, 0.4)) == want
+    whole = curation.ngram_contamination
+    monkeypatch.setattr(curation, "ngram_contamination", lambda *a, **k: whole(*a, most_hashes=1, **k))
+    assert reasons(curation.preprocessed(docs, own, 0.4)) == want, "joined"
