@@ -22,6 +22,8 @@ from ..rounds import drop, kept
 
 #: N-grams of a benchmark that are sent to all tasks.
 MOST_HASHES = 1 << 20
+#: Words of a corpus's model that are sent to all tasks.
+MOST_WORDS = 1 << 18
 #: Characters of the texts that are hashed at once.
 BITE = 1 << 22
 _SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
@@ -52,17 +54,34 @@ def diversity_score(text: Column) -> Column:
     return F.transform(F.array(word_list(F.lower(text))), score)[0]
 
 
-def unigram_perplexity(docs: DataFrame, key: str, text: str) -> DataFrame:
+def unigram_perplexity(docs: DataFrame, key: str, text: str, most_words: int = MOST_WORDS) -> DataFrame:
     """(key, perplexity) under the corpus's own word frequencies.
 
-    Counts leave each document with one row a distinct word; the join with the model is on
-    the word, whose hot values adaptive execution splits.
+    The most frequent words, as many as ``most_words`` at most, are sent to all tasks, where a document's words
+    add up to one row before anything is shuffled.  Only the rarer words of documents go to a join by the word.
     """
-    words = docs.select(key, F.explode(word_list(F.lower(F.col(text)))).alias("w")).groupBy(key, "w").agg(F.count("*").alias("n"))
-    model = words.groupBy("w").agg(F.sum("n").alias("total"))
-    size = model.agg(F.sum("total").alias("all"))
-    logs = model.join(F.broadcast(size)).select("w", F.log(F.col("total") / F.col("all")).alias("logp"))  # one row is broadcast
-    return words.join(logs, "w").groupBy(key).agg(F.exp(-F.sum(F.col("n") * F.col("logp")) / F.sum("n")).alias("perplexity"))
+    words = docs.select(key, F.explode(word_list(F.lower(F.col(text)))).alias("w"))
+    model = kept(words.groupBy("w").agg(F.count("*").alias("total")), "model")
+    sums = model.agg(F.sum("total").alias("all"), F.count("*").alias("n")).first()  # one row
+    logs = model.select("w", "total", F.log(F.col("total") / F.lit(sums["all"])).alias("logp"))
+    summed = lambda df: df.groupBy(key).agg(F.sum("logp").alias("logp"), F.count("*").alias("n"))
+    if sums["n"] <= most_words:
+        rows = summed(words.join(F.broadcast(logs.select("w", "logp")), "w"))
+    else:
+        steps = model.groupBy("total").agg(F.count("*").alias("n")).orderBy(F.desc("total"))  # at most sqrt(2 x words) counts
+        least, held = None, 0
+        for total, n in steps.toLocalIterator():
+            held += n
+            if held > most_words:
+                break
+            least = total
+        common = F.col("total") >= least if least is not None else F.lit(False)
+        sent = F.broadcast(logs.where(common).select("w", "logp"))
+        near = summed(words.join(sent, "w"))
+        rare = words.join(sent.select("w"), "w", "left_anti").groupBy(key, "w").agg(F.count("*").alias("n"))
+        rare = rare.join(logs.where(~common).select("w", "logp"), "w").select(key, (F.col("n") * F.col("logp")).alias("logp"), "n")
+        rows = near.unionByName(rare)
+    return rows.groupBy(key).agg(F.exp(-F.sum("logp") / F.sum("n")).alias("perplexity"))
 
 
 def composite(scores: dict[str, float]) -> Column:

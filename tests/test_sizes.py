@@ -67,3 +67,17 @@ def test_preprocessing_reads_documents_once(spark, tmp_path, monkeypatch):
     whole = curation.ngram_contamination
     monkeypatch.setattr(curation, "ngram_contamination", lambda *a, **k: whole(*a, most_hashes=1, **k))
     assert reasons(curation.preprocessed(docs, own, 0.4)) == want, "joined"
+
+
+def test_perplexity_sends_common_words_and_joins_the_rest(spark):
+    import math
+    from collections import Counter
+
+    texts = [(1, "a a b c"), (2, "a b d"), (1, "e"), (3, ""), (4, None), (5, "f f A")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    tokens = [(i, w) for i, t in texts for w in (t or "").lower().split()]
+    total = Counter(w for _, w in tokens)
+    want = {i: math.exp(-sum(math.log(total[w] / len(tokens)) for j, w in tokens if j == i) / sum(j == i for j, _ in tokens)) for i, _ in tokens}
+    for most in (1, 3, 100):
+        got = {r["doc_id"]: r["perplexity"] for r in curation.unigram_perplexity(docs, "doc_id", "text", most).collect()}
+        assert got == pytest.approx(want), most
