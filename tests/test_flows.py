@@ -311,3 +311,37 @@ def test_plans_hold_the_wanted_recall():
             bits, tables = vectors.plan(n, cosine, 0.9)
             agree = (1 - math.acos(cosine) / math.pi) ** bits
             assert 1 - (1 - agree) ** tables >= 0.9 - 1e-9 and tables <= vectors.MOST_TABLES
+
+
+def test_sketches_pass_over_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    monkeypatch.setattr(vectors, "PRODUCTS", 64)
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(150):
+        x, u = rng.standard_normal((2, 24)) * rng.choice([1, 1, 1, 30], (2, 24))  # a few components stand out
+        x /= np.linalg.norm(x)
+        u -= (u @ x) * x
+        c = (0.9001, 0.8999, 0.95)[k % 3]
+        rows += [(2 * k, x), (2 * k + 1, 7 * (c * x + math.sqrt(1 - c * c) * u / np.linalg.norm(u)))]
+    rows += [(1000 + k, rows[0][1]) for k in range(40)] + [(1000, rows[0][1])]  # copies, one with a repeated id
+    table = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    unit = np.array([v / np.linalg.norm(v) for _, v in rows])
+    near = unit @ unit.T >= 0.9
+    want = sorted((min(rows[i][0], rows[j][0]), max(rows[i][0], rows[j][0])) for i, j in zip(*np.nonzero(np.triu(near, 1))) if rows[i][0] != rows[j][0])
+    got = vectors.similar_pairs(table, 0.9, bits_tables=(3, 60)).collect()  # a pair that agrees in no table: below 1 in 10 ** 25
+    assert sorted((r["a"], r["b"]) for r in got) == want
+
+
+def test_what_is_shuffled_grows_with_the_vectors(spark):
+    assert len({vectors.plan(n, 0.95, 0.99999) for n in (20_512, 205_128, 1_230_768)}) == 1
+    rng = np.random.default_rng(3)
+    n, width = 4200, 64
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((n, width)))], "vec_id long, embedding array<double>")
+    sc = spark.sparkContext
+    stages = lambda: sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    written = lambda: {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in (x.apply(i) for x in [stages()] for i in range(x.size()))}
+    seen = written()
+    assert vectors.similar_pairs(table, 0.95, recall=0.99999).count() == 0
+    _, tables = vectors.plan(n, 0.95, 0.99999)
+    assert 0 < sum(b for k, b in written().items() if k not in seen) < n * tables * (8 * width / 2)  # no whole vector for each table
