@@ -28,8 +28,8 @@ from ..rounds import kept
 
 #: Rows that a bucket of unrelated vectors has on average, up to FLAT_BITS at least and beyond them at most; rows of one block, and the most bits and tables.
 BUCKET, FLAT_BITS, FULL, BLOCK, MOST_BITS, MOST_TABLES = 16, 8, 8192, 32_768, 30, 200
-#: Products that are held at once, and rows of one side.
-PRODUCTS, ROWS = 1 << 20, 256
+#: Products that are held at once, and rows of one side; pairs that one place confirms, about.
+PRODUCTS, ROWS, PAIRS = 1 << 20, 256, 1 << 18
 SEED = 20240901
 
 
@@ -140,11 +140,15 @@ def similar_pairs(vectors: DataFrame, cosine: float, key: str = "vec_id", vector
     kind = dict(rows.dtypes)["id"]
 
     def sides(place: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
-        part, low, high = place["part"].to_numpy(), place["low"].iloc[0], place["high"].iloc[0]
-        return np.flatnonzero(part == low), np.flatnonzero(part == high), low == high
+        left, right = (place["part"] == place["low"]).to_numpy(), (place["part"] == place["high"]).to_numpy()
+        same = place["low"].iloc[0] == place["high"].iloc[0]
+        if "cut" in place:
+            left, right = left & (place["cut"] == place["first"]).to_numpy(), right & (place["cut"] == place["second"]).to_numpy()
+            same = same and place["first"].iloc[0] == place["second"].iloc[0]
+        return np.flatnonzero(left), np.flatnonzero(right), same
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The rows that have a partner in a place, as far as sketches tell."""
+        """The rows that have a partner in a place, as far as sketches tell; places of very many pairs are cut into ``first`` and ``second``."""
         for place in _buckets(batches, places):
             if len(place) < 2:
                 continue
@@ -152,15 +156,23 @@ def similar_pairs(vectors: DataFrame, cosine: float, key: str = "vec_id", vector
             s = np.frombuffer(b"".join(place["sketch"]), _sketch(width, bits, tables))
             x, codes, off = s["parts"] * s["step"][:, None], s["codes"], float(s["off"].max())
             left, right, same = sides(place)
-            found = np.zeros(len(place), bool)
+            found, pairs = np.zeros(len(place), bool), 0
             least = cosine - off * (2 + off) - 2e-7 * (width + 10)  # the last for rounding in 32 bits
             for i, j, _ in _products(x[left], x[right], least, same, codes[left, :table], codes[right, :table]):
                 found[left[i]] = found[right[j]] = True
-            if found.any():
-                yield place.loc[found, [*places, "part", "row"]].assign(codes=[c.tobytes() for c in codes[found]])
+                pairs += len(i)
+            if not pairs:
+                continue
+            cuts = math.ceil(math.sqrt(pairs / PAIRS))
+            chosen = place.loc[found, [*places, "part", "row"]].assign(codes=[c.tobytes() for c in codes[found]])
+            chosen["cut"] = cut = (chosen["row"] % cuts).astype(np.int32)
+            ahead = (chosen["part"] == chosen["low"]).to_numpy()
+            for other in range(cuts):
+                first, second = (np.minimum(cut, other), np.maximum(cut, other)) if same else (np.where(ahead, cut, other), np.where(ahead, other, cut))
+                yield chosen.assign(first=first, second=second)
 
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for place in _buckets(batches, places):
+        for place in _buckets(batches, cut_places):
             u, ids, table = _units(place["body"]), place["id"].to_numpy(), int(place["table"].iloc[0])
             codes = np.frombuffer(b"".join(place["codes"]), _code(bits)).reshape(len(place), tables)
             left, right, same = sides(place)
@@ -168,10 +180,11 @@ def similar_pairs(vectors: DataFrame, cosine: float, key: str = "vec_id", vector
                 x, y = ids[left[i]], ids[right[j]]
                 yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "cosine": product})
 
+    cut_places = [*places, "first", "second"]
     columns = "table int, width int, code long, low int, high int, part int, row long"
-    chosen = dealt.repartition(*places).sortWithinPartitions(*places).mapInPandas(choose, f"{columns}, codes binary")
+    chosen = dealt.repartition(*places).sortWithinPartitions(*places).mapInPandas(choose, f"{columns}, codes binary, cut int, first int, second int")
     sent = chosen.join(rows.select("row", "id", "body"), "row")
-    return sent.repartition(*places).sortWithinPartitions(*places).mapInPandas(confirm, f"a {kind}, b {kind}, cosine double").where("a < b")
+    return sent.repartition(*cut_places).sortWithinPartitions(*cut_places).mapInPandas(confirm, f"a {kind}, b {kind}, cosine double").where("a < b")
 
 
 def _products(x: np.ndarray, y: np.ndarray, least: float, same: bool, codes_x: np.ndarray, codes_y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

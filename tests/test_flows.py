@@ -316,6 +316,7 @@ def test_plans_hold_the_wanted_recall():
 def test_sketches_pass_over_no_pair(spark, monkeypatch):
     monkeypatch.setattr(vectors, "BLOCK", 16)
     monkeypatch.setattr(vectors, "PRODUCTS", 64)
+    monkeypatch.setattr(vectors, "PAIRS", 12)
     rng = np.random.default_rng(5)
     rows = []
     for k in range(150):
